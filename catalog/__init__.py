@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("views", "window_queries")
+MODULES = ("views", "window_queries", "bitemporal_queries")
 
 
 def load():
@@ -12,4 +12,4 @@ def load():
 
     for name in MODULES:
         importlib.import_module(f"catalog.{name}")
-    return registry.QUERIES, registry.ORACLE
+    return registry.QUERIES, registry.oracle()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+SQL: dict[str, tuple[tuple[str, ...], str]] = {}
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {}
 
 
@@ -15,7 +15,7 @@ def query(key: str, sql: str | None = None, uses: tuple[str, ...] = ()):
             raise ValueError(f"duplicate query {key}")
         QUERIES[key] = fn
         if sql is not None:
-            ORACLE[key] = with_views(uses, sql)
+            SQL[key] = (uses, sql)
         return fn
 
     return register
@@ -43,3 +43,7 @@ def with_views(uses: tuple[str, ...], sql: str) -> str:
         return sql
     body = ",\n".join(f"{name} AS ({VIEWS[name][1]})" for name in ordered)
     return f"WITH {body}\n{sql}"
+
+
+def oracle() -> dict[str, str]:
+    return {key: with_views(uses, sql) for key, (uses, sql) in SQL.items()}
