@@ -78,7 +78,8 @@ def latest_usable(spark, sf_dir):
 
 @query("V08", FIRST_KNOWN.format(source="events", horizon=epoch(END, EOD), where="").replace("SELECT *", "SELECT isin, series, trade_date, version_no, usable_epoch", 1), ("events",))
 def first_known(spark, sf_dir):
-    rows = bt.first_known(adapters.events(spark, sf_dir), bt.exchange_cutoff(bt.as_day(END)))
+    day = bt.as_day(END)
+    rows = bt.first_known(adapters.events(spark, sf_dir).filter(F.col("trade_date") <= day), bt.exchange_cutoff(day))
     return rows.select("isin", "series", "trade_date", "version_no", seconds("usable_from"))
 
 
