@@ -141,7 +141,7 @@ def roce_half_year(spark, sf_dir):
     return q.filter(c("quarter_no") % 2 == 1).select("company", "quarter_no", *states.flat(roce))
 
 
-@query("F14", """SELECT security_id, trade_date, round(close * shares, 4) AS value, CASE WHEN shares IS NULL THEN 'missing' ELSE 'known' END AS state, CAST(NULL AS VARCHAR) AS outcome FROM (
+@query("F14", """SELECT security_id, trade_date, round(close * shares, 2) AS value, CASE WHEN shares IS NULL THEN 'missing' ELSE 'known' END AS state, CAST(NULL AS VARCHAR) AS outcome FROM (
 SELECT b.security_id, b.trade_date, b.close, arg_max(f.shares, f.fy_no) AS shares FROM bars b LEFT JOIN fiscal_years f ON f.company = b.security_id AND make_date(f.fy_no, 3, 31) + 60 <= b.trade_date GROUP BY 1, 2, 3)""", ("bars", "fiscal_years"))
 def market_cap(spark, sf_dir):
     """Close times the share count filed 60 days after the year end, as known at each session's cutoff."""
@@ -152,8 +152,8 @@ def market_cap(spark, sf_dir):
     )
     asked = b.select("security_id", c("trade_date").alias("run_date"))
     known = bt.as_of_by_run_date(asked, filed, ["security_id"], ["shares"]).select("security_id", c("run_date").alias("trade_date"), "shares")
-    out = b.join(known, ["security_id", "trade_date"], "left").withColumn("cap", fu.market_cap(F.round("close", 12), c("shares")))
-    return out.select("security_id", "trade_date", F.round("cap.value", 4).alias("value"), c("cap.state").alias("state"), c("cap.outcome").alias("outcome"))
+    out = b.join(known, ["security_id", "trade_date"], "left").withColumn("cap", fu.market_cap(c("close"), c("shares")))
+    return out.select("security_id", "trade_date", F.round("cap.value", 2).alias("value"), c("cap.state").alias("state"), c("cap.outcome").alias("outcome"))
 
 
 def yields(spark, sf_dir):
@@ -161,13 +161,16 @@ def yields(spark, sf_dir):
     q = q.withColumn("underlying", fu.pat_underlying(c("pat_owners"), c("exceptional_net"), c("tax"), c("pbt"))).withColumn("blackout", c("quarter_no") % 13 == 0)
     q = q.withColumn("ey", fu.earnings_yield("underlying", c("total_assets") * 2, c("blackout")))
     frame = Window.partitionBy("company").orderBy("quarter_no").rowsBetween(-7, 0)
-    known = states.known_value(c("ey"))
+    # The median is taken before rounding: the middle of two six-digit values would sit exactly on a rounding edge.
+    known = states.known_value(fu.earnings_yield("underlying", c("total_assets") * 2, c("blackout"), digits=12))
+    q = q.withColumn("known_ey", known)
+    known = c("known_ey")
     median = states.value_state(F.round(F.percentile(known, F.lit(0.5)).over(frame), 6), (F.count(known).over(frame) < 6, "drop"))
     return q.withColumn("median", median)
 
 
-view("yields", f"""SELECT *, CASE WHEN c2 >= 6 THEN round(med, 6) END AS median FROM (SELECT *, quantile_cont(value, 0.5) OVER w AS med, count(value) OVER w AS c2 FROM (
- SELECT company, quarter_no, blackout, """ + case("round(s / ta, 6)", ("blackout", "drop"), ("n < 4 OR gap <> 3", "missing")) + f""" FROM (
+view("yields", f"""SELECT *, CASE WHEN c2 >= 6 THEN round(med, 6) END AS median FROM (SELECT *, quantile_cont(CASE WHEN value IS NOT NULL THEN round(s / ta, 12) END, 0.5) OVER w AS med, count(value) OVER w AS c2 FROM (
+ SELECT company, quarter_no, blackout, s, ta, """ + case("round(s / ta, 6)", ("blackout", "drop"), ("n < 4 OR gap <> 3", "missing")) + f""" FROM (
  SELECT company, quarter_no, quarter_no % 13 = 0 AS blackout, total_assets * 2 AS ta, sum(u) OVER w4 AS s, count(u) OVER w4 AS n, max(quarter_no) OVER w4 - min(quarter_no) OVER w4 AS gap
  FROM (SELECT *, {UNDERLYING} AS u FROM quarters) WINDOW w4 AS (PARTITION BY company ORDER BY quarter_no ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)))
  WINDOW w AS (PARTITION BY company ORDER BY quarter_no ROWS BETWEEN 7 PRECEDING AND CURRENT ROW))""", ("quarters",))

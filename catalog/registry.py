@@ -42,6 +42,8 @@ def with_views(uses: tuple[str, ...], sql: str) -> str:
     if not ordered:
         return sql
     body = ",\n".join(f"{name} AS ({VIEWS[name][1]})" for name in ordered)
+    if sql.startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {body},\n{sql.removeprefix('WITH RECURSIVE ')}"
     return f"WITH {body}\n{sql}"
 
 

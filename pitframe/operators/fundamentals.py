@@ -158,12 +158,13 @@ def market_cap(close: Column, shares: Column) -> Column:
     return value_state(close * shares, (~all_present(close, shares), "missing"))
 
 
-def earnings_yield(profit: str, cap: Column, blackout: Column, key: str = "company", order: str = "quarter_no") -> Column:
+def earnings_yield(profit: str, cap: Column, blackout: Column, key: str = "company", order: str = "quarter_no",
+                   digits: int = 6) -> Column:
     """Latest four contiguous quarters of ``profit`` over market cap."""
     frame = years(-3, 0, key, order)
     contiguous = (F.max(order).over(frame) - F.min(order).over(frame)) == 3
     gap = (F.count(profit).over(frame) < 4) | ~contiguous | cap.isNull()
-    return value_state(F.round(ratio(F.sum(profit).over(frame), cap), 6), (blackout, "drop"), (gap, "missing"))
+    return value_state(F.round(ratio(F.sum(profit).over(frame), cap), digits), (blackout, "drop"), (gap, "missing"))
 
 
 def yield_vs_median(ey: Column, median: Column, blackout: Column) -> Column:
