@@ -14,11 +14,11 @@ from pitframe.sources import adapters
 c = F.col
 
 
-@query("A01", "SELECT l_suppkey AS company, round(quantile_cont(price, 0.25), 6) AS q25, round(quantile_cont(price, 0.9), 6) AS q90, count(*) AS n FROM lines GROUP BY 1", ("lines",))
+@query("A01", "SELECT l_suppkey AS company, round(quantile_cont(l_extendedprice, 0.25), 6) AS q25, round(quantile_cont(l_extendedprice, 0.9), 6) AS q90, count(*) AS n FROM lineitem GROUP BY 1")
 def quantile(spark, sf_dir):
-    """Exact interpolated quantiles of every trade price per company."""
-    li = adapters.table(spark, sf_dir, "lineitem").select(c("l_suppkey").alias("company"), (c("l_extendedprice") / c("l_quantity")).alias("price"))
-    q = cs.quantiles(cs.positions(li, ["company"], "price"), ["company"], "price", {"q25": 0.25, "q90": 0.9})
+    """Exact interpolated quantiles of every trade value per company."""
+    li = adapters.table(spark, sf_dir, "lineitem").select(c("l_suppkey").alias("company"), c("l_extendedprice").alias("value"))
+    q = cs.quantiles(cs.positions(li, ["company"], "value"), ["company"], "value", {"q25": 0.25, "q90": 0.9})
     return q.select("company", F.round("q25", 6).alias("q25"), F.round("q90", 6).alias("q90"), "n")
 
 
@@ -27,7 +27,7 @@ SCORED = {"vol_adj_mom_12m": 1, "vol_adj_mom_6m": 1, "debt_equity": -1}
 
 def long_features(spark, sf_dir, names):
     """(eval_date, isin, feature, value): every feature of the population in one frame, so one pass scores them all."""
-    p = adapters.population(spark, sf_dir)
+    p = adapters.population(spark, sf_dir, list(names))
     pairs = F.array(*[F.struct(F.lit(n).alias("feature"), c(n)["value"].alias("value")) for n in names])
     return p.select("eval_date", "isin", F.explode(pairs).alias("f")).select("eval_date", "isin", "f.*")
 
@@ -69,7 +69,7 @@ def breadth(spark, sf_dir):
 
 @query("A05", "SELECT eval_date, isin, peers, round(peer_median, 6) AS peer_median FROM (SELECT a.eval_date, a.isin, count(b.isin) AS peers, quantile_cont(b.roce_3y_avg, 0.5) AS peer_median FROM population a LEFT JOIN population b ON a.eval_date = b.eval_date AND a.sector = b.sector AND a.isin <> b.isin AND b.roce_3y_avg IS NOT NULL GROUP BY 1, 2)", ("population",))
 def leave_one_out(spark, sf_dir):
-    p = adapters.population(spark, sf_dir).select("eval_date", "isin", "sector", c("roce_3y_avg.value").alias("value"))
+    p = adapters.population(spark, sf_dir, ["roce_3y_avg"]).select("eval_date", "isin", "sector", c("roce_3y_avg.value").alias("value"))
     m = cs.leave_one_out_median(p, ["eval_date", "sector"], "value")
     return m.select("eval_date", "isin", "peers", F.round("peer_median", 6).alias("peer_median"))
 
@@ -83,7 +83,7 @@ def security_target(spark, sf_dir):
 
 @query("A07", "SELECT is_fno_eligible AS fno, round(quantile_cont(delivery_pct_20d_avg, 0.25), 6) AS band, count(delivery_pct_20d_avg) AS n FROM population WHERE is_fno_eligible IS NOT NULL GROUP BY 1", ("population",))
 def calibration(spark, sf_dir):
-    p = adapters.population(spark, sf_dir).select(c("is_fno_eligible.value").alias("fno"), c("delivery_pct_20d_avg.value").alias("value"))
+    p = adapters.population(spark, sf_dir, ["is_fno_eligible", "delivery_pct_20d_avg"]).select(c("is_fno_eligible.value").alias("fno"), c("delivery_pct_20d_avg.value").alias("value"))
     return cs.calibration_quantile(p, "fno", "value").select("fno", F.round("band", 6).alias("band"), "n")
 
 
@@ -180,7 +180,7 @@ def rank_order(spark, sf_dir):
 
 
 def signals(spark, sf_dir):
-    return adapters.population(spark, sf_dir).select("eval_date", "isin", "signal_at", "market_cap")
+    return adapters.population(spark, sf_dir, []).select("eval_date", "isin", "signal_at", "market_cap")
 
 
 @query("T02", "SELECT * FROM (SELECT eval_date, isin, CAST(row_number() OVER (PARTITION BY eval_date ORDER BY signal_epoch, market_cap DESC, isin) AS INTEGER) AS position FROM population) WHERE position <= 100", ("population",))

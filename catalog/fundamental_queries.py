@@ -141,7 +141,7 @@ def roce_half_year(spark, sf_dir):
     return q.filter(c("quarter_no") % 2 == 1).select("company", "quarter_no", *states.flat(roce))
 
 
-@query("F14", """SELECT security_id, trade_date, round(close * shares, 2) AS value, CASE WHEN shares IS NULL THEN 'missing' ELSE 'known' END AS state, CAST(NULL AS VARCHAR) AS outcome FROM (
+@query("F14", """SELECT security_id, trade_date, close * shares AS value, CASE WHEN shares IS NULL THEN 'missing' ELSE 'known' END AS state, CAST(NULL AS VARCHAR) AS outcome FROM (
 SELECT b.security_id, b.trade_date, b.close, arg_max(f.shares, f.fy_no) AS shares FROM bars b LEFT JOIN fiscal_years f ON f.company = b.security_id AND make_date(f.fy_no, 3, 31) + 60 <= b.trade_date GROUP BY 1, 2, 3)""", ("bars", "fiscal_years"))
 def market_cap(spark, sf_dir):
     """Close times the share count filed 60 days after the year end, as known at each session's cutoff."""
@@ -153,7 +153,7 @@ def market_cap(spark, sf_dir):
     asked = b.select("security_id", c("trade_date").alias("run_date"))
     known = bt.as_of_by_run_date(asked, filed, ["security_id"], ["shares"]).select("security_id", c("run_date").alias("trade_date"), "shares")
     out = b.join(known, ["security_id", "trade_date"], "left").withColumn("cap", fu.market_cap(c("close"), c("shares")))
-    return out.select("security_id", "trade_date", F.round("cap.value", 2).alias("value"), c("cap.state").alias("state"), c("cap.outcome").alias("outcome"))
+    return out.select("security_id", "trade_date", c("cap.value").alias("value"), c("cap.state").alias("state"), c("cap.outcome").alias("outcome"))
 
 
 def yields(spark, sf_dir):

@@ -22,8 +22,8 @@ TIE_TOLERANCE = 1e-9
 def positions(rows: DataFrame, keys: list[str], value: str, levels: int = LEVELS, cells: int = CELLS) -> DataFrame:
     """Distinct values per key with their place in the order.
 
-    Columns: keys, value, ``copies``, ``before`` (rows with a smaller value), ``total`` and ``below`` (the next smaller
-    distinct value). The grid has two levels: a cell that one level of a skewed distribution would overfill is split
+    Columns: keys, value, ``copies``, ``before`` (rows with a smaller value), ``total``, and ``below`` and ``above``
+    (the neighbouring distinct values). The grid has two levels: a cell that one level of a skewed distribution would overfill is split
     again between its own minimum and maximum. Both bounds are exact, so the grid is the same on every evaluation.
     """
     distinct = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("copies"))
@@ -35,12 +35,13 @@ def positions(rows: DataFrame, keys: list[str], value: str, levels: int = LEVELS
         distinct = distinct.join(bounds, path).withColumn(f"cell_{level}", cell).drop("lo", "hi")
         path.append(f"cell_{level}")
     grid = path[len(keys):]
-    leaf = distinct.groupBy(*path).agg(F.sum("copies").alias("n"), F.max(value).alias("top"))
+    leaf = distinct.groupBy(*path).agg(F.sum("copies").alias("n"), F.max(value).alias("top"), F.min(value).alias("bottom"))
     ordered = Window.partitionBy(*keys).orderBy(*grid)
     offsets = leaf.select(
         *path,
         F.coalesce(F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"),
         F.lag("top").over(ordered).alias("cell_below"),
+        F.lead("bottom").over(ordered).alias("cell_above"),
         F.sum("n").over(Window.partitionBy(*keys)).alias("total"),
     )
     inside = Window.partitionBy(*path).orderBy(value)
@@ -52,6 +53,7 @@ def positions(rows: DataFrame, keys: list[str], value: str, levels: int = LEVELS
         (F.col("offset") + prior).alias("before"),
         "total",
         F.coalesce(F.lag(value).over(inside), F.col("cell_below")).alias("below"),
+        F.coalesce(F.lead(value).over(inside), F.col("cell_above")).alias("above"),
     )
 
 
@@ -161,35 +163,40 @@ def calibration_quantile(rows: DataFrame, split: str, value: str, q: float = 0.2
 
 
 def tie_anchors(rows: DataFrame, keys: list[str], score: str, tol: float = TIE_TOLERANCE) -> DataFrame:
-    """Distinct scores with the anchor of their tie group (the group's first, highest score).
+    """Distinct scores with the anchor of their tie group (its first, highest score) and the rows ``ahead`` of it.
 
     A group is anchored: every member is within the tolerance of the anchor, not of its neighbour. A score whose next
-    higher neighbour is further than the tolerance away always opens a group, so only scores that do have such a
-    neighbour need the sequential rule. They are folded in runs of near neighbours, each a handful of values.
+    higher neighbour is further than the tolerance away always opens a group, so the sequential rule is only needed
+    for runs of near neighbours, each a handful of distinct scores; all other scores are their own anchor.
     """
     negated = rows.withColumn("_neg", -F.col(score))
-    placed = positions(negated, keys, "_neg").withColumn("opens", F.coalesce(F.col("_neg") - F.col("below") > tol, F.lit(True)))
-    near = placed.filter(~F.col("opens"))
-    heads = placed.join(near.select(*keys, F.col("below").alias("_neg")).distinct(), [*keys, "_neg"], "left_semi")
-    run_rows = near.select(*keys, "_neg", "opens").unionByName(heads.filter("opens").select(*keys, "_neg", "opens"))
+    placed = (
+        positions(negated, keys, "_neg")
+        .withColumn("opens", F.coalesce(F.col("_neg") - F.col("below") > tol, F.lit(True)))
+        .withColumn("has_near", F.coalesce(F.col("above") - F.col("_neg") <= tol, F.lit(False)))
+        .select(*keys, "_neg", "before", "opens", "has_near")
+    )
     start = F.last(F.when(F.col("opens"), F.col("_neg")), ignorenulls=True).over(
         Window.partitionBy(*keys).orderBy("_neg").rowsBetween(Window.unboundedPreceding, 0)
     )
-    runs = run_rows.withColumn("run", start).groupBy(*keys, "run").agg(F.sort_array(F.collect_list("_neg")).alias("chain"))
-    first = F.struct(F.element_at("chain", 1).alias("anchor"), F.array().cast("array<struct<v:double,anchor:double>>").alias("done"))
-    folded = F.aggregate(
-        "chain",
-        first,
-        lambda acc, v: F.struct(
-            F.when(v - acc["anchor"] <= tol, acc["anchor"]).otherwise(v).alias("anchor"),
-            F.array_append(
-                acc["done"], F.struct(v.alias("v"), F.when(v - acc["anchor"] <= tol, acc["anchor"]).otherwise(v).alias("anchor"))
-            ).alias("done"),
-        ),
-    )["done"]
-    near_anchor = runs.select(*keys, F.explode(folded).alias("d")).select(*keys, F.col("d.v").alias("_neg"), F.col("d.anchor").alias("_anchor"))
-    out = placed.join(near_anchor, [*keys, "_neg"], "left")
-    return out.select(*keys, (-F.col("_neg")).alias(score), F.coalesce("_anchor", "_neg").alias("tie_anchor"), "before")
+    near = placed.filter(~F.col("opens") | F.col("has_near")).withColumn("run", start)
+    runs = near.groupBy(*keys, "run").agg(F.sort_array(F.collect_list(F.struct("_neg", "before"))).alias("chain"))
+
+    def step(acc, v):
+        anchor = F.when(v["_neg"] - acc["anchor"]["_neg"] <= tol, acc["anchor"]).otherwise(v)
+        done = F.struct(v["_neg"].alias("_neg"), anchor["_neg"].alias("_anchor"), anchor["before"].alias("_ahead"))
+        return F.struct(anchor.alias("anchor"), F.array_append(acc["done"], done).alias("done"))
+
+    empty = F.array().cast("array<struct<_neg:double,_anchor:double,_ahead:bigint>>")
+    folded = F.aggregate("chain", F.struct(F.element_at("chain", 1).alias("anchor"), empty.alias("done")), step)["done"]
+    anchored = runs.select(*keys, F.explode(folded).alias("d")).select(*keys, "d.*")
+    out = placed.join(anchored, [*keys, "_neg"], "left")
+    return out.select(
+        *keys,
+        (-F.col("_neg")).alias(score),
+        F.coalesce("_anchor", "_neg").alias("tie_anchor"),
+        F.coalesce("_ahead", "before").alias("ahead"),
+    )
 
 
 def rank_order(rows: DataFrame, keys: list[str], score: str, market_cap: str = "market_cap", last: str = "isin",
@@ -198,9 +205,7 @@ def rank_order(rows: DataFrame, keys: list[str], score: str, market_cap: str = "
 
     Only tie groups are sorted row by row; everything else comes from the grid positions.
     """
-    anchors = tie_anchors(rows, keys, score, tol)
-    opening = anchors.groupBy(*keys, "tie_anchor").agg(F.min("before").alias("ahead"))
-    tied = rows.join(anchors.select(*keys, score, "tie_anchor"), [*keys, score]).join(opening, [*keys, "tie_anchor"])
+    tied = rows.join(tie_anchors(rows, keys, score, tol), [*keys, score])
     inside = Window.partitionBy(*keys, "tie_anchor").orderBy(F.desc(market_cap), last)
     return tied.withColumn("position", F.col("ahead") + F.row_number().over(inside)).drop("tie_anchor", "ahead")
 

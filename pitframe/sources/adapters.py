@@ -310,47 +310,10 @@ def feature_of(value: Column, missing: int = 0, conflicted: int = 0, drop: int =
     )
 
 
-def population(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per evaluation date and security with both rule sets' features as state structs."""
+def population(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> DataFrame:
+    """One row per evaluation date and security with features (all, or the named ones) as state structs."""
     c = population_cells(spark, sf_dir)
-    text = F.when(F.col("s") % 10 < 9, F.lit("none")).otherwise(F.lit("asm_lt_1"))
-    features = {
-        "adv_20d_cr": feature_of(spread(97, 15.0, 150.0), missing=41),
-        "price_vs_dma50": feature_of(spread(89, 0.95, 1.3, 3)),
-        "price_vs_dma200": feature_of(spread(83, 0.95, 1.4, 5)),
-        "ret_12m_skip_1m": feature_of(spread(79, -0.05, 0.8, 7)),
-        "ret_6m_skip_1m": feature_of(spread(79, -0.1, 0.5, 7)),
-        "realised_vol_60d": feature_of(spread(73, 0.2, 0.5)),
-        "vol_adj_mom_12m": feature_of(spread(7919, 0.3, 2.5, 11), missing=43),
-        "vol_adj_mom_6m": feature_of(spread(6101, 0.2, 2.0, 13), conflicted=29),
-        "rel_strength_6m_vs_index": feature_of(spread(71, 0.0, 0.4, 17)),
-        "delivery_pct_20d_avg": feature_of(spread(67, 0.2, 0.8, 19)),
-        "is_fno_eligible": feature_of(F.col("s") % 2 == 0, missing=61),
-        "atr_pct_20": feature_of(spread(59, 0.01, 0.05)),
-        "circuit_days_60d": feature_of((F.col("s") % 7).cast("double"), missing=47),
-        "surveillance_stage": feature_of(text),
-        "market_breadth": feature_of(spread(53, 0.3, 0.7), missing=37),
-        "operating_history_years": feature_of((F.lit(5) + F.col("s") % 11).cast("double")),
-        "roce_3y_avg": feature_of(spread(5003, 0.1, 0.4, 3), fail=59),
-        "roce_hy_ttm": feature_of(spread(5009, 0.1, 0.4, 5), fail=59),
-        "roce_5y_trend": feature_of(spread(5011, -0.1, 0.2, 7)),
-        "roce_stability": feature_of(spread(5021, 0.8, 1.0, 11), missing=31),
-        "cfo_pat_3y": feature_of(spread(5023, 0.4, 1.5, 13)),
-        "debt_equity": feature_of(spread(5039, 0.0, 1.6, 17), missing=53),
-        "interest_coverage": feature_of(spread(5051, 1.5, 20.0, 19)),
-        "positive_revenue_growth_years_5y": feature_of((F.col("k") % 6).cast("double"), missing=23),
-        "exceptional_frequency": feature_of((F.col("k") % 4).cast("double")),
-        "earnings_yield_ttm": feature_of(spread(5059, 0.005, 0.1, 23)),
-        "ey_median_5y": feature_of(spread(5077, 0.005, 0.1, 29)),
-        "ey_vs_own_5y_median": feature_of(spread(5081, 0.6, 2.0, 31), drop=37),
-        "ev_ebitda_vs_sector": feature_of(spread(5087, 0.4, 1.8, 37), conflicted=19),
-        "earnings_yield_spread": feature_of(spread(5099, -0.03, 0.05, 41), missing=31),
-        "realised_vol_1y": feature_of(spread(101, 0.15, 0.5)),
-        "promoter_pledge_pct": feature_of(spread(103, 0.0, 0.2)),
-        "auditor_resignation_5y": feature_of(F.col("s") % 23 == 0),
-        "forensic_flag_count": feature_of((F.col("s") % 3).cast("double")),
-        "forensic_coverage_pct": feature_of(spread(107, 0.7, 1.0)),
-    }
+    features = population_features()
     return c.select(
         "eval_date",
         "isin",
@@ -359,5 +322,47 @@ def population(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s").alias("market_cap"),
         (F.lit(50.0) + (F.col("s") % 2000).cast("double") / F.lit(10.0)).alias("close"),
         clock.at_ist(F.date_add("eval_date", (F.col("k") % 3).cast("int")), "23:00").alias("signal_at"),
-        *[v.alias(name) for name, v in features.items()],
+        *[features[name]().alias(name) for name in (features if names is None else names)],
     )
+
+
+def population_features() -> dict:
+    """Builders of the population's features by name."""
+    text = F.when(F.col("s") % 10 < 9, F.lit("none")).otherwise(F.lit("asm_lt_1"))
+    return {
+        "adv_20d_cr": lambda: feature_of(spread(97, 15.0, 150.0), missing=41),
+        "price_vs_dma50": lambda: feature_of(spread(89, 0.95, 1.3, 3)),
+        "price_vs_dma200": lambda: feature_of(spread(83, 0.95, 1.4, 5)),
+        "ret_12m_skip_1m": lambda: feature_of(spread(79, -0.05, 0.8, 7)),
+        "ret_6m_skip_1m": lambda: feature_of(spread(79, -0.1, 0.5, 7)),
+        "realised_vol_60d": lambda: feature_of(spread(73, 0.2, 0.5)),
+        "vol_adj_mom_12m": lambda: feature_of(spread(7919, 0.3, 2.5, 11), missing=43),
+        "vol_adj_mom_6m": lambda: feature_of(spread(6101, 0.2, 2.0, 13), conflicted=29),
+        "rel_strength_6m_vs_index": lambda: feature_of(spread(71, 0.0, 0.4, 17)),
+        "delivery_pct_20d_avg": lambda: feature_of(spread(67, 0.2, 0.8, 19)),
+        "is_fno_eligible": lambda: feature_of(F.col("s") % 2 == 0, missing=61),
+        "atr_pct_20": lambda: feature_of(spread(59, 0.01, 0.05)),
+        "circuit_days_60d": lambda: feature_of((F.col("s") % 7).cast("double"), missing=47),
+        "surveillance_stage": lambda: feature_of(text),
+        "market_breadth": lambda: feature_of(spread(53, 0.3, 0.7), missing=37),
+        "operating_history_years": lambda: feature_of((F.lit(5) + F.col("s") % 11).cast("double")),
+        "roce_3y_avg": lambda: feature_of(spread(5003, 0.1, 0.4, 3), fail=59),
+        "roce_hy_ttm": lambda: feature_of(spread(5009, 0.1, 0.4, 5), fail=59),
+        "roce_5y_trend": lambda: feature_of(spread(5011, -0.1, 0.2, 7)),
+        "roce_stability": lambda: feature_of(spread(5021, 0.8, 1.0, 11), missing=31),
+        "cfo_pat_3y": lambda: feature_of(spread(5023, 0.4, 1.5, 13)),
+        "debt_equity": lambda: feature_of(spread(5039, 0.0, 1.6, 17), missing=53),
+        "interest_coverage": lambda: feature_of(spread(5051, 1.5, 20.0, 19)),
+        "positive_revenue_growth_years_5y": lambda: feature_of((F.col("k") % 6).cast("double"), missing=23),
+        "exceptional_frequency": lambda: feature_of((F.col("k") % 4).cast("double")),
+        "earnings_yield_ttm": lambda: feature_of(spread(5059, 0.005, 0.1, 23)),
+        "ey_median_5y": lambda: feature_of(spread(5077, 0.005, 0.1, 29)),
+        "ey_vs_own_5y_median": lambda: feature_of(spread(5081, 0.6, 2.0, 31), drop=37),
+        "ev_ebitda_vs_sector": lambda: feature_of(spread(5087, 0.4, 1.8, 37), conflicted=19),
+        "earnings_yield_spread": lambda: feature_of(spread(5099, -0.03, 0.05, 41), missing=31),
+        "realised_vol_1y": lambda: feature_of(spread(101, 0.15, 0.5)),
+        "promoter_pledge_pct": lambda: feature_of(spread(103, 0.0, 0.2)),
+        "auditor_resignation_5y": lambda: feature_of(F.col("s") % 23 == 0),
+        "forensic_flag_count": lambda: feature_of((F.col("s") % 3).cast("double")),
+        "forensic_coverage_pct": lambda: feature_of(spread(107, 0.7, 1.0)),
+    }
