@@ -11,7 +11,7 @@ from pitframe.functions import scalars
 from pitframe.operators import capacity, rules, windows
 from pitframe.plans import evaluate
 from pitframe.plans.rulesets import MOMENTUM, QUALITY_VALUE
-from pitframe.sources import adapters
+from pitframe.sources import adapters, tables
 
 c = F.col
 MOMENTUM_PARAMS = {"notional_capital": "10000000", "risk_to_stop_pct": "0.005", "max_position_pct": "0.05", "band_fno": "0.25", "band_cash": "0.45"}
@@ -214,6 +214,7 @@ def status(spark, sf_dir):
 @query("R09", "SELECT eval_date, isin, round(rank, 6) AS rank, rank_reason FROM qv_ranked", ("qv_ranked",))
 def ranking(spark, sf_dir):
     f = flat(spark, sf_dir, QUALITY_VALUE).filter(evaluate.universe_member(QUALITY_VALUE))
+    f = tables.materialise(f, "scoring_population")
     return rules.rank_population(f, QUALITY_VALUE).select("eval_date", "isin", F.round("rank", 6).alias("rank"), "rank_reason")
 
 
@@ -321,14 +322,14 @@ def evaluation_sql(prefix, ruleset, params, filters, target, cap_terms, factor,
     gate_params = {k: v for k, v in params.items()}
     checks = f"CASE WHEN coalesce({IMPACT} <= 0.0035 AND v <= 0.1 * adv_20d_cr, false) THEN true ELSE false END" if ruleset.size_checks else "true"
     candidate = filters or "true"
-    return f"""SELECT eval_date, isin, CASE WHEN status = 'candidate' THEN CASE WHEN t.allotted IS NOT NULL THEN 'taken' ELSE 'no_capacity' END ELSE status END AS status, round(j.rank, 6) AS rank, rank_reason, confidence,
- t.allotted, CAST(t.target_qty AS BIGINT) AS target_qty, CAST({tranche} AS BIGINT) AS tranche_1_qty, coalesce(status = 'candidate' AND t.allotted IS NOT NULL AND shown, false) AS published FROM judged j LEFT JOIN taken t USING (eval_date, isin)
+    return f"""SELECT eval_date, isin, CASE WHEN j.status = 'candidate' THEN CASE WHEN t.allotted IS NOT NULL THEN 'taken' ELSE 'no_capacity' END ELSE j.status END AS status, round(j.rank, 6) AS rank, j.rank_reason, j.confidence,
+ t.allotted, CAST(t.target_qty AS BIGINT) AS target_qty, CAST({tranche} AS BIGINT) AS tranche_1_qty, coalesce(j.status = 'candidate' AND t.allotted IS NOT NULL AND j.shown, false) AS published FROM judged j LEFT JOIN taken t USING (eval_date, isin)
 UNION ALL SELECT eval_date, isin, CASE WHEN in_universe THEN 'filtered' ELSE 'not_in_universe' END, NULL, NULL, NULL, NULL, NULL, NULL, false FROM {prefix}_flat WHERE NOT (in_universe AND {f"coalesce({filters}, true)" if filters else "true"})""", f"""
  SELECT *, CASE WHEN gated = 'filtered' THEN 'filter_unknown' WHEN gated = 'candidate' AND NOT {checks} THEN 'size_check_failed' ELSE gated END AS status FROM (
  SELECT *, target / 10000000 AS v, {status_sql(ruleset, f"coalesce({candidate}, false)")} AS gated, ['high', 'medium', 'low', 'insufficient'][CAST(least(drops, 3) + 1 AS INTEGER)] AS confidence, drops <= 1 AS shown FROM (
  SELECT *, {gates_sql(ruleset, gate_params)}, {drops_sql(ruleset)} AS drops, round(least({target}, 500000), 4) AS target FROM {prefix}_ranked))""", f"""
  SELECT *, least(floor(allotted / close), floor(least(500000, allotted) / (close * {factor})){cap_terms}) AS target_qty FROM (
- SELECT *, least(target, {CASH} - prior) AS allotted FROM (SELECT *, coalesce(sum(target) OVER (PARTITION BY eval_date ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior FROM (
+ SELECT *, round(least(target, {CASH} - prior), 4) AS allotted FROM (SELECT *, coalesce(sum(target) OVER (PARTITION BY eval_date ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior FROM (
  SELECT c.*, row_number() OVER (PARTITION BY c.eval_date ORDER BY c.rank DESC, market_cap DESC, c.isin) AS slot, coalesce(n, 0) AS used FROM judged c LEFT JOIN (SELECT eval_date, count(*) AS n FROM population WHERE market_cap % 61 = 0 GROUP BY 1) h USING (eval_date)
  WHERE status = 'candidate' AND market_cap % 61 <> 0) WHERE slot <= {SLOTS} - used) WHERE prior < {CASH})"""
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pitframe.functions.scalars import impact_cost, strict_least
 from pitframe.operators import capacity, rules
 from pitframe.plans.rulesets import RuleSet
+from pitframe.sources.tables import materialise
 
 CRORE = 10_000_000
 
@@ -76,7 +77,9 @@ def evaluate_population(population: DataFrame, ruleset: RuleSet, params: dict, c
     p = sql_params(params)
     flat = rules.flatten(population, ruleset.features).withColumn("in_universe", universe_member(ruleset))
     in_candidates, scored = rules.filter_membership(ruleset, p)
-    flat = flat.withColumn("in_candidates", in_candidates).withColumn("scored", scored & F.col("in_universe"))
+    flat = flat.withColumns({"in_candidates": in_candidates, "scored": scored & F.col("in_universe")})
+    # Read by the quantile passes, the z-scores and the final join: written once at population grain.
+    flat = materialise(flat, "population")
 
     scoring = flat.filter("scored")
     if ruleset.selection == "rank_and_gate":
@@ -99,7 +102,8 @@ def evaluate_population(population: DataFrame, ruleset: RuleSet, params: dict, c
         .when((F.col("status") == "candidate") & too_big, F.lit("size_check_failed"))
         .otherwise(F.col("status"))
     )
-    measured = measured.withColumn("status", final)
+    # Read by the capacity passes and the final join.
+    measured = materialise(measured.withColumn("status", final), "judged")
 
     candidates = measured.filter("status = 'candidate'").select(
         key, entity, "rank", "market_cap", "close", "hard_cap", "target_value",

@@ -295,13 +295,18 @@ def spread(modulus: int, low: float, high: float, salt: int = 1) -> Column:
     return F.lit(low) + step * F.lit(high - low)
 
 
-def feature_of(value: Column, missing: int = 0, conflicted: int = 0, drop: int = 0, fail: int = 0) -> Column:
-    """A feature struct whose state comes from the cell's integers; 0 switches a state off."""
+def feature_of(value: Column, missing: int = 0, conflicted: int = 0, drop: int = 0, fail: int = 0) -> tuple[Column, Column]:
+    """(value, kind) of a feature; the kind comes from the cell's integers and 0 switches a state off."""
     k = F.col("k") + F.col("n")
     kind = F.lit("known")
     for modulus, name in ((fail, "fail"), (drop, "drop"), (conflicted, "conflicted"), (missing, "missing")):
         if modulus:
             kind = F.when(k % modulus == 0, F.lit(name)).otherwise(kind)
+    return value, kind
+
+
+def feature_struct(name: str) -> Column:
+    value, kind = F.col(f"{name}__value"), F.col(f"{name}__kind")
     ood = kind.isin("fail", "drop")
     return F.struct(
         F.when(ood, F.lit("out_of_domain")).otherwise(kind).alias("state"),
@@ -312,8 +317,15 @@ def feature_of(value: Column, missing: int = 0, conflicted: int = 0, drop: int =
 
 def population(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> DataFrame:
     """One row per evaluation date and security with features (all, or the named ones) as state structs."""
-    c = population_cells(spark, sf_dir)
     features = population_features()
+    wanted = list(features) if names is None else names
+    parts = {name: features[name]() for name in wanted}
+    # Values and kinds are columns of their own first, so that the structs refer to them instead of repeating them.
+    c = population_cells(spark, sf_dir).select(
+        "*",
+        *[value.alias(f"{name}__value") for name, (value, _) in parts.items()],
+        *[kind.alias(f"{name}__kind") for name, (_, kind) in parts.items()],
+    )
     return c.select(
         "eval_date",
         "isin",
@@ -322,7 +334,7 @@ def population(spark: SparkSession, sf_dir: str, names: list[str] | None = None)
         F.col("s").alias("market_cap"),
         (F.lit(50.0) + (F.col("s") % 2000).cast("double") / F.lit(10.0)).alias("close"),
         clock.at_ist(F.date_add("eval_date", (F.col("k") % 3).cast("int")), "23:00").alias("signal_at"),
-        *[features[name]().alias(name) for name in (features if names is None else names)],
+        *[feature_struct(name).alias(name) for name in wanted],
     )
 
 

@@ -74,6 +74,17 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """The same rows as a written table in the shared folder.
+
+    Used where a result feeds several passes: it is computed once, survives lost executors, prunes columns on every
+    later read and keeps the plans above it small.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_parquet(df: DataFrame, path: str, partition: str | None = None, files_per_partition: int = 8, mode: str = "append") -> None:
     """Write by date partition. Rows of one date go to a few tasks, not one: a date that holds a third of all rows
     is still spread, and a small one does not leave a file per task."""
