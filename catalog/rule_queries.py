@@ -207,8 +207,9 @@ def status_sql(ruleset, in_candidates, ranked=True):
 def status(spark, sf_dir):
     """Status from the gates, with one input standing in for the rank (R09 and R15 use the real one)."""
     f = flat(spark, sf_dir, QUALITY_VALUE)
-    outcomes = {g.code: rules.gate(g, QUALITY_VALUE) for g in QUALITY_VALUE.gates}
-    return f.select("eval_date", "isin", rules.candidate_status(QUALITY_VALUE, F.lit(True), outcomes, c("roce_5y_trend__rank")).alias("status"))
+    f = f.withColumns({f"gate_{g.code}": rules.gate(g, QUALITY_VALUE) for g in QUALITY_VALUE.gates})
+    outcomes = {g.code: f"gate_{g.code}" for g in QUALITY_VALUE.gates}
+    return f.select("eval_date", "isin", rules.candidate_status(QUALITY_VALUE, "true", outcomes, "roce_5y_trend__rank").alias("status"))
 
 
 @query("R09", "SELECT eval_date, isin, round(rank, 6) AS rank, rank_reason FROM qv_ranked", ("qv_ranked",))

@@ -25,8 +25,16 @@ def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
-def state(feature: str) -> Column:
-    return F.col(f"{feature}__state")
+# Rule expressions are SQL text, so the conditions around them are assembled as text too: one parse per rule.
+NON_KNOWN_SQL = "(" + ", ".join(f"'{s}'" for s in NON_KNOWN) + ")"
+
+
+def sql_any(conditions: list[str]) -> str:
+    return "(" + (" OR ".join(conditions) or "false") + ")"
+
+
+def is_failing(feature: str) -> str:
+    return f"({feature}__state = 'out_of_domain' AND coalesce({feature}__outcome, '') = 'fail')"
 
 
 def flatten(population: DataFrame, features: list[str] | tuple[str, ...]) -> DataFrame:
@@ -34,116 +42,99 @@ def flatten(population: DataFrame, features: list[str] | tuple[str, ...]) -> Dat
 
     A feature the population does not have is missing. A conflicted value ranks but is not known.
     """
-    keep = [c for c in population.columns if c not in features]
-    out = []
+    fields = {f.name: f.dataType for f in population.schema.fields}
+    out = [c for c in fields if c not in features]
     for f in features:
-        if f not in population.columns:
-            out += [F.lit(None).cast("double").alias(f), F.lit("missing").alias(f"{f}__state")]
-            out += [F.lit(None).cast("string").alias(f"{f}__outcome"), F.lit(None).cast("double").alias(f"{f}__rank")]
+        if f not in fields:
+            out += [f"CAST(NULL AS DOUBLE) AS {f}", f"'missing' AS {f}__state", f"CAST(NULL AS STRING) AS {f}__outcome"]
+            out.append(f"CAST(NULL AS DOUBLE) AS {f}__rank")
             continue
-        known_as = F.coalesce(F.col(f)["state"], F.lit("missing"))
-        value = F.col(f)["value"]
-        numeric = population.schema[f].dataType["value"].dataType.typeName() not in ("boolean", "string")
-        exact = quantise(value) if numeric else value
+        numeric = fields[f]["value"].dataType.typeName() not in ("boolean", "string")
+        known_as = f"coalesce({f}.state, 'missing')"
+        exact = f"bround(CAST({f}.value AS DECIMAL(38,18)), 9)" if numeric else f"{f}.value"
+        rank = f"CAST({f}.value AS DOUBLE)" if numeric else "CAST(NULL AS DOUBLE)"
         out += [
-            F.when(known_as == "known", exact).alias(f),
-            known_as.alias(f"{f}__state"),
-            F.col(f)["outcome"].alias(f"{f}__outcome"),
-            (F.when(known_as.isin("known", "conflicted"), value.cast("double")) if numeric else F.lit(None).cast("double")).alias(f"{f}__rank"),
+            f"CASE WHEN {known_as} = 'known' THEN {exact} END AS {f}",
+            f"{known_as} AS {f}__state",
+            f"{f}.outcome AS {f}__outcome",
+            f"CASE WHEN {known_as} IN ('known', 'conflicted') THEN {rank} END AS {f}__rank",
         ]
-    return population.select(*keep, *out)
+    return population.selectExpr(*out)
 
 
 def gate(rule: Gate, rules: RuleSet, params: dict | None = None) -> Column:
     """PASS, FAIL, EXCLUDED or UNKNOWN. Input states decide in a fixed order before the expression is looked at."""
-    def non_known(behaviours):
-        return any_of([state(f).isin(*NON_KNOWN) for f in rule.reads if rules.behaviour(f) in behaviours])
-
-    failing = any_of([(state(f) == "out_of_domain") & (F.col(f"{f}__outcome") == "fail") for f in rule.reads])
-    outside = any_of([state(f) == "out_of_domain" for f in rule.reads])
-    decision = F.expr(rule.expr.format(**(params or {})))
-    return (
-        F.when(non_known(("fail",)), F.lit("FAIL"))
-        .when(non_known(("exclude",)), F.lit("EXCLUDED"))
-        .when(F.coalesce(failing, F.lit(False)), F.lit("FAIL"))
-        .when(outside | non_known(("penalise",)), F.lit("UNKNOWN"))
-        .when(decision.isNull(), F.lit("UNKNOWN"))
-        .when(decision, F.lit("PASS"))
-        .otherwise(F.lit("FAIL"))
-    )
+    def non_known(behaviour):
+        return sql_any([f"{f}__state IN {NON_KNOWN_SQL}" for f in rule.reads if rules.behaviour(f) == behaviour])
+
+    failing = sql_any([is_failing(f) for f in rule.reads])
+    outside = sql_any([f"{f}__state = 'out_of_domain'" for f in rule.reads])
+    decision = rule.expr.format(**(params or {}))
+    return F.expr(f"""CASE WHEN {non_known('fail')} THEN 'FAIL' WHEN {non_known('exclude')} THEN 'EXCLUDED'
+        WHEN {failing} THEN 'FAIL' WHEN {outside} OR {non_known('penalise')} THEN 'UNKNOWN'
+        WHEN ({decision}) IS NULL THEN 'UNKNOWN' WHEN {decision} THEN 'PASS' ELSE 'FAIL' END""")
 
 
 def filter_membership(rules: RuleSet, params: dict | None = None) -> tuple[Column, Column]:
     """(in candidates, in scoring population): FALSE leaves both, UNKNOWN leaves the candidates only."""
-    values = [F.expr(f.expr.format(**(params or {}))) for f in rules.filters]
-    if not values:
-        return F.lit(True), F.lit(True)
-    refused = any_of([F.coalesce(~v, F.lit(False)) for v in values])
-    unknown = any_of([v.isNull() for v in values])
-    return ~refused & ~unknown, ~refused
+    values = [f.expr.format(**(params or {})) for f in rules.filters]
+    refused = sql_any([f"NOT coalesce({v}, true)" for v in values])
+    unknown = sql_any([f"({v}) IS NULL" for v in values])
+    return F.expr(f"NOT {refused} AND NOT {unknown}"), F.expr(f"NOT {refused}")
 
 
-def exit_decision(rule: Exit, condition: Column | None = None) -> Column:
+def exit_decision(rule: Exit) -> Column:
     """FIRE, REVIEW or NO. Every input is read, also in a branch the logic would skip, so an out-of-domain failure
     anywhere fires the exit unless the rule asks for review."""
-    value = F.expr(rule.expr) if condition is None else condition
-    failed = any_of([F.coalesce((state(f) == "out_of_domain") & (F.col(f"{f}__outcome") == "fail"), F.lit(False)) for f in rule.reads])
-    fires = failed if rule.on_out_of_domain == "fire" else F.lit(False)
-    return (
-        F.when(F.coalesce(value, F.lit(False)) | fires, F.lit("FIRE"))
-        .when(value.isNull() | failed, F.lit("REVIEW"))
-        .otherwise(F.lit("NO"))
-    )
+    failed = sql_any([is_failing(f) for f in rule.reads])
+    fires = failed if rule.on_out_of_domain == "fire" else "false"
+    return F.expr(f"""CASE WHEN coalesce({rule.expr}, false) OR {fires} THEN 'FIRE'
+        WHEN ({rule.expr}) IS NULL OR {failed} THEN 'REVIEW' ELSE 'NO' END""")
 
 
 def confidence(rules: RuleSet) -> tuple[Column, Column]:
     """(band, publishable): one band down per feature that is a penalised unknown or a conflicted ranking input."""
     ranking = rules.ranking_inputs()
-    drops = F.lit(0)
+    drops = ["0"]
     for f in rules.features:
-        lowers = F.lit(False)
-        if rules.behaviour(f) == "penalise":
-            lowers = lowers | (state(f) != "known")
-        if f in ranking:
-            lowers = lowers | (state(f) == "conflicted")
-        drops = drops + F.when(lowers, 1).otherwise(0)
-    index = F.least(drops, F.lit(len(BANDS) - 1))
-    band = F.element_at(F.array(*[F.lit(b) for b in BANDS]), index + 1)
-    return band, index <= BANDS.index(PUBLISH_MINIMUM)
-
-
-def candidate_status(rules: RuleSet, in_candidates: Column, gates: dict[str, Column], rank: Column | None) -> Column:
-    """filtered, failed, excluded, unknown_blocked, unrankable or candidate, in that order of precedence."""
+        lowers = [f"{f}__state <> 'known'"] if rules.behaviour(f) == "penalise" else []
+        lowers += [f"{f}__state = 'conflicted'"] if f in ranking else []
+        if lowers:
+            drops.append(f"CASE WHEN {' OR '.join(lowers)} THEN 1 ELSE 0 END")
+    index = f"least({' + '.join(drops)}, {len(BANDS) - 1})"
+    bands = ", ".join(f"'{b}'" for b in BANDS)
+    return F.expr(f"element_at(array({bands}), {index} + 1)"), F.expr(f"{index} <= {BANDS.index(PUBLISH_MINIMUM)}")
+
+
+def candidate_status(rules: RuleSet, in_candidates: str, gates: dict[str, str], rank: str | None) -> Column:
+    """filtered, failed, excluded, unknown_blocked, unrankable or candidate, in that order of precedence.
+
+    ``gates`` maps gate codes to their outcome columns.
+    """
     blocks = {g.code: g.unknown_blocks for g in rules.gates}
-    passed = reduce(
-        lambda a, b: a & b,
-        [(o == "PASS") | ((o == "UNKNOWN") & F.lit(not blocks[code])) for code, o in gates.items()],
-        F.lit(True),
-    )
-    has = {name: any_of([o == name for o in gates.values()]) for name in ("FAIL", "EXCLUDED")}
-    out = (
-        F.when(~in_candidates, F.lit("filtered"))
-        .when(~passed & has["FAIL"], F.lit("failed"))
-        .when(~passed & has["EXCLUDED"], F.lit("excluded"))
-        .when(~passed, F.lit("unknown_blocked"))
-    )
-    if rank is not None:
-        out = out.when(rank.isNull(), F.lit("unrankable"))
-    return out.otherwise(F.lit("candidate"))
+    passes = [f"{o} = 'PASS'" if blocks[code] else f"{o} IN ('PASS', 'UNKNOWN')" for code, o in gates.items()]
+    passed = "(" + (" AND ".join(passes) or "true") + ")"
+
+    def has(outcome):
+        return sql_any([f"{o} = '{outcome}'" for o in gates.values()])
+
+    unranked = f"WHEN {rank} IS NULL THEN 'unrankable'" if rank else ""
+    return F.expr(f"""CASE WHEN NOT {in_candidates} THEN 'filtered' WHEN NOT {passed} AND {has('FAIL')} THEN 'failed'
+        WHEN NOT {passed} AND {has('EXCLUDED')} THEN 'excluded' WHEN NOT {passed} THEN 'unknown_blocked'
+        {unranked} ELSE 'candidate' END""")
 
 
 # --------------------------------------------------------------------------- ranking
 
 
-def input_problem(feature: str, rules: RuleSet) -> Column:
+def input_problem(feature: str, rules: RuleSet) -> str:
     """Why an input leaves a security without a rank; NULL when it does not."""
     behaviour = rules.behaviour(feature)
-    ood = F.when(F.col(f"{feature}__outcome") == "fail", F.lit(f"{feature} out_of_domain (fail)"))
-    out = F.when(state(feature) == "out_of_domain", ood)
+    arms = [f"WHEN {is_failing(feature)} THEN '{feature} out_of_domain (fail)'"]
     if behaviour in ("fail", "exclude"):
-        unusable = state(feature).isin("missing", "stale", "not_applicable")
-        out = out.when(unusable, F.concat(F.lit(f"{feature} "), state(feature), F.lit(f" ({behaviour})")))
-    return out
+        unusable = f"{feature}__state IN ('missing', 'stale', 'not_applicable')"
+        arms.append(f"WHEN {unusable} THEN concat('{feature} ', {feature}__state, ' ({behaviour})')")
+    return f"CASE {' '.join(arms)} END"
 
 
 def composite_score(c: Composite, zs: dict[str, Column]) -> tuple[Column, Column]:
@@ -160,13 +151,13 @@ def rank_population(flat: DataFrame, rules: RuleSet, key: str = "eval_date", ent
     maximum. Z-scores are quantised before they are weighted.
     """
     inputs = rules.ranking_inputs()
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"{f}__rank").alias("value")) for f in inputs])
-    long = flat.select(key, entity, F.explode(pairs).alias("p")).select(key, entity, "p.*")
+    pairs = ", ".join(f"'{f}', {f}__rank" for f in inputs)
+    long = flat.selectExpr(key, entity, f"stack({len(inputs)}, {pairs}) AS (feature, value)")
     scored = cs.zscores(long, [key, "feature"], "value")
-    wide = scored.groupBy(key, entity).agg(*[F.max(F.when(F.col("feature") == f, F.col("z"))).alias(f"{f}__z") for f in inputs])
+    wide = scored.groupBy(key, entity).agg(*[F.expr(f"max(z) FILTER (WHERE feature = '{f}') AS {f}__z") for f in inputs])
     joined = flat.join(wide, [key, entity])
     zs = {f: F.col(f"{f}__z") for f in inputs}
-    problems = F.array_sort(F.array_compact(F.array(*[input_problem(f, rules) for f in inputs])))
+    problems = F.expr(f"array_sort(array_compact(array({', '.join(input_problem(f, rules) for f in inputs)})))")
     reasons, total = [], F.lit(0).cast("decimal(20,9)")
     for c in rules.composites:
         value, reason = composite_score(c, zs)

@@ -88,10 +88,10 @@ def evaluate_population(population: DataFrame, ruleset: RuleSet, params: dict, c
         ranked = scoring.withColumn("rank", F.lit(None).cast("double")).withColumn("rank_reason", F.lit(None).cast("string"))
     gates = {g.code: rules.gate(g, ruleset, p) for g in ruleset.gates}
     ranked = ranked.withColumns({f"gate_{code}": outcome for code, outcome in gates.items()})
-    outcomes = {code: F.col(f"gate_{code}") for code in gates}
-    rank = F.col("rank") if ruleset.selection == "rank_and_gate" else None
+    outcomes = {code: f"gate_{code}" for code in gates}
+    rank = "rank" if ruleset.selection == "rank_and_gate" else None
     band, publishable = rules.confidence(ruleset)
-    status = rules.candidate_status(ruleset, F.col("in_candidates"), outcomes, rank)
+    status = rules.candidate_status(ruleset, "in_candidates", outcomes, rank)
     judged = ranked.withColumns({"status": status, "confidence": band, "publishable": publishable})
 
     measured = with_size_inputs(sized(judged, ruleset, params))

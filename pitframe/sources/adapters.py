@@ -289,29 +289,24 @@ def population_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.sum("o_orderkey").alias("k"), F.sum(cents("o_totalprice")).alias("s"), F.count(F.lit(1)).alias("n"))
 
 
-def spread(modulus: int, low: float, high: float, salt: int = 1) -> Column:
-    """A value in [low, high] from the cell's integers."""
-    step = ((F.col("k") * salt + F.col("s")) % modulus).cast("double") / F.lit(float(modulus - 1))
-    return F.lit(low) + step * F.lit(high - low)
-
-
-def feature_of(value: Column, missing: int = 0, conflicted: int = 0, drop: int = 0, fail: int = 0) -> tuple[Column, Column]:
-    """(value, kind) of a feature; the kind comes from the cell's integers and 0 switches a state off."""
-    k = F.col("k") + F.col("n")
-    kind = F.lit("known")
-    for modulus, name in ((fail, "fail"), (drop, "drop"), (conflicted, "conflicted"), (missing, "missing")):
-        if modulus:
-            kind = F.when(k % modulus == 0, F.lit(name)).otherwise(kind)
-    return value, kind
-
-
-def feature_struct(name: str) -> Column:
-    value, kind = F.col(f"{name}__value"), F.col(f"{name}__kind")
-    ood = kind.isin("fail", "drop")
-    return F.struct(
-        F.when(ood, F.lit("out_of_domain")).otherwise(kind).alias("state"),
-        F.when(kind.isin("known", "conflicted"), value).alias("value"),
-        F.when(ood, kind).alias("outcome"),
+def spread(modulus: int, low: float, high: float, salt: int = 1) -> str:
+    """SQL for a value in [low, high] from the cell's integers."""
+    return f"{low}D + CAST((k * {salt} + s) % {modulus} AS DOUBLE) / {modulus - 1}D * ({high}D - {low}D)"
+
+
+def feature_of(value: str, missing: int = 0, conflicted: int = 0, drop: int = 0, fail: int = 0) -> tuple[str, str]:
+    """(value, kind) of a feature as SQL; the kind comes from the cell's integers and 0 switches a state off."""
+    cases = ((missing, "missing"), (conflicted, "conflicted"), (drop, "drop"), (fail, "fail"))
+    arms = " ".join(f"WHEN (k + n) % {modulus} = 0 THEN '{kind}'" for modulus, kind in cases if modulus)
+    return value, f"CASE {arms} ELSE 'known' END" if arms else "'known'"
+
+
+def feature_struct(name: str) -> str:
+    value, kind = f"{name}__value", f"{name}__kind"
+    return (
+        f"named_struct('state', CASE WHEN {kind} IN ('fail', 'drop') THEN 'out_of_domain' ELSE {kind} END, "
+        f"'value', CASE WHEN {kind} IN ('known', 'conflicted') THEN {value} END, "
+        f"'outcome', CASE WHEN {kind} IN ('fail', 'drop') THEN {kind} END) AS {name}"
     )
 
 
@@ -321,10 +316,10 @@ def population(spark: SparkSession, sf_dir: str, names: list[str] | None = None)
     wanted = list(features) if names is None else names
     parts = {name: features[name]() for name in wanted}
     # Values and kinds are columns of their own first, so that the structs refer to them instead of repeating them.
-    c = population_cells(spark, sf_dir).select(
+    c = population_cells(spark, sf_dir).selectExpr(
         "*",
-        *[value.alias(f"{name}__value") for name, (value, _) in parts.items()],
-        *[kind.alias(f"{name}__kind") for name, (_, kind) in parts.items()],
+        *[f"{value} AS {name}__value" for name, (value, _) in parts.items()],
+        *[f"{kind} AS {name}__kind" for name, (_, kind) in parts.items()],
     )
     return c.select(
         "eval_date",
@@ -334,13 +329,13 @@ def population(spark: SparkSession, sf_dir: str, names: list[str] | None = None)
         F.col("s").alias("market_cap"),
         (F.lit(50.0) + (F.col("s") % 2000).cast("double") / F.lit(10.0)).alias("close"),
         clock.at_ist(F.date_add("eval_date", (F.col("k") % 3).cast("int")), "23:00").alias("signal_at"),
-        *[feature_struct(name).alias(name) for name in wanted],
+        *[F.expr(feature_struct(name)) for name in wanted],
     )
 
 
 def population_features() -> dict:
     """Builders of the population's features by name."""
-    text = F.when(F.col("s") % 10 < 9, F.lit("none")).otherwise(F.lit("asm_lt_1"))
+    text = "CASE WHEN s % 10 < 9 THEN 'none' ELSE 'asm_lt_1' END"
     return {
         "adv_20d_cr": lambda: feature_of(spread(97, 15.0, 150.0), missing=41),
         "price_vs_dma50": lambda: feature_of(spread(89, 0.95, 1.3, 3)),
@@ -352,12 +347,12 @@ def population_features() -> dict:
         "vol_adj_mom_6m": lambda: feature_of(spread(6101, 0.2, 2.0, 13), conflicted=29),
         "rel_strength_6m_vs_index": lambda: feature_of(spread(71, 0.0, 0.4, 17)),
         "delivery_pct_20d_avg": lambda: feature_of(spread(67, 0.2, 0.8, 19)),
-        "is_fno_eligible": lambda: feature_of(F.col("s") % 2 == 0, missing=61),
+        "is_fno_eligible": lambda: feature_of("s % 2 = 0", missing=61),
         "atr_pct_20": lambda: feature_of(spread(59, 0.01, 0.05)),
-        "circuit_days_60d": lambda: feature_of((F.col("s") % 7).cast("double"), missing=47),
+        "circuit_days_60d": lambda: feature_of("CAST(s % 7 AS DOUBLE)", missing=47),
         "surveillance_stage": lambda: feature_of(text),
         "market_breadth": lambda: feature_of(spread(53, 0.3, 0.7), missing=37),
-        "operating_history_years": lambda: feature_of((F.lit(5) + F.col("s") % 11).cast("double")),
+        "operating_history_years": lambda: feature_of("CAST(5 + s % 11 AS DOUBLE)"),
         "roce_3y_avg": lambda: feature_of(spread(5003, 0.1, 0.4, 3), fail=59),
         "roce_hy_ttm": lambda: feature_of(spread(5009, 0.1, 0.4, 5), fail=59),
         "roce_5y_trend": lambda: feature_of(spread(5011, -0.1, 0.2, 7)),
@@ -365,8 +360,8 @@ def population_features() -> dict:
         "cfo_pat_3y": lambda: feature_of(spread(5023, 0.4, 1.5, 13)),
         "debt_equity": lambda: feature_of(spread(5039, 0.0, 1.6, 17), missing=53),
         "interest_coverage": lambda: feature_of(spread(5051, 1.5, 20.0, 19)),
-        "positive_revenue_growth_years_5y": lambda: feature_of((F.col("k") % 6).cast("double"), missing=23),
-        "exceptional_frequency": lambda: feature_of((F.col("k") % 4).cast("double")),
+        "positive_revenue_growth_years_5y": lambda: feature_of("CAST(k % 6 AS DOUBLE)", missing=23),
+        "exceptional_frequency": lambda: feature_of("CAST(k % 4 AS DOUBLE)"),
         "earnings_yield_ttm": lambda: feature_of(spread(5059, 0.005, 0.1, 23)),
         "ey_median_5y": lambda: feature_of(spread(5077, 0.005, 0.1, 29)),
         "ey_vs_own_5y_median": lambda: feature_of(spread(5081, 0.6, 2.0, 31), drop=37),
@@ -374,7 +369,7 @@ def population_features() -> dict:
         "earnings_yield_spread": lambda: feature_of(spread(5099, -0.03, 0.05, 41), missing=31),
         "realised_vol_1y": lambda: feature_of(spread(101, 0.15, 0.5)),
         "promoter_pledge_pct": lambda: feature_of(spread(103, 0.0, 0.2)),
-        "auditor_resignation_5y": lambda: feature_of(F.col("s") % 23 == 0),
-        "forensic_flag_count": lambda: feature_of((F.col("s") % 3).cast("double")),
+        "auditor_resignation_5y": lambda: feature_of("s % 23 = 0"),
+        "forensic_flag_count": lambda: feature_of("CAST(s % 3 AS DOUBLE)"),
         "forensic_coverage_pct": lambda: feature_of(spread(107, 0.7, 1.0)),
     }
