@@ -74,7 +74,7 @@ def _in_rank_order(candidates: DataFrame, key: str, slots: int, entity: str) ->
     empty = F.array().cast("array<struct<rank:double,_anchor:double>>")
     scores = near.select(key, "rank").distinct().groupBy(key).agg(F.sort_array(F.collect_list("rank"), asc=False).alias("scores"))
     folded = F.aggregate("scores", F.struct(F.element_at("scores", 1).alias("anchor"), empty.alias("done")), step)["done"]
-    anchors = scores.select(key, F.explode(folded).alias("a")).select(key, "a.*")
+    anchors = scores.select(key, F.explode(folded).alias("_a")).select(key, "_a.*")
     order = Window.partitionBy(key).orderBy(F.desc("_anchor"), F.desc("market_cap"), entity)
     return near.join(anchors, [key, "rank"]).withColumn("slot", F.row_number().over(order)).filter(F.col("slot") <= slots)
 

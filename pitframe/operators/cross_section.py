@@ -189,7 +189,7 @@ def tie_anchors(rows: DataFrame, keys: list[str], score: str, tol: float = TIE_T
 
     empty = F.array().cast("array<struct<_neg:double,_anchor:double,_ahead:bigint>>")
     folded = F.aggregate("chain", F.struct(F.element_at("chain", 1).alias("anchor"), empty.alias("done")), step)["done"]
-    anchored = runs.select(*keys, F.explode(folded).alias("d")).select(*keys, "d.*")
+    anchored = runs.select(*keys, F.explode(folded).alias("_d")).select(*keys, "_d.*")
     out = placed.join(anchored, [*keys, "_neg"], "left")
     return out.select(
         *keys,

@@ -8,6 +8,7 @@ from statistics import NormalDist
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from pitframe.functions.scalars import ratio
 
@@ -49,7 +50,7 @@ def t_stat(mean: Column, se: Column) -> Column:
     return F.when(se > DEGENERATE_SE, mean / se)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_quantile(p: pd.Series) -> pd.Series:
     """Inverse of the standard normal distribution; Spark has no built-in for it."""
     inverse = NormalDist().inv_cdf
