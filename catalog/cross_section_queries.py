@@ -63,7 +63,7 @@ SELECT session_no, CASE WHEN present AND n >= 45 THEN round(adj_close / m, 6) EN
 WINDOW w AS (PARTITION BY security_id ORDER BY session_no ROWS BETWEEN 49 PRECEDING AND CURRENT ROW))) GROUP BY 1""", ("spine",))
 def breadth(spark, sf_dir):
     """Share above the 50-session average: the data has too few sessions for a breadth of the 200-session one."""
-    f = windows.add_price_features(adapters.spine(spark, sf_dir))
+    f = windows.add_price_features(adapters.spine(spark, sf_dir), ["price_vs_dma50"])
     return cs.market_breadth(f.select("session_no", states.known_value(c("price_vs_dma50")).alias("value")), "session_no", "value")
 
 

@@ -16,8 +16,29 @@ from pitframe.sources import adapters
 c = F.col
 
 
-def annual(spark, sf_dir):
-    """All annual features in one pass over one shuffle by company; unused ones are pruned."""
+ANNUAL = {
+    "operating_history_years": fu.operating_history,
+    "roce_3y_avg": lambda: fu.roce_average(3),
+    "roce_5y_trend": lambda: fu.roce_trend(5),
+    "roce_stability": lambda: fu.roce_stability(5),
+    "cfo_pat_3y": lambda: fu.cash_conversion(3),
+    "debt_equity": lambda: fu.debt_equity(c("borrowings"), c("lease_liabilities"), c("total_equity_owners")),
+    "interest_coverage": lambda: fu.interest_coverage(fu.ebit_underlying(), c("finance_costs")),
+    "growth_years": lambda: fu.growth_years(5),
+    "exceptional_years": lambda: fu.exceptional_years(5),
+    "accrual_high": fu.accrual_high,
+    "receivables_diverging": fu.receivables_diverging,
+    "inventory_applies": lambda: fu.inventory_diverging()[0],
+    "inventory_diverging": lambda: fu.inventory_diverging()[1],
+    "dilution_persistent": lambda: fu.dilution_persistent(c("shares"), c("shares_before")),
+    "related_applies": lambda: fu.related_party_large(c("rpt_total"), c("revenue"), c("disclosure_present"))[0],
+    "related_party_large": lambda: fu.related_party_large(c("rpt_total"), c("revenue"), c("disclosure_present"))[1],
+    "share_growth": fu.share_growth,
+}
+
+
+def annual(spark, sf_dir, *names):
+    """The named annual features in one pass over one shuffle by company."""
     y = fu.add_year_position(fu.add_annual_roce(adapters.fiscal_years(spark, sf_dir)))
     y = y.withColumns({
         "prior_revenue": F.lag("revenue").over(fu.by_year()),
@@ -27,27 +48,7 @@ def annual(spark, sf_dir):
         "inventory_days": ratio(c("inventory"), c("revenue")) * 365,
         "shares_before": F.lag("shares", 5).over(fu.by_year()),
     })
-    applicable, inventory = fu.inventory_diverging()
-    related_applies, related = fu.related_party_large(c("rpt_total"), c("revenue"), c("disclosure_present"))
-    return y.withColumns({
-        "operating_history_years": fu.operating_history(),
-        "roce_3y_avg": fu.roce_average(3),
-        "roce_5y_trend": fu.roce_trend(5),
-        "roce_stability": fu.roce_stability(5),
-        "cfo_pat_3y": fu.cash_conversion(3),
-        "debt_equity": fu.debt_equity(c("borrowings"), c("lease_liabilities"), c("total_equity_owners")),
-        "interest_coverage": fu.interest_coverage(fu.ebit_underlying(), c("finance_costs")),
-        "growth_years": fu.growth_years(5),
-        "exceptional_years": fu.exceptional_years(5),
-        "accrual_high": fu.accrual_high(),
-        "receivables_diverging": fu.receivables_diverging(),
-        "inventory_applies": applicable,
-        "inventory_diverging": inventory,
-        "dilution_persistent": fu.dilution_persistent(c("shares"), c("shares_before")),
-        "related_applies": related_applies,
-        "related_party_large": related,
-        "share_growth": fu.share_growth(),
-    })
+    return y.withColumns({name: ANNUAL[name]() for name in names if name in ANNUAL}) if any(n in ANNUAL for n in names) else y
 
 
 def case(value, *arms):
@@ -75,7 +76,7 @@ view("fy_roce", "SELECT *, " + case("CASE WHEN (ce + prior_ce) / 2 <= 0.05 * ((t
 
 def feature(name):
     def run(spark, sf_dir):
-        return annual(spark, sf_dir).select("company", "fy_no", *states.flat(c(name)))
+        return annual(spark, sf_dir, name).select("company", "fy_no", *states.flat(c(name)))
 
     run.__doc__ = f"{name} at every fiscal year of every company."
     return run
@@ -83,7 +84,7 @@ def feature(name):
 
 def flag(*names):
     def run(spark, sf_dir):
-        return annual(spark, sf_dir).select("company", "fy_no", *names)
+        return annual(spark, sf_dir, *names).select("company", "fy_no", *names)
 
     run.__doc__ = f"{', '.join(names)} at every fiscal year of every company."
     return run
@@ -279,7 +280,7 @@ query("F24", "SELECT company, fy_no, inventory_applies, inventory_diverging FROM
 
 @query("F25", "SELECT company, fy_no, exceptional_habitual FROM fy_flags", ("fy_flags",))
 def exceptional_habitual(spark, sf_dir):
-    return annual(spark, sf_dir).select("company", "fy_no", fu.exceptional_habitual(c("exceptional_years")).alias("exceptional_habitual"))
+    return annual(spark, sf_dir, "exceptional_years").select("company", "fy_no", fu.exceptional_habitual(c("exceptional_years")).alias("exceptional_habitual"))
 
 
 query("F26", "SELECT company, fy_no, dilution_persistent FROM fy_flags", ("fy_flags",))(flag("dilution_persistent"))
@@ -300,7 +301,7 @@ def promoter_reducing(spark, sf_dir):
  (accrual_high IS NOT NULL)::INT + (receivables_diverging IS NOT NULL)::INT + (exceptional_habitual IS NOT NULL)::INT + (dilution_persistent IS NOT NULL)::INT + (inventory_diverging IS NOT NULL)::INT + (related_party_large IS NOT NULL)::INT AS ev,
  coalesce(accrual_high, false)::INT + coalesce(receivables_diverging, false)::INT + coalesce(exceptional_habitual, false)::INT + coalesce(dilution_persistent, false)::INT + coalesce(inventory_diverging, false)::INT + coalesce(related_party_large, false)::INT AS hits FROM fy_flags)""", ("fy_flags",))
 def flag_count(spark, sf_dir):
-    y = annual(spark, sf_dir).withColumn("exceptional_habitual", fu.exceptional_habitual(c("exceptional_years")))
+    y = annual(spark, sf_dir, *ANNUAL).withColumn("exceptional_habitual", fu.exceptional_habitual(c("exceptional_years")))
     always = [(F.lit(True), c(n)) for n in ("accrual_high", "receivables_diverging", "exceptional_habitual", "dilution_persistent")]
     sometimes = [(c("inventory_applies"), c("inventory_diverging")), (c("related_applies"), c("related_party_large"))]
     count, share = fu.flag_count_and_coverage(always + sometimes)
@@ -332,6 +333,6 @@ def fno(spark, sf_dir):
 @query("F33", f"""SELECT company, fy_no, round(ebitda / revenue, 6) AS opm, round(receivables / revenue * 365, 6) AS receivable_days, round(inventory / revenue * 365, 6) AS inventory_days,
 round(shares / lag(shares, 5) OVER ({Y}) - 1, 6) AS share_growth FROM fiscal_years""", ("fiscal_years",))
 def ratios(spark, sf_dir):
-    y = annual(spark, sf_dir)
+    y = annual(spark, sf_dir, "share_growth")
     named = {"opm": ("ebitda", 1.0), "receivable_days": ("receivables", 365.0), "inventory_days": ("inventory", 365.0)}
     return y.select("company", "fy_no", *[fu.per_revenue(c(f), c("revenue"), s)["value"].alias(n) for n, (f, s) in named.items()], c("share_growth.value").alias("share_growth"))

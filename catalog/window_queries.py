@@ -83,7 +83,7 @@ def over(n, last=0):
 
 def one_feature(name):
     def run(spark, sf_dir):
-        features = windows.add_price_features(adapters.spine(spark, sf_dir))
+        features = windows.add_price_features(adapters.spine(spark, sf_dir), [name])
         return features.select("security_id", "session_no", *states.flat(F.col(name)))
 
     run.__doc__ = f"{name} for every security and session."
@@ -118,7 +118,7 @@ vol_view("vol1y", 250, 225)
 FROM mom12) WHERE position <= 10""", ("mom12",))
 def momentum_top10(spark, sf_dir):
     """12-1 momentum, the ten best of each session; sparse data still returns rows, with their state."""
-    features = windows.add_price_features(adapters.spine(spark, sf_dir))
+    features = windows.add_price_features(adapters.spine(spark, sf_dir), ["ret_12m_skip_1m"])
     flat = features.select("security_id", "session_no", *states.flat(F.col("ret_12m_skip_1m")))
     best = Window.partitionBy("session_no").orderBy(F.desc_nulls_last("value"), "security_id")
     return flat.withColumn("position", F.row_number().over(best)).filter(F.col("position") <= 10)
@@ -136,7 +136,7 @@ query("W05", "SELECT * FROM vol1y", ("vol1y",))(one_feature("realised_vol_1y"))
  CASE WHEN s.state = 'known' AND v.state = 'known' THEN 'known' ELSE 'missing' END AS m6_state, CAST(NULL AS VARCHAR) AS m6_outcome
 FROM mom12 m JOIN vol60 v USING (security_id, session_no) JOIN mom6 s USING (security_id, session_no)""", ("mom12", "mom6", "vol60"))
 def vol_adjusted(spark, sf_dir):
-    features = windows.add_price_features(adapters.spine(spark, sf_dir))
+    features = windows.add_price_features(adapters.spine(spark, sf_dir), ["vol_adj_mom_12m", "vol_adj_mom_6m"])
     return features.select(
         "security_id", "session_no",
         *states.flat(F.col("vol_adj_mom_12m"), "m12"), *states.flat(F.col("vol_adj_mom_6m"), "m6"),
@@ -233,8 +233,7 @@ def yield_median(spark, sf_dir):
 
 def stop_paths(spark, sf_dir):
     """A position per security every 40 sessions, filled at the first present open."""
-    features = windows.add_price_features(adapters.spine(spark, sf_dir))
-    bars = features.filter("present").select(
+    bars = adapters.spine(spark, sf_dir).filter("present").select(
         F.concat_ws("-", "security_id", F.floor(F.col("session_no") / 40)).alias("position_id"),
         "session_no", "open", F.col("adj_close").alias("close"),
         F.round(F.least((F.col("adj_high") - F.col("adj_low")) / F.col("adj_close") / 20, F.lit(0.2)), 6).alias("atr_pct"),

@@ -129,28 +129,34 @@ def persist(condition: Column, n: int, frame_of=sessions) -> Column:
     return F.when(F.count(condition).over(frame) >= n, F.bool_and(condition).over(frame))
 
 
-def add_price_features(spine: DataFrame) -> DataFrame:
-    """All price features in one pass over one shuffle of the spine.
-
-    Frames that end at t-21 or earlier and frames that end at t need separate window evaluations, but they share
-    the partitioning and the sort. Columns nobody selects are pruned, windows included.
+PRICE_FEATURES = {
+    "ret_12m_skip_1m": lambda: momentum(21, 252),
+    "ret_6m_skip_1m": lambda: momentum(21, 126),
+    "realised_vol_60d": lambda: realised_vol(60, 54),
+    "realised_vol_1y": lambda: realised_vol(250, 225),
+    "adv_20d_cr": average_traded_value,
+    "delivery_pct_20d_avg": delivery_share,
+    "price_vs_dma50": lambda: price_vs_average(50, 45),
+    "price_vs_dma200": lambda: price_vs_average(200, 180),
+    "atr_pct_20": average_true_range,
+}
+VOL_ADJUSTED = {
+    "vol_adj_mom_12m": ("ret_12m_skip_1m", "realised_vol_60d"),
+    "vol_adj_mom_6m": ("ret_6m_skip_1m", "realised_vol_60d"),
+}
+
+
+def add_price_features(spine: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """Price features (all, or the named ones) in one pass over one shuffle of the spine.
+
+    Frames of different lengths are separate window evaluations, but they share the partitioning and the sort.
     """
-    base = spine.withColumn("log_ret", log_return()).withColumn("true_range", true_range())
-    first = base.select(
-        "*",
-        momentum(21, 252).alias("ret_12m_skip_1m"),
-        momentum(21, 126).alias("ret_6m_skip_1m"),
-        realised_vol(60, 54).alias("realised_vol_60d"),
-        realised_vol(250, 225).alias("realised_vol_1y"),
-        average_traded_value().alias("adv_20d_cr"),
-        delivery_share().alias("delivery_pct_20d_avg"),
-        price_vs_average(50, 45).alias("price_vs_dma50"),
-        price_vs_average(200, 180).alias("price_vs_dma200"),
-        average_true_range().alias("atr_pct_20"),
-    )
-    return first.withColumn(
-        "vol_adj_mom_12m", ratio_of_features(F.col("ret_12m_skip_1m"), F.col("realised_vol_60d"))
-    ).withColumn("vol_adj_mom_6m", ratio_of_features(F.col("ret_6m_skip_1m"), F.col("realised_vol_60d")))
+    wanted = list(PRICE_FEATURES) + list(VOL_ADJUSTED) if names is None else names
+    needed = [n for n in PRICE_FEATURES if n in wanted or any(n in VOL_ADJUSTED[w] for w in wanted if w in VOL_ADJUSTED)]
+    base = spine.withColumns({"log_ret": log_return(), "true_range": true_range()})
+    out = base.select("*", *[PRICE_FEATURES[n]().alias(n) for n in needed])
+    ratios = {n: ratio_of_features(F.col(a), F.col(b)) for n, (a, b) in VOL_ADJUSTED.items() if n in wanted}
+    return out.withColumns(ratios) if ratios else out
 
 
 def yield_median(value: str, n: int = 1250, min_known: int = 750) -> Column:
