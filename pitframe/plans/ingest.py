@@ -74,7 +74,8 @@ def ingest_prices(files: DataFrame, store: Store, received_at: Column, mode: str
     # The same bytes under several names are one file from here on.
     first_name = files.groupBy("file_sha256").agg(F.min("file").alias("file"))
     files = files.join(first_name, fs.FILE, "left_semi")
-    rows, problems = fs.parse_price_files(fs.file_lines(files))
+    lines = tables.materialise(fs.file_lines(files), "lines")
+    rows, problems = fs.parse_price_files(lines)
     rows = tables.materialise(rows, "parsed").withColumn("source_id", F.lit(PRICE_SOURCE))
     rows = bt.not_yet_ingested(rows, store.read("ingestion_log"))
     checked = tables.materialise(quality.quarantine_prices(rows, "file_sha256"), "checked")
