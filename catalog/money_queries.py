@@ -186,10 +186,10 @@ def actions(spark, sf_dir):
     )
 
 
-@query("X11", """SELECT b.security_id, b.trade_date, round(b.close * coalesce(product(a.f), 1), 6) AS adj_close FROM bars b LEFT JOIN (SELECT s_suppkey AS security_id, make_date(CAST(y AS INTEGER), CAST(s_suppkey % 12 + 1 AS INTEGER), 3) AS ex_date, CASE WHEN y % 2 = 0 THEN 0.5 ELSE 0.8 END::DOUBLE AS f
+@query("X11", """SELECT b.security_id, b.trade_date, round(b.close / 97 * coalesce(product(a.f), 1), 6) AS adj_close FROM bars b LEFT JOIN (SELECT s_suppkey AS security_id, make_date(CAST(y AS INTEGER), CAST(s_suppkey % 12 + 1 AS INTEGER), 3) AS ex_date, CASE WHEN y % 2 = 0 THEN 0.5 ELSE 0.8 END::DOUBLE AS f
  FROM supplier, range(1996, 2002) t(y) WHERE s_suppkey < 50) a ON a.security_id = b.security_id AND a.ex_date > b.trade_date GROUP BY 1, 2, b.close""", ("bars",))
 def adjusted(spark, sf_dir):
-    b = adapters.bars(spark, sf_dir).select("security_id", "trade_date", "close")
+    b = adapters.bars(spark, sf_dir).select("security_id", "trade_date", (c("close") / 97).alias("close"))
     return money.adjusted_closes(b, actions(spark, sf_dir), digits=6).select("security_id", "trade_date", "adj_close")
 
 

@@ -18,10 +18,10 @@ def executable_sessions(spark, sf_dir):
     return adapters.sessions(spark, sf_dir).select("trade_date", "session_no")
 
 
-@query("C02", "SELECT security_id, session_no, present, round(tr, 6) AS close FROM spine", ("spine",))
+@query("C02", "SELECT security_id, session_no, present, tr AS close FROM spine", ("spine",))
 def spine(spark, sf_dir):
     s = adapters.spine(spark, sf_dir)
-    return s.select("security_id", "session_no", "present", F.round("tr", 6).alias("close"))
+    return s.select("security_id", "session_no", "present", F.col("tr").alias("close"))
 
 
 def order_days(spark, sf_dir):
@@ -90,10 +90,10 @@ def one_feature(name):
     return run
 
 
-@query("W01", f"SELECT security_id, session_no, round(v, 6) AS value FROM (SELECT security_id, session_no, {look('tr', 21, 'v')} FROM spine)", ("spine",))
+@query("W01", f"SELECT security_id, session_no, v AS value FROM (SELECT security_id, session_no, {look('tr', 21, 'v')} FROM spine)", ("spine",))
 def lookback(spark, sf_dir):
     s = adapters.spine(spark, sf_dir)
-    return s.select("security_id", "session_no", F.round(windows.lookback("tr", 21), 6).alias("value"))
+    return s.select("security_id", "session_no", windows.lookback("tr", 21).alias("value"))
 
 
 def momentum_view(name, near, far):
@@ -247,7 +247,7 @@ def stop_paths(spark, sf_dir):
     )
 
 
-@query("W16", """SELECT position_id, step, round(stop_in_force, 4) AS stop_in_force, CAST(exit_session AS INTEGER) AS exit_session FROM (
+@query("W16", """SELECT position_id, step, stop_in_force, CAST(exit_session AS INTEGER) AS exit_session FROM (
  SELECT *, min(CASE WHEN close < stop_in_force THEN step END) OVER (PARTITION BY position_id) AS exit_session FROM (
   SELECT *, greatest(entry_fill * (1 - 2.5 * atr_at_signal), coalesce(max(peak * (1 - 2.5 * peak_atr)) OVER
      (PARTITION BY position_id ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS stop_in_force FROM (
@@ -263,7 +263,7 @@ def stop_paths(spark, sf_dir):
 WHERE exit_session IS NULL OR step <= exit_session""", ("spine",))
 def trailing_stop(spark, sf_dir):
     stops = windows.trailing_stop(stop_paths(spark, sf_dir))
-    return stops.select("position_id", "step", "stop_in_force", "exit_session")
+    return stops.select("position_id", "step", F.col("stop_tested").alias("stop_in_force"), "exit_session")
 
 
 @query("W17", """SELECT security_id, round(greatest(max((peak - tr) / peak), 0::DOUBLE), 6) AS max_drawdown FROM
