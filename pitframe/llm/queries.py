@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitframe.llm import license_scan
+from pitframe.llm import license_scan, quality_rules
 from pitframe.llm.common import read_table
 
 
@@ -12,9 +12,13 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_license_scan,)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": license_scan.oracle()}
+    return {"op2_quality_rules": quality_rules.oracle(), "op3_license_scan": license_scan.oracle()}
