@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitframe.llm import exact_dedup, license_scan, minhash, quality_rules
+from pitframe.llm import exact_dedup, license_scan, minhash, pii, quality_rules
 from pitframe.llm.common import read_table
 
 
@@ -20,12 +20,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(read_table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_rules, op3_license_scan, op7_exact_dedup, op10_minhash_dedup)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_license_scan, op7_exact_dedup, op9_pii, op10_minhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
