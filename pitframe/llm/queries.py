@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitframe.llm import exact_dedup, license_scan, minhash, pii, quality_rules
+from pitframe.llm import exact_dedup, license_scan, minhash, packing, pii, quality_rules
 from pitframe.llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(read_table(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
 
@@ -29,7 +33,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_rules, op3_license_scan, op7_exact_dedup, op9_pii, op10_minhash_dedup)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_license_scan, op6_best_fit_packing, op7_exact_dedup, op9_pii, op10_minhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -24,14 +24,14 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def chunks(batch: pa.RecordBatch, size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of a few MB of text, so that working memory does not follow the batch; a null text is empty."""
     texts = batch.column("text")
     lengths = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
     start = 0
     while start < batch.num_rows:
         base = lengths[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(lengths, base + CHUNK_BYTES, side="right")))
+        end = max(start + 1, int(np.searchsorted(lengths, base + size, side="right")))
         yield batch.slice(start, end - start)
         start = end
 
