@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitframe.llm import exact_dedup, license_scan, minhash, packing, pii, quality_rules
+import corpus_pipeline
+from pitframe.llm import exact_dedup, license_scan, minhash, mixing, packing, pii, quality_rules
 from pitframe.llm.common import read_table
 
 
@@ -12,6 +13,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(read_table(spark, sf_dir, "documents"))
 
@@ -32,10 +37,14 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_rules, op3_license_scan, op6_best_fit_packing, op7_exact_dedup, op9_pii, op10_minhash_dedup)}
+    return {f.__name__: f for f in (pipeline, op1_mix_sources, op2_quality_rules, op3_license_scan, op6_best_fit_packing, op7_exact_dedup, op9_pii, op10_minhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality_rules.oracle(), "op3_license_scan": license_scan.oracle(), "op7_exact_dedup": exact_dedup.ORACLE,
+    return {"op1_mix_sources": mixing.oracle(), "op2_quality_rules": quality_rules.oracle(), "op3_license_scan": license_scan.oracle(), "op7_exact_dedup": exact_dedup.ORACLE,
             "op10_minhash_dedup": minhash.ORACLE}
