@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from pitframe.llm import exact_dedup, license_scan, minhash, mixing, packing, pii, quality_rules
+from pitframe.llm import exact_dedup, license_scan, minhash, mixing, packing, pii, quality_rules, suffix_dedup
 from pitframe.llm.common import read_table
 
 
@@ -21,6 +21,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(read_table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -42,9 +46,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (pipeline, op1_mix_sources, op2_quality_rules, op3_license_scan, op6_best_fit_packing, op7_exact_dedup, op9_pii, op10_minhash_dedup)}
+    return {f.__name__: f for f in (pipeline, op1_mix_sources, op2_quality_rules, op3_license_scan, op4_suffix_dedup, op6_best_fit_packing, op7_exact_dedup, op9_pii, op10_minhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": mixing.oracle(), "op2_quality_rules": quality_rules.oracle(), "op3_license_scan": license_scan.oracle(), "op7_exact_dedup": exact_dedup.ORACLE,
+    return {"op4_suffix_dedup": suffix_dedup.ORACLE, "op1_mix_sources": mixing.oracle(), "op2_quality_rules": quality_rules.oracle(), "op3_license_scan": license_scan.oracle(), "op7_exact_dedup": exact_dedup.ORACLE,
             "op10_minhash_dedup": minhash.ORACLE}
