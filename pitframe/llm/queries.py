@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from pitframe.llm import exact_dedup, license_scan, minhash, mixing, packing, pii, quality_rules, suffix_dedup
+from pitframe.llm import exact_dedup, license_scan, minhash, mixing, packing, pii, quality_rules, suffix_dedup, toxicity
 from pitframe.llm.common import read_table
 
 
@@ -33,6 +33,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(read_table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (pipeline, op1_mix_sources, op2_quality_rules, op3_license_scan, op4_suffix_dedup, op6_best_fit_packing, op7_exact_dedup, op9_pii, op10_minhash_dedup)}
+    return {f.__name__: f for f in (pipeline, op1_mix_sources, op2_quality_rules, op3_license_scan, op4_suffix_dedup, op6_best_fit_packing, op7_exact_dedup, op8_toxicity, op9_pii, op10_minhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
