@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from pitframe.llm import exact_dedup, license_scan, minhash, mixing, packing, pii, quality_rules, suffix_dedup, toxicity
+from pitframe.llm import exact_dedup, html_text, license_scan, minhash, mixing, packing, pii, quality_rules, suffix_dedup, toxicity
 from pitframe.llm.common import read_table
 
 
@@ -25,6 +25,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (pipeline, op1_mix_sources, op2_quality_rules, op3_license_scan, op4_suffix_dedup, op6_best_fit_packing, op7_exact_dedup, op8_toxicity, op9_pii, op10_minhash_dedup)}
+    return {f.__name__: f for f in (pipeline, op1_mix_sources, op2_quality_rules, op3_license_scan, op4_suffix_dedup, op5_html_extraction, op6_best_fit_packing, op7_exact_dedup, op8_toxicity, op9_pii, op10_minhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
