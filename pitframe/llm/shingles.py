@@ -38,19 +38,16 @@ def chunks(batch: pa.RecordBatch, size: int = CHUNK_BYTES) -> Iterator[pa.Record
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word, and how many words each text has. Words are split at ASCII white space, A-Z lower-cased."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")))
-    offsets = lists.offsets.to_numpy().astype(np.int64)
-    encoded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+    words: list[bytes] = []
+    counts = []
+    for text in texts.to_pylist():
+        own = (text or "").encode().lower().split()  # on bytes both are about ASCII alone
+        counts.append(len(own))
+        words += own
+    encoded = pa.array(words, pa.binary()).dictionary_encode()
     distinct = encoded.dictionary.to_pylist()
-    table = np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) for w in distinct), np.uint64, len(distinct))
-    codes = encoded.indices.to_numpy(zero_copy_only=False)
-    counts = np.diff(offsets)
-    if "" in distinct:  # left by white space at the ends of a text
-        real = codes != distinct.index("")
-        owner = np.repeat(np.arange(len(counts)), counts)
-        counts = np.bincount(owner[real], minlength=len(counts))
-        codes = codes[real]
-    return table[codes], counts
+    table = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
+    return table[encoded.indices.to_numpy(zero_copy_only=False)], np.array(counts)
 
 
 def shingle_sets(texts: pa.Array, width: int = WIDTH) -> list[np.ndarray]:
