@@ -322,10 +322,11 @@ def sentinel_audit(spark, sf_dir):
     return audits
 
 
-@query("V21", LATEST.format(source="events", where="WHERE version_no // 1000 <= 7").replace("SELECT *", "SELECT isin, series, trade_date, version_no", 1), ("events",))
+@query("V21", LATEST.format(source="events", where="WHERE version_no // 1000 <= (SELECT max(version_no // 1000) // 2 FROM events)").replace("SELECT *", "SELECT isin, series, trade_date, version_no", 1), ("events",))
 def pinned_read(spark, sf_dir):
     batches = adapters.events(spark, sf_dir).withColumn("ingest_batch", F.floor(F.col("version_no") / 1000))
-    return bt.latest_events(bt.pinned(batches, 7)).select("isin", "series", "trade_date", "version_no")
+    middle = batches.agg(F.floor(F.max("ingest_batch") / 2)).scalar()
+    return bt.latest_events(bt.pinned(batches, middle)).select("isin", "series", "trade_date", "version_no")
 
 
 @query("V19", """SELECT d AS run_date, domain, CAST(epoch(d) AS BIGINT) + CASE domain WHEN 'disclosure' THEN 52200 ELSE 63000 END AS cutoff_epoch

@@ -129,24 +129,39 @@ def turnover(spark, sf_dir):
 
 
 def trials(spark, sf_dir):
-    """Logged design trials per strategy: the first orders of a customer group."""
-    o = adapters.table(spark, sf_dir, "orders").filter(c("o_orderkey") % 50 == 0)
+    """Logged design trials per strategy: the orders of a customer group."""
+    o = adapters.table(spark, sf_dir, "orders")
     return o.groupBy((c("o_custkey") % 50).alias("security_id")).agg(F.count(F.lit(1)).alias("n_trials"))
 
 
-@query("A12")
+def quantile_sql(p: str) -> str:
+    """The rational form of ``stats.normal_quantile`` in SQL."""
+    def ratio(pair, r):
+        nest = lambda values: values[0] if len(values) == 1 else f"({values[0]} + {r} * {nest(values[1:])})"
+        return f"{nest([repr(v) for v in pair[0]])} / {nest([repr(v) for v in pair[1]])}"
+
+    q, tail = f"(({p}) - 0.5)", f"sqrt(-ln(least({p}, 1.0 - ({p}))))"
+    return (f"CASE WHEN ({p}) <= 0 OR ({p}) >= 1 THEN NULL WHEN abs({q}) <= 0.425 THEN {q} * {ratio(stats.CENTRE, f'(0.180625 - {q} * {q})')} "
+            f"ELSE sign({q}) * CASE WHEN {tail} <= 5 THEN {ratio(stats.NEAR_TAIL, f'({tail} - 1.6)')} ELSE {ratio(stats.FAR_TAIL, f'({tail} - 5)')} END END")
+
+
+view("trials", "SELECT o_custkey % 50 AS security_id, count(*) AS n_trials FROM orders GROUP BY 1")
+view("hurdles", f"SELECT security_id, n_trials, {quantile_sql('1.0 - 0.05::DOUBLE / (2 * greatest(n_trials, 1))')} AS hurdle FROM trials", ("trials",))
+
+
+@query("A12", "SELECT security_id, n_trials, round(hurdle, 6) AS hurdle FROM hurdles", ("hurdles",))
 def hurdle(spark, sf_dir):
-    """No SQL: DuckDB has no inverse normal; tests compare with fixed values."""
     t = trials(spark, sf_dir)
     return t.select("security_id", "n_trials", F.round(stats.promotion_hurdle(c("n_trials")), 6).alias("hurdle"))
 
 
-# Without the hurdle, whose inverse normal DuckDB lacks; tests cover the whole decision with fixed values.
-@query("A13", """SELECT d.security_id, CASE WHEN d.se > 1e-12 THEN round(d.mean / d.se, 6) END AS design_t, NOT d.se > 1e-12 AS degenerate, h.mean > 0 AS holdout_positive,
-h.mean >= d.mean - 2 * h.se AS holdout_consistent, round(h.se, 6) AS holdout_se FROM nw_design d JOIN nw_holdout h USING (security_id)""", ("nw_design", "nw_holdout"))
+@query("A13", """SELECT security_id, round(t, 6) AS design_t, t IS NULL AS degenerate, round(hurdle, 6) AS hurdle, coalesce(t >= hurdle, false) AS design_pass, positive AS holdout_positive,
+consistent AS holdout_consistent, round(se_h, 6) AS holdout_se, round(hurdle * se_d * 12, 6) AS min_detectable_alpha, coalesce(t >= hurdle, false) AND positive AND consistent AS promoted FROM (
+SELECT d.security_id, CASE WHEN d.se > 1e-12 THEN d.mean / d.se END AS t, d.se AS se_d, h.se AS se_h, h.mean > 0 AS positive, h.mean >= d.mean - 2 * h.se AS consistent, hurdle
+FROM nw_design d JOIN nw_holdout h USING (security_id) JOIN hurdles USING (security_id))""", ("nw_design", "nw_holdout", "hurdles"))
 def promotion(spark, sf_dir):
     out = stats.promotion_decisions(monthly_excess(spark, sf_dir), trials(spark, sf_dir), "security_id", "month_no")
-    return out.select("security_id", "design_t", "degenerate", "holdout_positive", "holdout_consistent", "holdout_se")
+    return out
 
 
 @query("A14", """SELECT company, coalesce(bool_and((x > 0) = (ctr > 0)) AND min(abs(x)) >= 0.5 * abs(max(ctr)) AND abs(max(ctr)) <= 1.5 * abs(avg(x)), false) AS stable FROM (
@@ -183,9 +198,9 @@ def signals(spark, sf_dir):
     return adapters.population(spark, sf_dir, []).select("eval_date", "isin", "signal_at", "market_cap")
 
 
-@query("T02", "SELECT * FROM (SELECT eval_date, isin, CAST(row_number() OVER (PARTITION BY eval_date ORDER BY signal_epoch, market_cap DESC, isin) AS INTEGER) AS position FROM population) WHERE position <= 100", ("population",))
+@query("T02", "SELECT eval_date, isin, row_number() OVER (PARTITION BY eval_date ORDER BY signal_epoch, market_cap DESC, isin) AS position FROM population", ("population",))
 def earliest_signal(spark, sf_dir):
-    return cs.earliest_signal_first(signals(spark, sf_dir), "eval_date", 100).select("eval_date", "isin", "position")
+    return cs.earliest_signal_first(signals(spark, sf_dir), "eval_date").select("eval_date", "isin", "position")
 
 
 @query("T03", "SELECT * FROM (SELECT eval_date, isin, market_cap, CAST(row_number() OVER (PARTITION BY eval_date ORDER BY market_cap DESC, isin) AS INTEGER) AS position FROM population) WHERE position <= 50", ("population",))

@@ -179,15 +179,15 @@ def isin_change(spark, sf_dir):
 
 def actions(spark, sf_dir):
     """One action per security and year: a date and a factor from the supplier table."""
-    s = adapters.table(spark, sf_dir, "supplier").filter("s_suppkey < 50")
+    s = adapters.table(spark, sf_dir, "supplier").select((c("s_suppkey") % 50).alias("security_id")).distinct()
     year = F.explode(F.sequence(F.lit(1996), F.lit(2001))).alias("year")
-    return s.select(c("s_suppkey").alias("security_id"), year).select(
+    return s.select("security_id", year).select(
         "security_id", F.make_date("year", (c("security_id") % 12 + 1).cast("int"), F.lit(3)).alias("ex_date"), F.when(c("year") % 2 == 0, F.lit(0.5)).otherwise(F.lit(0.8)).alias("f")
     )
 
 
-@query("X11", """SELECT b.security_id, b.trade_date, round(b.close / 97 * coalesce(product(a.f), 1), 6) AS adj_close FROM bars b LEFT JOIN (SELECT s_suppkey AS security_id, make_date(CAST(y AS INTEGER), CAST(s_suppkey % 12 + 1 AS INTEGER), 3) AS ex_date, CASE WHEN y % 2 = 0 THEN 0.5 ELSE 0.8 END::DOUBLE AS f
- FROM supplier, range(1996, 2002) t(y) WHERE s_suppkey < 50) a ON a.security_id = b.security_id AND a.ex_date > b.trade_date GROUP BY 1, 2, b.close""", ("bars",))
+@query("X11", """SELECT b.security_id, b.trade_date, round(b.close / 97 * coalesce(product(a.f), 1), 6) AS adj_close FROM bars b LEFT JOIN (SELECT s AS security_id, make_date(CAST(y AS INTEGER), CAST(s % 12 + 1 AS INTEGER), 3) AS ex_date, CASE WHEN y % 2 = 0 THEN 0.5 ELSE 0.8 END::DOUBLE AS f
+ FROM (SELECT DISTINCT s_suppkey % 50 AS s FROM supplier), range(1996, 2002) t(y)) a ON a.security_id = b.security_id AND a.ex_date > b.trade_date GROUP BY 1, 2, b.close""", ("bars",))
 def adjusted(spark, sf_dir):
     b = adapters.bars(spark, sf_dir).select("security_id", "trade_date", (c("close") / 97).alias("close"))
     return money.adjusted_closes(b, actions(spark, sf_dir), digits=6).select("security_id", "trade_date", "adj_close")

@@ -114,14 +114,14 @@ vol_view("vol60", 60, 54)
 vol_view("vol1y", 250, 225)
 
 
-@query("W02", """SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY session_no ORDER BY value DESC NULLS LAST, security_id) AS INTEGER) AS position
-FROM mom12) WHERE position <= 10""", ("mom12",))
-def momentum_top10(spark, sf_dir):
-    """12-1 momentum, the ten best of each session; sparse data still returns rows, with their state."""
+@query("W02", """SELECT *, CAST(row_number() OVER (PARTITION BY session_no ORDER BY value DESC NULLS LAST, security_id) AS INTEGER) AS position
+FROM mom12""", ("mom12",))
+def momentum_ranked(spark, sf_dir):
+    """12-1 momentum of every security and session, with its place in the session; sparse data still returns rows, with their state."""
     features = windows.add_price_features(adapters.spine(spark, sf_dir), ["ret_12m_skip_1m"])
     flat = features.select("security_id", "session_no", *states.flat(F.col("ret_12m_skip_1m")))
     best = Window.partitionBy("session_no").orderBy(F.desc_nulls_last("value"), "security_id")
-    return flat.withColumn("position", F.row_number().over(best)).filter(F.col("position") <= 10)
+    return flat.withColumn("position", F.row_number().over(best))
 
 
 query("W03", "SELECT * FROM mom6", ("mom6",))(one_feature("ret_6m_skip_1m"))

@@ -104,7 +104,7 @@ def duplicate_versions(events: DataFrame, keys=KEY) -> DataFrame:
     return counts.filter(F.col("copies") > 1)
 
 
-def pinned(rows: DataFrame, pin: int, batch: str = "ingest_batch") -> DataFrame:
+def pinned(rows: DataFrame, pin: int | Column, batch: str = "ingest_batch") -> DataFrame:
     """Reads at a pin do not see later batches."""
     return rows.filter(F.col(batch) <= pin)
 

@@ -221,5 +221,7 @@ def top_by_market_cap(rows: DataFrame, key: str = "eval_date", n: int = 500) ->
     return first_n(rows, [key], [F.desc("market_cap"), F.col("isin")], n)
 
 
-def earliest_signal_first(rows: DataFrame, key: str, n: int) -> DataFrame:
-    return first_n(rows, [key], [F.col("signal_at"), F.desc("market_cap"), F.col("isin")], n)
+def earliest_signal_first(rows: DataFrame, key: str) -> DataFrame:
+    """``position`` of every row: earlier signal, then larger market cap, then identifier."""
+    timed = rows.withColumn("_score", -F.col("signal_at").cast("double"))
+    return rank_order(timed, [key], "_score", tol=0.0).drop("_score")
