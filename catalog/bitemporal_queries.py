@@ -114,17 +114,17 @@ def attach_sql(prices, picked, horizon):
  d.availability_inferred AS delivery_availability_inferred, d.usable_epoch AS delivery_usable_epoch, c.coverage_usable_epoch
 FROM {prices} p LEFT JOIN {picked} d USING (isin, series, trade_date)
 LEFT JOIN (SELECT DISTINCT isin, series, trade_date FROM deliveries WHERE quarantined) q USING (isin, series, trade_date)
-LEFT JOIN (SELECT trade_date, min(usable_epoch) AS coverage_usable_epoch FROM deliveries WHERE usable_epoch <= {horizon} GROUP BY 1) c USING (trade_date)"""
+LEFT JOIN (SELECT trade_date, min(usable_epoch) AS coverage_usable_epoch FROM delivery_files WHERE complete AND usable_epoch <= {horizon} GROUP BY 1) c USING (trade_date)"""
 
 
 view("known_canonical", CANONICAL.format(source="known_events"), ("known_events",))
-view("known_deliveries", LATEST.format(source="deliveries", where=f"WHERE NOT quarantined AND usable_epoch <= {CUT} AND trade_date <= DATE '{RUN_DATE}'"), ("deliveries",))
-view("history", attach_sql("known_canonical", "known_deliveries", CUT), ("known_canonical", "known_deliveries", "deliveries"))
+view("known_deliveries", LATEST.format(source="deliveries", where=f"WHERE NOT quarantined AND usable_epoch <= {CUT} AND trade_date <= DATE '{RUN_DATE}'") + " AND NOT is_tombstone", ("deliveries",))
+view("history", attach_sql("known_canonical", "known_deliveries", CUT), ("known_canonical", "known_deliveries", "deliveries", "delivery_files"))
 WITHIN = f"AND trade_date BETWEEN DATE '{START}' AND DATE '{END}'"
 view("first_prices", FIRST_KNOWN.format(source="events", horizon=epoch(END, EOD), where=WITHIN) + " AND NOT is_tombstone", ("events",))
 view("first_canonical", CANONICAL.format(source="first_prices"), ("first_prices",))
-view("first_deliveries", FIRST_KNOWN.format(source="deliveries", horizon=epoch(END, EOD), where=WITHIN + " AND NOT quarantined"), ("deliveries",))
-view("panel", attach_sql("first_canonical", "first_deliveries", epoch(END, EOD)), ("first_canonical", "first_deliveries", "deliveries"))
+view("first_deliveries", FIRST_KNOWN.format(source="deliveries", horizon=epoch(END, EOD), where=WITHIN + " AND NOT quarantined") + " AND NOT is_tombstone", ("deliveries",))
+view("panel", attach_sql("first_canonical", "first_deliveries", epoch(END, EOD)), ("first_canonical", "first_deliveries", "deliveries", "delivery_files"))
 
 
 def history_columns(rows):
@@ -136,11 +136,11 @@ def history_columns(rows):
 
 @query("V11", f"SELECT {HISTORY_COLUMNS} FROM history", ("history",))
 def history(spark, sf_dir):
-    return history_columns(bt.history_known_as_of(adapters.events(spark, sf_dir), adapters.deliveries(spark, sf_dir), RUN_DATE))
+    return history_columns(bt.history_known_as_of(adapters.events(spark, sf_dir), adapters.deliveries(spark, sf_dir), adapters.delivery_files(spark, sf_dir), RUN_DATE))
 
 
 def panel_rows(spark, sf_dir):
-    return bt.point_in_time_panel(adapters.events(spark, sf_dir), adapters.deliveries(spark, sf_dir), START, END)
+    return bt.point_in_time_panel(adapters.events(spark, sf_dir), adapters.deliveries(spark, sf_dir), adapters.delivery_files(spark, sf_dir), START, END)
 
 
 @query("V12", f"SELECT {HISTORY_COLUMNS} FROM panel", ("panel",))

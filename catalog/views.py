@@ -65,9 +65,12 @@ SELECT 'INE' || lpad(CAST(o_custkey % 20 AS VARCHAR), 9, '0') AS isin,
        CAST(round(o_totalprice * 100) AS BIGINT) % 5003 AS delivery_qty,
        CAST(round(o_totalprice * 100) AS BIGINT) % 9973 AS traded_qty_reported,
        CAST(epoch(date_trunc('week', o_orderdate)) AS BIGINT) + (o_orderkey % 7) * 86400 + 62100 AS usable_epoch,
-       o_orderkey % 7 = 0 AS availability_inferred, o_orderkey % 37 = 0 AS quarantined
+       o_orderkey % 7 = 0 AS availability_inferred, o_orderkey % 37 = 0 AS quarantined, o_orderkey % 5 = 0 AS is_tombstone
 FROM orders WHERE o_orderstatus = 'F'""")
 
+view("delivery_files", """
+SELECT DISTINCT trade_date, usable_epoch, ((trade_date - DATE '1992-01-06') // 7) % 5 <> 0 AS complete FROM deliveries""", ("deliveries",))
+
 view("facts", """
 SELECT 'INE' || lpad(CAST(o_custkey % 100 AS VARCHAR), 9, '0') AS isin,
        CASE WHEN o_orderstatus = 'F' OR o_orderkey % 2 = 0 THEN 'consolidated' ELSE 'standalone' END AS basis,

@@ -158,32 +158,34 @@ def attach_delivery(prices: DataFrame, delivery: DataFrame, coverage: DataFrame,
     )
 
 
-def delivery_coverage(delivery: DataFrame, horizon: Column) -> DataFrame:
-    """First moment each date's delivery file was usable, as far as the horizon shows."""
-    seen = delivery.filter(F.col("usable_from") <= horizon)
+def delivery_coverage(coverage: DataFrame, horizon: Column) -> DataFrame:
+    """First moment each date's complete delivery file was usable, as far as the horizon shows."""
+    seen = coverage.filter((F.col("usable_from") <= horizon) & F.col("complete"))
     return seen.groupBy("trade_date").agg(F.min("usable_from").alias("coverage_usable_from"))
 
 
-def history_known_as_of(prices: DataFrame, deliveries: DataFrame, run_date: str) -> DataFrame:
-    """Strategy-facing history: what was known at one run's exchange cutoff."""
+def history_known_as_of(prices: DataFrame, deliveries: DataFrame, coverage: DataFrame, run_date: str) -> DataFrame:
+    """Strategy-facing history: what was known at one run's exchange cutoff. ``coverage``: trade_date, complete, usable_from of
+    the delivery files."""
     day = as_day(run_date)
     cut = exchange_cutoff(day)
     p = canonical_prices(active(latest_usable(prices.filter(F.col("trade_date") <= day), cut)))
-    return _with_delivery(p, deliveries.filter(F.col("trade_date") <= day), cut, lambda d: latest_usable(d, cut))
+    return _with_delivery(p, deliveries.filter(F.col("trade_date") <= day), coverage, cut, lambda d: latest_usable(d, cut))
 
 
-def point_in_time_panel(prices: DataFrame, deliveries: DataFrame, start: str, end: str) -> DataFrame:
+def point_in_time_panel(prices: DataFrame, deliveries: DataFrame, coverage: DataFrame, start: str, end: str) -> DataFrame:
     """Each bar as first known at its own date's cutoff, over a range of dates in one pass."""
     horizon = exchange_cutoff(as_day(end))
     within = F.col("trade_date").between(as_day(start), as_day(end))
     p = canonical_prices(active(first_known(prices.filter(within), horizon)))
-    return _with_delivery(p, deliveries.filter(within), horizon, lambda d: first_known(d, horizon))
+    return _with_delivery(p, deliveries.filter(within), coverage, horizon, lambda d: first_known(d, horizon))
 
 
-def _with_delivery(prices: DataFrame, deliveries: DataFrame, horizon: Column, select) -> DataFrame:
+def _with_delivery(prices: DataFrame, deliveries: DataFrame, coverage: DataFrame, horizon: Column, select) -> DataFrame:
+    """A withdrawn delivery is chosen like any other version and then reads as missing."""
     accepted = deliveries.filter(~F.col("quarantined"))
     quarantined = deliveries.filter("quarantined").select(*KEY).distinct()
-    return attach_delivery(prices, select(accepted), delivery_coverage(deliveries, horizon), quarantined)
+    return attach_delivery(prices, active(select(accepted)), delivery_coverage(coverage, horizon), quarantined)
 
 
 def panel_as_of(panel: DataFrame, decision_date: str) -> DataFrame:

@@ -167,9 +167,16 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         clock.at_ist(F.date_add(trade_date, (F.col("o_orderkey") % 7).cast("int")), "22:45").alias("usable_from"),
         (F.col("o_orderkey") % 7 == 0).alias("availability_inferred"),
         (F.col("o_orderkey") % 37 == 0).alias("quarantined"),
+        (F.col("o_orderkey") % 5 == 0).alias("is_tombstone"),
     )
 
 
+def delivery_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivery files by date and arrival; the files of every fifth week were never complete."""
+    week_no = F.floor(F.datediff("trade_date", F.lit("1992-01-06").cast("date")) / 7)
+    return deliveries(spark, sf_dir).select("trade_date", "usable_from", (week_no % 5 != 0).alias("complete")).distinct()
+
+
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Period facts with restatements: one version per order, filed 30 to 89 days after the quarter end."""
     o = table(spark, sf_dir, "orders")
