@@ -24,9 +24,16 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for checkpoints: the cluster's ``spark.checkpoint.dir``, or a temporary one only where it is unset."""
+    """Folder for checkpoints and written intermediate tables: the cluster's ``spark.checkpoint.dir``.
+
+    Executors of a cluster do not see a folder that the driver makes for itself, so a missing setting is an error there. A local
+    master has one machine only and gets a temporary folder.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         shared = tempfile.mkdtemp(prefix="pitframe-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", shared)
     spark.sparkContext.setCheckpointDir(shared)
