@@ -21,8 +21,11 @@ from pyspark.sql import types as T
 from pitframe.llm.common import BLANKS, whole
 from pitframe.sources.tables import materialise, scratch
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: State on disk; a partition's store is closed after its commit, so that open stores do not add up on an executor.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -53,8 +56,9 @@ def stream_groups(arrived: DataFrame, batches: int = 3) -> DataFrame:
     files = arrived.inputFiles()
     path = files[0].rsplit("/", 1)[0]
     folder = scratch(spark, "dedup-state")
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         stream = spark.readStream.schema(arrived.schema).option("maxFilesPerTrigger", max(1, math.ceil(len(files) / batches))).parquet(path)
         # most code points first, then the smallest identifier; a null identifier comes last
@@ -68,7 +72,8 @@ def stream_groups(arrived: DataFrame, batches: int = 3) -> DataFrame:
                  .trigger(availableNow=True).foreachBatch(write).start())
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     updates = spark.read.schema(groups.schema.add("batch", T.IntegerType())).parquet(f"{folder}/updates")
     last = updates.groupBy("digest").agg(F.max(F.struct("batch", "best", "group_size")).alias("s"))
     return last.select("digest", (-F.col("s.best.rank")).alias("keep_id"), F.col("s.best.locator").alias("locator"), F.col("s.group_size").alias("group_size"))
