@@ -2,8 +2,8 @@
 
 The labels table says toxic or not. Severity grades are made from it: clean rows have grade 0, and toxic rows are graded 1 to 3 by
 thirds of how many marker words they hold, a marker being a word of several toxic rows and of no clean one in the sample.
-The model is P(grade > k) = logistic(w . x - threshold k) with one weight vector for all thresholds, fitted with an L1 penalty,
-so that most words have no weight. x counts, for each feature (a word, or the first four or five letters of one), the
+The model is P(grade > k) = logistic(w . x - threshold k) with one weight vector for all thresholds. An L1 penalty
+chooses the features, so that most words have no weight; those that stay are fitted again without it. x counts, for each feature (a word, or the first four or five letters of one), the
 document's distinct words that have it; the score of a document is therefore a sum over its distinct words.
 
 The model is fitted on a bounded sample of labelled rows, ``Fit.rows`` of each class chosen by a hash of the id, weighted by how
@@ -36,7 +36,8 @@ class Fit:
     least_rows: int = 6  # toxic rows that a feature must be in
     steps: int = 300
     rate: float = 0.05
-    l1: float = 2e-3
+    l1: float = 5e-4
+    least_weight: float = 0.2  # of a feature that stays
 
 
 @dataclass
@@ -112,7 +113,11 @@ def fit_model(rows: list[tuple[str, int]], counts: dict[int, int], fit: Fit = Fi
     w = np.zeros(len(kept))
     cut = np.array([1.0, 0.0, 0.0])  # the first threshold and the logarithms of the steps to the next ones
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (w, cut)]
-    for step in range(1, fit.steps + 1):
+    for step in range(1, 2 * fit.steps + 1):
+        if step == fit.steps + 1:  # the penalty has chosen the features; their weights are now fitted without it
+            support = np.abs(w) >= fit.least_weight
+            w[~support] = 0
+            moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (w, cut)]
         thresholds = np.r_[cut[0], cut[0] + np.cumsum(np.exp(cut[1:]))]
         z = np.bincount(row, value * w[column], len(rows))[:, None] - thresholds
         above = np.c_[np.ones(len(rows)), _logistic(z), np.zeros(len(rows))]  # P(grade >= k)
@@ -123,12 +128,19 @@ def fit_model(rows: list[tuple[str, int]], counts: dict[int, int], fit: Fit = Fi
         by_z = by_low + by_high
         by_threshold = np.array([-(by_low[grade == k + 1].sum() + by_high[grade == k].sum()) for k in range(GRADES - 1)])
         later = np.cumsum(by_threshold[::-1])[::-1]
-        gradients = (np.bincount(column, value * by_z[row], len(kept)), np.r_[later[0], later[1:] * np.exp(cut[1:])])
+        by_w = np.bincount(column, value * by_z[row], len(kept))
+        if step <= fit.steps:
+            by_w = np.where(w != 0, by_w - fit.l1 * np.sign(w), np.sign(by_w) * np.maximum(np.abs(by_w) - fit.l1, 0))
+        else:
+            by_w = np.where(support, by_w, 0)
+        gradients = (by_w, np.r_[later[0], later[1:] * np.exp(cut[1:])])
+        before = w.copy()
+        age = step if step <= fit.steps else step - fit.steps
         for parameter, g, (m, v) in zip((w, cut), gradients, moments, strict=True):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
-            parameter += fit.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-        w[:] = np.sign(w) * np.maximum(np.abs(w) - fit.rate * fit.l1 * 10, 0)
+            parameter += fit.rate * (m / (1 - 0.9**age)) / (np.sqrt(v / (1 - 0.99**age)) + 1e-8)
+        w[before * w < 0] = 0  # a weight that changes sides stops at zero
     thresholds = np.r_[cut[0], cut[0] + np.cumsum(np.exp(cut[1:]))]
     return Model({f: float(x) for f, x in zip(kept, w, strict=True) if x}, thresholds)
 
