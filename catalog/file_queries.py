@@ -131,17 +131,28 @@ def receipt_audit(spark, sf_dir):
     return fs.receipt_audit(landed, files).groupBy("problem").agg(F.count(F.lit(1)).alias("files"))
 
 
-@query("ST1", """SELECT q.trade_date, isin, 1 AS version_no, price AS close, true AS availability_inferred FROM quotes q JOIN (SELECT trade_date, n, lag(n) OVER (ORDER BY trade_date) AS p FROM (SELECT trade_date, count(*) AS n FROM quotes GROUP BY 1)) g USING (trade_date)
-WHERE p IS NULL OR n * 10 >= p * 9""", ("quotes",))
+@query("ST1", """WITH RECURSIVE weeks AS (SELECT trade_date, count(*) AS n, row_number() OVER (ORDER BY trade_date) AS k FROM quotes GROUP BY 1),
+accepted(k, trade_date, taken, prior) AS (SELECT k, trade_date, true, n FROM weeks WHERE k = 1 UNION ALL
+ SELECT w.k, w.trade_date, w.n * 10 >= a.prior * 9, CASE WHEN w.n * 10 >= a.prior * 9 THEN w.n ELSE a.prior END FROM accepted a JOIN weeks w ON w.k = a.k + 1)
+SELECT q.trade_date, isin, 1 AS version_no, price AS close, true AS availability_inferred FROM quotes q JOIN accepted a USING (trade_date) WHERE taken""", ("quotes",))
 def arrivals(spark, sf_dir):
-    """The files of every week through the stream, twice with separate checkpoints: the second pass adds nothing.
+    """The weekly files as they come, in thirds of the calendar, each a micro-batch of one stream; then all once more under
+    another checkpoint, which adds nothing.
 
-    Weeks whose file is below nine tenths of the week before are refused by the row-count guard.
+    A file below nine tenths of the last accepted week before it is refused by the row-count guard.
     """
     store = ingest.Store(spark, tables.scratch(spark, "store"))
-    inbox = price_folder(spark, sf_dir)
-    for run in (1, 2):
-        checkpoint = f"{ensure_checkpoint_dir(spark)}/{store.root.rsplit('/', 1)[-1]}-{run}"
-        ingest_arrivals(store, f"{inbox}/*", checkpoint, ingest.received_on("2002-01-01"), files_per_batch=100_000).awaitTermination()
+    inbox = tables.scratch(spark, "price_files")
+    q = tables.materialise(quotes(spark, sf_dir), "quotes")
+    day = F.unix_date("trade_date")
+    span = q.agg(F.min(day).alias("low"), (F.max(day) - F.min(day) + 1).alias("days"))
+    third = F.floor((day - span.select("low").scalar()) * 3 / span.select("days").scalar())
+    checkpoint = f"{ensure_checkpoint_dir(spark)}/{store.root.rsplit('/', 1)[-1]}"
+    for part in range(3):
+        own = q.filter(third == part)
+        write_csv(legacy_rows(own.filter(even_week())), f"{inbox}/{part}", "gzip")
+        write_csv(udiff_rows(own.filter(~even_week())), f"{inbox}/{part}")
+        ingest_arrivals(store, f"{inbox}/*/*", f"{checkpoint}-1", ingest.received_on("2002-01-01"), files_per_batch=100_000).awaitTermination()
+    ingest_arrivals(store, f"{inbox}/*/*", f"{checkpoint}-2", ingest.received_on("2002-01-01"), files_per_batch=100_000).awaitTermination()
     rows = store.read("price_observation")
     return rows.select("trade_date", "isin", c("version_no").cast("int").alias("version_no"), c("close").cast("double").alias("close"), "availability_inferred")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitframe.functions import clock
@@ -53,12 +53,46 @@ def stored_events(store: Store, dates: DataFrame) -> DataFrame:
     return bt.union_events(obs, tombs).join(F.broadcast(dates), "trade_date", "left_semi")
 
 
-def _killed_dates(store: Store, rows: DataFrame) -> DataFrame:
-    """Dates whose file is far smaller than the prior date's observations."""
-    stored = store.read("price_observation").groupBy("trade_date").agg(F.count_distinct("isin", "series").alias("observations"))
-    arriving = rows.groupBy("trade_date").agg(F.count(F.lit(1)).alias("file_rows"), F.count_distinct("isin", "series").alias("arriving"))
-    daily = stored.join(arriving, "trade_date", "full").withColumn("observations", F.coalesce("observations", "arriving"))
-    return quality.row_count_guard(daily.withColumn("file_rows", F.coalesce("file_rows", F.lit(None)))).filter("verdict = 'kill'").select("trade_date")
+def _killed_files(store: Store, rows: DataFrame) -> DataFrame:
+    """Files far smaller than the observations of the last accepted date before theirs: file_sha256.
+
+    Each file is judged by itself, dates in order, so the outcome does not depend on which files arrive together. All files of
+    a date face the same count, so the accepted ones are the largest; ``after`` is how many keys the date holds once a file and
+    all larger ones are in. The chain over dates is a fold over one entry per date, bounded by the calendar.
+    """
+    kill, kill_of = quality.COUNT_KILL_RATIO
+    first = rows.agg(F.min("trade_date")).scalar()
+    held = store.read("price_observation").select("trade_date", "isin", "series")
+    before = held.filter(F.col("trade_date") < first).agg(F.max("trade_date")).scalar()
+    held = held.filter(F.col("trade_date") >= F.coalesce(before, first))  # prunes the date partitions
+
+    sizes = rows.groupBy("trade_date", "file_sha256").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("trade_date").orderBy(F.desc("n"), "file_sha256"))
+    sizes = sizes.withColumn("place", place)
+    clean = rows.filter("reason IS NULL").select("trade_date", "file_sha256", "isin", "series")
+    keys = (clean.join(sizes.select("trade_date", "file_sha256", "place"), ["trade_date", "file_sha256"]).drop("file_sha256")
+            .unionByName(held.withColumn("place", F.lit(0))))
+    new = keys.groupBy("trade_date", "isin", "series").agg(F.min("place").alias("place")).groupBy("trade_date", "place").agg(F.count(F.lit(1)).alias("keys"))
+    steps = new.join(sizes, ["trade_date", "place"], "full")
+    upto = F.sum(F.coalesce("keys", F.lit(0))).over(Window.partitionBy("trade_date").orderBy("place"))
+    steps = steps.withColumn("after", upto)
+    files = F.array_sort(F.collect_list(F.when(F.col("place") > 0, F.struct("place", "n", "file_sha256", "after"))))
+    daily = steps.groupBy("trade_date").agg(files.alias("files"), F.max(F.when(F.col("place") == 0, F.col("after"))).alias("held"))
+    dates = daily.agg(F.array_sort(F.collect_list(F.struct("trade_date", "files", "held"))).alias("dates"))
+
+    none = F.array().cast("array<string>")
+
+    def small(f, prior):
+        return F.coalesce(f["n"] * kill_of < prior * kill, F.lit(False))
+
+    def day(acc, d):
+        taken = F.filter(d["files"], lambda f: ~small(f, acc["prior"]))
+        refused = F.transform(F.filter(d["files"], lambda f: small(f, acc["prior"])), lambda f: f["file_sha256"])
+        now = F.coalesce(F.array_max(F.transform(taken, lambda f: f["after"])), d["held"], acc["prior"])
+        return F.struct(now.alias("prior"), F.concat(acc["refused"], refused).alias("refused"))
+
+    start = F.struct(F.lit(None).cast("bigint").alias("prior"), none.alias("refused"))
+    return dates.select(F.explode(F.aggregate("dates", start, day)["refused"]).alias("file_sha256"))
 
 
 def ingest_prices(files: DataFrame, store: Store, received_at: Column, mode: str = "backfill", complete_snapshot: bool = False,
@@ -86,8 +120,10 @@ def ingest_prices(files: DataFrame, store: Store, received_at: Column, mode: str
     if mode == "backfill":
         early = quality.backfill_problem(F.col("trade_date"), received_at)
         bad = bad.unionByName(checked.filter(early.isNotNull()).select("file_sha256", early.alias("parse_error")).distinct())
-    killed = checked.join(_killed_dates(store, checked), "trade_date", "left_semi").select("file_sha256").distinct()
-    bad = tables.materialise(bad.unionByName(killed.withColumn("parse_error", F.lit("row count kill switch"))), "rejected")
+    bad = tables.materialise(bad, "unreadable")
+    judged = checked.join(bad.select("file_sha256").distinct(), "file_sha256", "left_anti")
+    killed = _killed_files(store, judged).withColumn("parse_error", F.lit("row count kill switch"))
+    bad = tables.materialise(bad.unionByName(killed), "rejected")
 
     kept = checked.join(bad.select("file_sha256").distinct(), "file_sha256", "left_anti")
     turns = kept.select("trade_date", "file", "file_sha256").distinct()
@@ -95,7 +131,7 @@ def ingest_prices(files: DataFrame, store: Store, received_at: Column, mode: str
     turns = tables.materialise(by_date.select("trade_date", F.posexplode("queue").alias("turn", "f")).select("turn", "f.file_sha256"), "turns")
     last_turn = turns.agg(F.max("turn")).first()[0]
     for turn in range(0 if last_turn is None else last_turn + 1):
-        one = kept.join(F.broadcast(turns.filter(F.col("turn") == turn).select("file_sha256")), "file_sha256", "left_semi")
+        one = kept.join(turns.filter(F.col("turn") == turn).select("file_sha256"), "file_sha256", "left_semi")
         _apply(one, store, received_at, mode, complete_snapshot, now)
 
     outcome = files.select("file_sha256", F.lit(PRICE_SOURCE).alias("source_id")).distinct()

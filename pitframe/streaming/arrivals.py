@@ -12,7 +12,7 @@ BINARY_FILE = "path string, modificationTime timestamp, length bigint, content b
 
 
 def ingest_arrivals(store: Store, inbox: str, checkpoint: str, received_at: Column, mode: str = "backfill",
-                    complete_snapshot: bool = False, files_per_batch: int = 200) -> StreamingQuery:
+                    complete_snapshot: bool = False, files_per_batch: int = 200, now: Column | None = None) -> StreamingQuery:
     """Start a query that ingests everything present and then stops.
 
     The checkpoint remembers the files seen. A batch repeated after a failure is harmless: files already in the
@@ -27,7 +27,7 @@ def ingest_arrivals(store: Store, inbox: str, checkpoint: str, received_at: Colu
     )
 
     def apply(batch, _batch_id):
-        ingest_prices(with_receipt(batch), store, received_at, mode, complete_snapshot)
+        ingest_prices(with_receipt(batch), store, received_at, mode, complete_snapshot, now)
 
     return (
         arriving.writeStream.foreachBatch(apply)
