@@ -140,10 +140,13 @@ def link_classes(rep_bands: DataFrame, docs: DataFrame, percent: int) -> DataFra
     labelled = members.join(connected_components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
     rest = materialise(labelled.join(mixed_buckets, "bucket", "left_semi"), "mixed-buckets")
+    rest = rest.join(rest.groupBy("id").agg(F.collect_set("bucket").alias("own")), "id")  # a bucket for each band at most
     x, y = rest.alias("x"), rest.alias("y")
+    # a pair comes out of the first bucket that it shares, once
     across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
-                    & _allowed(F.col("x.n"), F.col("x.u"), F.col("y.n"), F.col("y.u"), percent))
-    more = materialise(_confirmed(across.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), sets, percent), "cross-links")
+                    & _allowed(F.col("x.n"), F.col("x.u"), F.col("y.n"), F.col("y.u"), percent)
+                    & (F.array_min(F.array_intersect("x.own", "y.own")) == F.col("x.bucket")))
+    more = materialise(_confirmed(across.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), sets, percent), "cross-links")
     return links.unionByName(more)
 
 
