@@ -15,14 +15,16 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,22 +60,75 @@ def _tokenizer(path: str | None):
     return Tokenizer.from_file(path)
 
 
-def token_ids(texts: pa.Array, tokenizer) -> list[np.ndarray]:
-    """Ids of each text. This vocabulary never joins characters across white space, so each distinct blank-free stretch of
-    the batch is encoded once and the texts are put together from those."""
-    lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
-    offsets = lists.offsets.to_numpy().astype(np.int64)
-    encoded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-    offsets = offsets - offsets[0]
-    parts = [e.ids for e in tokenizer.encode_batch_fast(encoded.dictionary.to_pylist(), add_special_tokens=False)]
-    sizes = np.array([len(p) for p in parts], np.int64)
-    flat = np.array([i for p in parts for i in p], np.uint32)
+# Words that this tokenizer's rules treat the same way as the expressions here do: printable ASCII and small Latin letters.
+PLAIN = re.compile("[!-~ß-öø-ž]+")
+PARTS_OF_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-z0-9ß-öø-ž]+")
+
+
+@cache
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level models write bytes with: printable ones stand for themselves, others follow from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class WordEncoder:
+    """Ids of blank-free stretches of text, as ``tokenizer.encode`` gives them.
+
+    This vocabulary never joins characters across white space. Plain stretches are lower-cased and cut into parts, and a part is
+    encoded once while it is remembered; anything else (other scripts, marks, reserved words) goes through the tokenizer whole.
+    """
+
+    def __init__(self, tokenizer, remembered: int = 300_000):
+        self.tokenizer, self.model, self.remembered = tokenizer, tokenizer.model, remembered
+        self.reserved = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
+        self.parts: dict[str, list[int]] = {}
+
+    def _part(self, part: str) -> list[int]:
+        ids = self.parts.get(part)
+        if ids is None:
+            written = part if part.isascii() else "".join(map(_byte_letters().__getitem__, part.encode()))
+            ids = self.parts[part] = [t.id for t in self.model.tokenize(written)]
+        return ids
+
+    def encode(self, stretches: list[str]) -> list[list[int]]:
+        if len(self.parts) > self.remembered:
+            self.parts.clear()
+        result, others = [], []
+        for number, stretch in enumerate(stretches):
+            low = stretch.lower()
+            if PLAIN.fullmatch(low) and not any(r in stretch for r in self.reserved):
+                ids = self._part(low) if low.isalpha() else [i for part in PARTS_OF_WORD.findall(low) for i in self._part(part)]
+                result.append(ids)
+            else:
+                result.append([])
+                others.append(number)
+        encoded = self.tokenizer.encode_batch_fast([stretches[n] for n in others], add_special_tokens=False)
+        for number, e in zip(others, encoded, strict=True):
+            result[number] = e.ids
+        return result
+
+
+def token_ids(texts: pa.Array, encoder: WordEncoder) -> list[np.ndarray]:
+    """Ids of each text, put together from those of the distinct stretches of all."""
+    stretches: list[bytes] = []
+    counts = []
+    for text in texts.to_pylist():
+        own = (text or "").encode().split()
+        counts.append(len(own))
+        stretches += own
+    encoded = pa.array(stretches, pa.binary()).dictionary_encode()
+    del stretches
+    parts = encoder.encode([w.decode() for w in encoded.dictionary.to_pylist()])
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    flat = np.fromiter(chain.from_iterable(parts), np.uint32, int(sizes.sum()))
     begin = np.cumsum(sizes) - sizes
-    codes = encoded.indices.to_numpy(zero_copy_only=False)
-    own = sizes[codes] if len(codes) else np.empty(0, np.int64)
+    codes = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    own = sizes[codes]
     ends = np.r_[0, np.cumsum(own)]
-    shift = begin[codes] - ends[:-1] if len(codes) else own
-    ids = flat[np.repeat(shift, own) + np.arange(ends[-1])]
+    ids = flat[np.repeat(begin[codes] - ends[:-1], own) + np.arange(ends[-1])]
+    offsets = np.r_[0, np.cumsum(counts)].astype(np.int64)
     return [ids[ends[offsets[i]]: ends[offsets[i + 1]]] for i in range(len(texts))]
 
 
@@ -83,11 +138,11 @@ def pieces(docs: DataFrame, packing: Packing = Packing(), tokenizer_path: str |
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task is the unit of parallel work
-        tokenizer = _tokenizer(tokenizer_path)
+        encoder = WordEncoder(_tokenizer(tokenizer_path))
         for batch in batches:
-            for part in chunks(batch, 16_000_000):
+            for part in chunks(batch):
                 columns: tuple[list, ...] = ([], [], [], [], [])
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), token_ids(part.column("text"), tokenizer), strict=True):
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), token_ids(part.column("text"), encoder), strict=True):
                     ids = np.r_[ids, np.uint32(end)].astype("<u4")
                     for number, start in enumerate(range(0, len(ids), capacity)):
                         own = ids[start: start + capacity]
