@@ -11,8 +11,8 @@ from pitframe.llm.shingles import mixed
 
 WINDOW = 100  # bytes of a match
 GRAM = 40  # bytes that an anchor is hashed from
-CHUNK = 1 << 20  # bytes hashed together; a place in a chunk takes PLACE_BITS bits
-PLACE_BITS = 21
+CHUNK = 1 << 18  # bytes hashed together; a place in a chunk takes PLACE_BITS bits
+PLACE_BITS = 19
 
 _rng = np.random.default_rng(11)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -75,8 +75,9 @@ def _compressed(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            packed = [press.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "packed"])
+            for part in chunks(batch):
+                packed = [press.compress((t or "").encode()) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "packed"])
 
     return docs.mapInArrow(run, "doc_id bigint, packed binary")
 
