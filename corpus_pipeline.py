@@ -33,8 +33,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces and their places in sequences."""
-    return packing.pack(docs)
+    """Token pieces and their places in sequences, which follow the order of the mix."""
+    return packing.pack(docs, ordered=True)
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mix), ("packing", pack)]

@@ -9,6 +9,10 @@ A genome names a bin for each piece. Crossover takes well-filled bins of one par
 that holds one of their pieces, and best-fits the pieces this displaces, longest first; mutation opens the emptiest bins. An island
 stops when it has as few bins as the token count allows. Bins of the shards that are left poorly filled are pooled and packed
 together once more in the same way, which recovers the part-filled last bin of each shard.
+
+With ``ordered`` the rows' order in their files is kept: shards are contiguous ranges of it, a sequence is numbered by the smallest
+position it holds, and the result is written in that order. A range holds ``ordered_items`` documents, so that a sequence's
+pieces stand near each other.
 """
 
 from __future__ import annotations
@@ -25,8 +29,10 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from pitframe.llm.shingles import chunks
 from pitframe.sources.tables import materialise
@@ -40,6 +46,7 @@ class Packing:
     capacity: int = 2048
     end_id: int = 0  # follows every document
     shard_items: int = 6000
+    ordered_items: int = 1000  # documents in a shard where their order is kept
     islands: int = 2
     epochs: int = 2
     generations: int = 12
@@ -132,9 +139,26 @@ def token_ids(texts: pa.Array, encoder: WordEncoder) -> list[np.ndarray]:
     return [ids[ends[offsets[i]]: ends[offsets[i + 1]]] for i in range(len(texts))]
 
 
-def pieces(docs: DataFrame, packing: Packing = Packing(), tokenizer_path: str | None = None) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32: the ids of each document and the end id, cut only where longer than a sequence."""
+def row_order(docs: DataFrame) -> list[Column]:
+    """file (of a written table, by the number of its part) and row: where each row stands. Frames without files count by partition."""
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        number = F.monotonically_increasing_id()
+        return [F.struct(F.shiftright(number, 33).alias("part"), F.lit("").alias("name")).alias("file"), number.bitwiseAND((1 << 33) - 1).alias("row")]
+    name = F.col("_metadata.file_path")
+    part = F.regexp_extract(name, r"part-(\d{1,9})[^/]*$", 1).try_cast("bigint")
+    return [F.struct(part.alias("part"), name.alias("name")).alias("file"), F.col("_metadata.row_index").alias("row")]
+
+
+def pieces(docs: DataFrame, packing: Packing = Packing(), tokenizer_path: str | None = None, ordered: bool = False) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32: the ids of each document and the end id, cut only where longer than a sequence.
+
+    With ``ordered`` also the file and row that each document stands at.
+    """
     capacity, end = packing.capacity, packing.end_id
+    order = row_order(docs) if ordered else []
+    carried = ["file", "row"] if ordered else []
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task is the unit of parallel work
@@ -142,17 +166,22 @@ def pieces(docs: DataFrame, packing: Packing = Packing(), tokenizer_path: str |
         for batch in batches:
             for part in chunks(batch):
                 columns: tuple[list, ...] = ([], [], [], [], [])
+                counts = []
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), token_ids(part.column("text"), encoder), strict=True):
                     ids = np.r_[ids, np.uint32(end)].astype("<u4")
+                    counts.append(-(-len(ids) // capacity))
                     for number, start in enumerate(range(0, len(ids), capacity)):
                         own = ids[start: start + capacity]
                         for column, value in zip(columns, (doc_id, number, start, len(own), zlib.crc32(own.tobytes())), strict=True):
                             column.append(value)
+                at = pa.array(np.repeat(np.arange(part.num_rows), counts))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
-                    ["doc_id", "piece", "start", "length", "ids_crc32"])
+                    [*[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
+                     *[part.column(c).take(at) for c in carried]],
+                    ["doc_id", "piece", "start", "length", "ids_crc32", *carried])
 
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
+    schema = PIECES + (", file struct<part: bigint, name: string>, row bigint" if ordered else "")
+    return docs.select("doc_id", "text", *order).mapInArrow(cut, schema)
 
 
 # ---- one island
@@ -282,13 +311,20 @@ def _epoch(packing: Packing, number: int):
 # ---- all shards
 
 
-def _pack_shards(items: DataFrame, packing: Packing, name: str) -> DataFrame:
-    """``items`` (doc_id, piece, start, length, ids_crc32, all shorter than a sequence) with shard and bin."""
-    count = items.count()
-    shards = max(1, math.ceil(count / packing.shard_items))
-    entry = F.struct((-F.col("length")).alias("rank"), "doc_id", "piece", "start", "length", "ids_crc32")
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards))
-    dealt = materialise(items.groupBy(shard.alias("shard")).agg(F.sort_array(F.collect_list(entry)).alias("items")), f"{name}-shards")
+COLUMNS = ("doc_id", "piece", "start", "length", "ids_crc32")
+
+
+def _dealt(items: DataFrame, packing: Packing) -> tuple[DataFrame, int]:
+    """``items`` with a shard by a hash of their identity, and the number of shards."""
+    shards = max(1, math.ceil(items.count() / packing.shard_items))
+    return items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards))), shards
+
+
+def _pack_shards(items: DataFrame, shards: int, packing: Packing, name: str) -> DataFrame:
+    """``items`` (shard, COLUMNS and, where the order is kept, position; all shorter than a sequence) with bin."""
+    columns = [c for c in ("position", *COLUMNS) if c in items.columns]
+    entry = F.struct((-F.col("length")).alias("rank"), *columns)
+    dealt = materialise(items.groupBy("shard").agg(F.sort_array(F.collect_list(entry)).alias("items")), f"{name}-shards")
     state = (dealt.select("shard", F.transform("items", lambda x: x["length"].cast("int")).alias("lengths"), F.explode(F.array(*map(F.lit, range(packing.islands)))).alias("island"))
              .repartition(max(1, min(shards * packing.islands, 10_000)), "shard", "island")
              .withColumn("population", F.lit(None).cast("array<array<int>>")))
@@ -299,28 +335,64 @@ def _pack_shards(items: DataFrame, packing: Packing, name: str) -> DataFrame:
         state = materialise(met.mapInPandas(_epoch(packing, number), STATE), f"{name}-islands")
     best = state.groupBy("shard").agg(F.min_by(F.get("population", F.lit(0)), F.struct("bins", (-F.col("fitness")).alias("q"), "island")).alias("genome"))
     placed = dealt.join(best, "shard").select("shard", F.explode(F.arrays_zip("items", "genome")).alias("z"))
-    return placed.select("shard", F.col("z.genome").alias("bin"), *[F.col(f"z.items.{c}").alias(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")])
+    return placed.select("shard", F.col("z.genome").alias("bin"), *[F.col(f"z.items.{c}").alias(c) for c in columns])
 
 
-def pack(docs: DataFrame, packing: Packing = Packing(), tokenizer_path: str | None = None) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+def _poor(first: DataFrame, packing: Packing) -> DataFrame:
+    """shard and bin of the bins that go to the second round."""
+    filled = first.groupBy("shard", "bin").agg(F.sum("length").alias("fill"))
+    return filled.where(F.col("fill") < packing.poor * packing.capacity).select("shard", "bin")
+
+
+def _offset(order: WindowSpec) -> Column:
+    return F.coalesce(F.sum("length").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+
+
+def _pack_ordered(every: DataFrame, packing: Packing) -> DataFrame:
+    """The pieces with sequence_id and offset, in the order of the documents' places.
+
+    A document has at most one piece that is shorter than a sequence, so a range of places bounds its shard.
+    """
+    files = every.groupBy("file").agg((F.max("row") + 1).alias("rows"))  # a row per file
+    files = materialise(files.withColumn("base", F.coalesce(F.sum("rows").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))), "piece-files")
+    total = files.agg(F.sum("rows")).first()[0] or 0
+    shards = max(1, math.ceil(total / packing.ordered_items))
+    every = every.join(files.select("file", "base"), "file").select(*COLUMNS, (F.col("base") + F.col("row")).alias("position"))
+    short = every.where(F.col("length") < packing.capacity).withColumn("shard", F.floor(F.col("position") * shards / F.lit(max(total, 1))))
+    first = materialise(_pack_shards(short, shards, packing, "first"), "first-round")
+    poor = _poor(first, packing)
+    pool = materialise(first.join(poor, ["shard", "bin"], "left_semi").select("shard", "position", *COLUMNS), "poor-pieces")
+    # neighbouring shards are pooled, until together they have enough
+    pooled = pool.groupBy("shard").agg(F.count("*").alias("n"))  # a row per shard
+    before = F.coalesce(F.sum("n").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    pooled = materialise(pooled.select("shard", F.floor(before / packing.ordered_items).alias("pool")), "pools")
+    pools = (pooled.agg(F.max("pool")).first()[0] or 0) + 1
+    again = _pack_shards(pool.join(pooled, "shard").drop("shard").withColumnRenamed("pool", "shard"), pools, packing, "second")
+    good = first.join(poor, ["shard", "bin"], "left_anti")
+    together = good.withColumn("round", F.lit(1)).unionByName(again.withColumn("round", F.lit(2)))
+    place = F.col("position") * (1 << 20) + F.col("piece")  # a text has less than 2**31 tokens
+    bin = W.partitionBy("round", "shard", "bin")
+    packed = together.select(*COLUMNS, F.min(place).over(bin).alias("sequence_id"), _offset(bin.orderBy("position", "piece")).alias("offset"))
+    alone = every.where(F.col("length") == packing.capacity).select(*COLUMNS, place.alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return packed.unionByName(alone).repartitionByRange("sequence_id").sortWithinPartitions("sequence_id", "offset")
+
+
+def pack(docs: DataFrame, packing: Packing = Packing(), tokenizer_path: str | None = None, ordered: bool = False) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset; with ``ordered`` the sequences follow the rows.
 
     A null text counts as empty: one piece that is only the end id. Repeated rows are packed each; a null doc_id is carried through. An
     empty table gives an empty result. Columns other than doc_id and text are not read.
     """
-    from pyspark.sql import Window as W
-
-    every = materialise(pieces(docs, packing, tokenizer_path), "pieces")
+    every = materialise(pieces(docs, packing, tokenizer_path, ordered), "pieces")
+    if ordered:
+        return _pack_ordered(every, packing)
     full = every.where(F.col("length") == packing.capacity)
     alone = full.select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"))
-    first = materialise(_pack_shards(every.where(F.col("length") < packing.capacity), packing, "first"), "first-round")
-    filled = first.groupBy("shard", "bin").agg(F.sum("length").alias("fill"))
-    poor = filled.where(F.col("fill") < packing.poor * packing.capacity).select("shard", "bin")
-    columns = ("doc_id", "piece", "start", "length", "ids_crc32")
-    good = first.join(poor, ["shard", "bin"], "left_anti").select(*columns, (F.col("shard") * 2 * (1 << 31) + F.col("bin") * 2).alias("sequence_id"))
-    again = _pack_shards(first.join(poor, ["shard", "bin"], "left_semi").select(*columns), packing, "second")
-    again = again.select(*columns, (F.col("shard") * 2 * (1 << 31) + F.col("bin") * 2 + 1).alias("sequence_id"))
+    first = materialise(_pack_shards(*_dealt(every.where(F.col("length") < packing.capacity), packing), packing, "first"), "first-round")
+    poor = _poor(first, packing)
+    good = first.join(poor, ["shard", "bin"], "left_anti").select(*COLUMNS, (F.col("shard") * 2 * (1 << 31) + F.col("bin") * 2).alias("sequence_id"))
+    again = _pack_shards(*_dealt(first.join(poor, ["shard", "bin"], "left_semi").select(*COLUMNS), packing), packing, "second")
+    again = again.select(*COLUMNS, (F.col("shard") * 2 * (1 << 31) + F.col("bin") * 2 + 1).alias("sequence_id"))
     together = good.unionByName(again)
     order = W.partitionBy("sequence_id").orderBy("doc_id", "piece", "ids_crc32")
-    before = F.coalesce(F.sum("length").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return together.withColumn("offset", before).unionByName(alone.withColumn("offset", F.lit(0).cast("long")))
+    return together.withColumn("offset", _offset(order)).unionByName(alone.withColumn("offset", F.lit(0).cast("long")))
