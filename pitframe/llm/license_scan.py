@@ -1,6 +1,9 @@
 """License scan: base phrases by word position, and an exact set-similarity join of text blocks with notice templates.
 
-A block (a line of a document) matches a template when it contains at least ``threshold`` of the template's distinct words.
+A block matches a template when it contains at least ``threshold`` of the template's distinct words. A block is a line of a
+document; with ``across_lines`` also every window of twice the longest template's words, at steps of that many words, that holds a
+line end, so that wrapped notices match. (A window inside of one line can match nothing that its line does not.)
+
 The join is the usual filter-and-verify one, exact at any size:
 
 * length: a block that shares fewer template words than the smallest template needs can match nothing; it goes at the scan;
@@ -116,7 +119,7 @@ def matching_blocks(blocks: DataFrame, templates: DataFrame) -> DataFrame:
             .select("doc_id", "block", "template", "label", "overlap", (F.col("overlap") / F.col("size")).alias("containment")))
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.9) -> DataFrame:
+def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.9, across_lines: bool = False) -> DataFrame:
     """One row per document: n_words, base places and labels, and the labels and best containment of the set join.
 
     A null text counts as empty: no words, null places, empty labels, score 0. Repeated rows each keep their row; blocks are
@@ -128,10 +131,20 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.9) -> DataFr
     least = min(needed(len(set(text.split())), threshold) for _, text in templates)
     known = F.array(*map(F.lit, vocabulary))
     lowered = docs.select("doc_id", ascii_lower(whole(F.col("text"))).alias("t"))
-    tokens = F.filter(
-        F.transform(F.split("t", "\n"), lambda line: F.array_intersect(F.split(line, f"{SEPARATORS}+"), known)),
-        lambda found: F.size(found) >= least)
-    worded = lowered.select("doc_id", split_words(F.col("t"), SEPARATORS).alias("w"), tokens.alias("blocks"))
+
+    def known_words(blocks: Column) -> Column:
+        return F.filter(F.transform(blocks, lambda words: F.array_intersect(words, known)), lambda found: F.size(found) >= least)
+
+    # a line end is a separator, so the words of the lines are those of the text
+    lined = lowered.select("doc_id", F.transform(F.split("t", "\n"), lambda line: split_words(line, SEPARATORS)).alias("lines"))
+    worded = lined.select("doc_id", F.flatten("lines").alias("w"), known_words(F.col("lines")).alias("blocks"),
+                          F.flatten(F.transform("lines", lambda words, number: F.array_repeat(number, F.size(words)))).alias("line"))
+    if across_lines:
+        step = max(len(text.split()) for _, text in templates)
+        starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0)), F.lit(step)),
+                          lambda at: F.get("line", at) < F.get("line", F.least(at + 2 * step, F.size("w")) - 1))
+        windows = known_words(F.transform(starts, lambda at: F.slice("w", at + 1, 2 * step)))
+        worded = worded.select("doc_id", "w", F.concat("blocks", windows).alias("blocks"))
     base = _base_columns(F.col("w"))
     slim = materialise(worded.select("doc_id", *[c.alias(n) for n, c in base.items()], "blocks"), "license-blocks")
     blocks = slim.where(F.size("blocks") > 0).select("doc_id", F.posexplode("blocks").alias("block", "tokens"))

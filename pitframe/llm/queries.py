@@ -10,7 +10,7 @@ from pitframe.llm.common import read_table
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+    return license_scan.scan(read_table(spark, sf_dir, "documents"), across_lines=True)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

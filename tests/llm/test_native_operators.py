@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import pytest
@@ -154,6 +155,24 @@ def test_set_join_finds_every_block(spark):
             assert got[i] == (",".join(sorted({label for label, _ in hits})), round(max([c for _, c in hits], default=0), 9))
 
 
+def test_wrapped_notices(spark, tmp_path):
+    from pitframe.llm import queries
+
+    def wrapped(label, width, mark, number=0):
+        own = [text for name, text in license_scan.TEMPLATES if name == label][number]
+        return "".join(f"\n{mark}{line}" for line in textwrap.wrap(own.capitalize(), width))
+
+    head = "an the on re ti ou sch ing ble " * 9
+    rows = [(1, f"{head}\n/*{wrapped('mit', 72, ' * ')}\n */\n{head}", "mit"), (2, wrapped("bsd", 76, ""), "bsd"), (3, f"{head}{wrapped('mpl', 20, '// ')}{head}", "mpl"),
+            (4, wrapped("bsd", 16, "# ") + "\n\n" + wrapped("mit", 70, "\n# "), "bsd,mit"), (5, wrapped("mit", 72, "")[:90] + f"\n{head * 3}\n" + wrapped("mit", 72, "")[90:], ""),
+            (6, head, ""), (7, "", ""), (8, None, ""), (9, "\n\n \n", "")]
+    rows += [(100 + k, "word " * k + wrapped("mit", 60, ""), "mit") for k in range(70)]  # wherever the windows begin
+    spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.op3_license_scan(spark, str(tmp_path)).collect()}
+    assert {i: r["labels"] for i, r in got.items()} == {r[0]: r[2] for r in rows}
+    assert got[1]["score"] == 1.0 and got[5]["score"] == 0.0 and got[8]["n_words"] == 0
+
+
 def test_license_empty(empty):
     assert license_scan.scan(empty).count() == 0
 
