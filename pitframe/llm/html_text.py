@@ -1,7 +1,7 @@
 """Main text of web pages by a linear-chain conditional random field over the leaf blocks of the page.
 
 A page becomes a sequence of blocks: the text between two boundaries of block-level elements, white space folded, character
-references decoded. Scripts, styles, templates and comments never become text. Each block has features of its ancestors (tags and
+references decoded. Scripts, styles, templates, frames and comments never become text. Each block has features of its ancestors (tags and
 the words of their class, id and role), of its own element and of its text (length, share of link text, closing mark). The
 field labels every block as main text or not, and Viterbi finds the best labelling of the page as a whole.
 
@@ -28,9 +28,12 @@ from pitframe.llm import crf
 from pitframe.llm.shingles import chunks
 
 # Element names by their role in HTML.
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr svg math canvas object".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style template noscript iframe object svg math canvas".split())
+HIDDEN = frozenset("script style template iframe".split())
+FOREIGN = frozenset("svg math".split())  # elements of other languages; there, a tag can close itself
+LEAVES = frozenset("blockquote body center dd div dl dt h1 h2 h3 h4 h5 h6 head hr li menu ol p pre table ul".split())  # these end one that was never closed
+UNSEEN = frozenset("title desc metadata".split())  # descriptions of a drawing, not text of the page
 CLOSES = {
     "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "tr": frozenset(("tr", "td", "th")),
     "td": frozenset(("td", "th")), "th": frozenset(("td", "th")), "option": frozenset(("option",)),
@@ -51,6 +54,7 @@ class Blocks(HTMLParser):
         self.pieces: list[str] = []
         self.linked = 0
         self.hidden = 0
+        self.foreign = 0
         self.links = 0
 
     def flush(self) -> None:
@@ -63,17 +67,28 @@ class Blocks(HTMLParser):
         self.linked = 0
 
     def _pop(self, to: int) -> None:
-        for tag, _ in self.stack[to:]:
-            self.hidden -= tag in HIDDEN
+        while len(self.stack) > to:
+            tag, _ = self.stack.pop()
+            self.foreign -= tag in FOREIGN
+            self.hidden -= self._hides(tag)
             self.links -= tag == "a"
-        del self.stack[to:]
+
+    def _hides(self, tag: str) -> bool:
+        return tag in HIDDEN or self.foreign > 0 and tag in UNSEEN
+
+    def _breaks(self, tag: str) -> bool:
+        """Whether a block ends where this tag stands; a formula or drawing is part of the line, but for the texts in the drawing."""
+        return tag not in INLINE and (not self.foreign or tag == "text" or tag in LEAVES)
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
             self.pieces.append(" ")
             return
-        if tag not in INLINE:
+        if self._breaks(tag):
             self.flush()
+        if self.foreign and tag in LEAVES and not any(t == "foreignobject" for t, _ in self.stack):
+            self._pop(next(at for at, (t, _) in enumerate(self.stack) if t in FOREIGN))
+        if tag not in INLINE and not self.foreign:
             ends = CLOSES.get(tag, frozenset())
             for at in range(len(self.stack) - 1, -1, -1):
                 open_tag = self.stack[at][0]
@@ -86,23 +101,24 @@ class Blocks(HTMLParser):
             for name, value in attrs:
                 if name in ("class", "id", "role") and value:
                     words += re.findall("[a-z]+", value.lower())
-            self.stack.append((tag, tuple(words[:8])))
-            self.hidden += tag in HIDDEN
+            self.stack.append((tag, tuple(words)))
+            self.hidden += self._hides(tag)
+            self.foreign += tag in FOREIGN
             self.links += tag == "a"
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag not in HIDDEN and tag in INLINE:
-            self.handle_endtag(tag)
+        if tag not in VOID and (tag in INLINE or self.foreign or tag in ("iframe", "template")):
+            self._pop(len(self.stack) - 1)
 
     def handle_endtag(self, tag):
-        if tag not in INLINE:
+        if self._breaks(tag):
             self.flush()
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at][0] == tag:
                 self._pop(at)
                 break
-            if tag in INLINE and self.stack[at][0] not in INLINE:
+            if tag in INLINE and tag not in FOREIGN and self.stack[at][0] not in INLINE:
                 break
 
     def handle_data(self, data):

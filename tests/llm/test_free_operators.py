@@ -362,3 +362,21 @@ def test_pages_text(spark):
     assert texts[1] == "A title & more\nOne two three four.\nFive é."
     assert texts[2] == "" and texts[4] == "" and texts[None] == ("long words " * 100_000).strip()
     assert html_text.extract(frame.limit(0)).count() == 0
+
+
+def test_pages_lose_no_text(spark):
+    """Self-closed drawings, formulas and fallbacks in the article, and elements with many class words."""
+    start, end = "<html><body><nav><ul><li><a href='/'>Menu</a></li></ul></nav><article><p>First part of the text, long enough.</p>", "<p>Last part of the text, long enough.</p></article><footer>&copy; me</footer></body></html>"
+    first, last = "First part of the text, long enough.", "Last part of the text, long enough."
+    cases = {
+        '<svg class="icon"/><p>Middle.</p>': "Middle.", "<math/><p>Middle.</p>": "Middle.", '<p>See <svg class="i"><title>Icon</title><path d="M0"/><g></g></svg> this <svg/>line.</p>': "See this line.",
+        "<p>Where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>": "Where x=2 holds.", "<noscript><p>Shown without scripts.</p></noscript>": "Shown without scripts.",
+        "<p>A <canvas>drawn text</canvas> here.</p>": "A drawn text here.", "<p>An <object data='x'>object text</object> here.</p>": "An object text here.",
+        "<svg><g><text>One label</text><text>Other label</text></g></svg>": "One label\nOther label", "<svg><path d='M0'><p>One.</p><p>Two.</p>": "One.\nTwo.", "<iframe src='/x'/><p>After a frame.</p>": "After a frame.",
+        "<template><p>never</p></template><script>never()</script><style>p{}</style><svg><style>p{}</style></svg>": None,
+        '<div class="wp-block-column is-layout-flow has-background sidebar"><h4>Read more</h4><p>Some other long text that stands at the side of it.</p></div>': None,
+    }
+    rows = [(i, start + middle + end) for i, middle in enumerate(cases)]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id bigint, html string").selectExpr("*", "'u' AS url")).collect()}
+    for i, expected in enumerate(cases.values()):
+        assert got[i] == "\n".join(x for x in (first, expected, last) if x is not None)
