@@ -90,10 +90,14 @@ def train(features: np.ndarray, starts: np.ndarray, lengths: np.ndarray, gold: n
 
 
 def viterbi(model: Model, features: np.ndarray, starts: np.ndarray, lengths: np.ndarray, cells: int = 2_000_000) -> np.ndarray:
-    """The best label of every token. Sequences of like length are decoded together, so padding stays small."""
-    score = emissions(model, features, starts)
+    """The best label of every token."""
+    return decode(model, emissions(model, features, starts), lengths, cells)
+
+
+def decode(model: Model, score: np.ndarray, lengths: np.ndarray, cells: int = 2_000_000) -> np.ndarray:
+    """The best label of every token, from its emission scores. Sequences of like length are decoded together, so padding stays small."""
     begin = np.cumsum(lengths) - lengths
-    result = np.zeros(len(starts), np.int64)
+    result = np.zeros(len(score), np.int64)
     order = np.argsort(lengths, kind="stable")
     at = 0
     while at < len(order):

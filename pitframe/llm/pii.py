@@ -1,9 +1,10 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field over word shapes for what patterns miss.
 
-The field labels tokens around every token that holds a digit or an at sign; other words carry no evidence in this model and
-are outside of every span. It is trained from the small labelled table below, which also shows it the pattern kinds and
-look-alikes (versions, years, amounts, identifiers), and only kinds without a pattern of their own are added: credentials
-and national identity numbers. A span of the patterns always stays; an added one that touches it is dropped.
+The field labels every token of every line. It is trained from the small labelled table below, which also shows it the pattern
+kinds and look-alikes (versions, years, amounts, identifiers, plain words after cue words). It adds credentials, national
+identity numbers, and items of the pattern kinds that are written in another way. A span of the patterns always stays; an
+added one that touches it is dropped. A word's spelling counts only for the cue words of the table, so that all other words share a few
+sets of features, whose scores are computed once.
 
 Every row is judged by itself: one pass, no shuffle.
 """
@@ -14,6 +15,7 @@ import hashlib
 import random
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +39,9 @@ FEATURES = 1 << 13
 RESULT = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string"
 
 TOKEN = re.compile(r"[^\s=\"',;:()<>\[\]]+|=")
-EVIDENCE = re.compile(r"[0-9@]")
-AROUND = 48  # characters looked at on each side of an evidence
+LINE = re.compile("[^\n\r]+")
+STEPS = (-2, -1, 1)  # neighbours that a token's features name
+TOKEN_KINDS = ("plain", "digits", "mixed")
 
 
 def luhn(digits: str) -> bool:
@@ -81,25 +84,12 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def windows(text: str) -> list[list[tuple[int, int]]]:
-    """Token spans around each evidence; windows that meet are one."""
-    ranges: list[list[int]] = []
-    for m in EVIDENCE.finditer(text):
-        low, high = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
-        if ranges and low <= ranges[-1][1]:
-            ranges[-1][1] = high
-        else:
-            ranges.append([low, high])
-    result = []
-    for low, high in ranges:
-        while low > 0 and not text[low - 1].isspace():
-            low -= 1
-        while high < len(text) and not text[high].isspace():
-            high += 1
-        tokens = [m.span() for m in TOKEN.finditer(text, low, high)]
+def lines(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Token spans of each line that has any."""
+    for line in LINE.finditer(text):
+        tokens = [m.span() for m in TOKEN.finditer(text, *line.span())]
         if tokens:
-            result.append(tokens)
-    return result
+            yield tokens
 
 
 def shape(token: str) -> str:
@@ -117,25 +107,67 @@ def _own(token: str) -> list[str]:
     ]
 
 
+@lru_cache(maxsize=1 << 16)
+def _number(name: str) -> int:
+    return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=4).digest(), "little") % FEATURES
+
+
+@lru_cache(maxsize=1 << 18)
+def _seen(token: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """A token's own feature names (its kind first), and what it is to its neighbours: kind, sign or (for cue words) spelling."""
+    own = _own(token)
+    spelling = token.lower()[:10]
+    seen = [own[0], own[1] if own[0] != "plain" else spelling if spelling in CUES else "word"]
+    return tuple(own), tuple(seen + ["equals"] if token == "=" else seen)
+
+
 def features(tokens: list[str]) -> list[list[int]]:
-    """Feature numbers of each token: its own shape, and its neighbours' kind, sign and (for short plain words) spelling."""
-    own = [_own(t) for t in tokens]
+    """Feature numbers of each token: its own shape, and what its neighbours are, alone and with its own kind."""
+    seen = [_seen(t) for t in tokens]
     result = []
-    for i in range(len(tokens)):
-        names = ["bias", *own[i]]
-        for step in (-2, -1, 1):
-            j = i + step
-            if 0 <= j < len(tokens):
-                names += [f"{step}:{own[j][0]}", f"{step}:{own[j][1] if own[j][0] != 'plain' else '='.join(tokens[j].lower()[:10].split('='))}"]
-                if tokens[j] == "=":
-                    names.append(f"{step}:equals")
-            else:
-                names.append(f"{step}:edge")
-        names += [f"{own[i][0]}&{n}" for n in names[len(own[i]) + 1:]]
-        result.append([int.from_bytes(hashlib.blake2b(n.encode(), digest_size=4).digest(), "little") % FEATURES for n in names])
+    for i, (own, _) in enumerate(seen):
+        around = [f"{step}:{n}" for step in STEPS for n in (seen[i + step][1] if 0 <= i + step < len(tokens) else ("edge",))]
+        result.append([_number(n) for n in ("bias", *own, *around, *(f"{own[0]}&{n}" for n in around))])
     return result
 
 
+class Scores:
+    """Emission scores of tokens as sums of what the token has by itself and what each neighbour gives to a token of its kind."""
+
+    def __init__(self, model: crf.Model):
+        self.weights = model.weights
+        self.rows: dict[tuple, int] = {}
+        self.kinds: list[int] = []
+        self.own: list[np.ndarray] = []
+        self.given: list[np.ndarray] = []  # step x kind x label
+        self.edge = self._row((("plain",), ("edge",)))
+
+    def _row(self, seen: tuple) -> int:
+        row = self.rows.get(seen)
+        if row is None:
+            row = self.rows[seen] = len(self.own)
+            own, names = seen
+            self.kinds.append(TOKEN_KINDS.index(own[0]))
+            self.own.append(self.weights[[_number(n) for n in ("bias", *own)]].sum(0))
+            self.given.append(np.array([[self.weights[[_number(n) for s in names for n in (f"{step}:{s}", f"{kind}&{step}:{s}")]].sum(0) for kind in TOKEN_KINDS] for step in STEPS]))
+        return row
+
+    def of(self, tokens: list[str], lengths: np.ndarray) -> np.ndarray:
+        """Scores of the tokens of all sequences, one after another."""
+        if len(self.own) > 50_000:
+            self.__init__(crf.Model(self.weights, None, None))
+        numbers: dict[str, int] = {t: self._row(_seen(t)) for t in set(tokens)}
+        row = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
+        kind, own, given = np.array(self.kinds)[row], np.array(self.own), np.array(self.given)
+        place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        length = np.repeat(lengths, lengths)
+        score = own[row]
+        for k, step in enumerate(STEPS):
+            inside = (place + step >= 0) & (place + step < length)
+            score += given[np.where(inside, np.roll(row, -step), self.edge), k, kind]
+        return score
+
+
 # The labelled table: each line is words with marked spans, {kind} standing for a value of that kind made by a rule, and
 # {look-alike} for one that is none. Words are invented, so that the model leans on shapes and cue words.
 LINES = (
@@ -146,7 +178,13 @@ LINES = (
     "w w {year} w w", "version {version} w w", "w w Version {version}. w", "w {amount} w w", "w w {number} w w w", "CC BY-NC {version}. w", "w {ordinal} w w w",
     "w {long_number} w w", "order {long_number} w w", "http://w.example.com/en/{number}?page={number}", "w w {part} w w", "w {date} w w", "w, {number}, {number}, {number} w", "w {range} w w",
     "w w w w w", "token w w {number} w", "the password w w {year} w", "w w key w {number} w",
+    "password={secret_words} w w", "w w password={secret_words}", "password = {secret_words} w", "w passwd={secret_letters} w", "password: {secret_words} w w", "pwd: {secret_letters} w", "secret={secret_words} w",
+    "w api_key={secret_letters} w", "token={secret_letters} w w", 'passphrase = "{secret_words}" w', "w secret: {secret_letters}",
+    "call {phone_local} w w", "w w phone {phone_local} w", "tel {phone_local} w", "w w {phone_local} w w", "w w w w {phone_local}", "fax: {phone_local} w w",
+    "w w w w w w w w w w w w", "W w w, w w. W w w w", "the password w w w w", "w password. W w w", "the key w w w", "w secret w w w", "w token w w w", "w w phone w w", "call w w w w", "tel w w w", "w w passphrase w w",
+    "w w-w w w w", "w w-w-w w w w", "w, w: w w-w w", "w = w w w", "w w=w w", "password w-w w w", "w w w w.w w w", "WW w w w", "w wW w w",
 )
+CUES = frozenset(token.lower()[:10] for line in LINES for token in TOKEN.findall(re.sub(r"\{\w+\}|\bw+\b", " ", line, flags=re.IGNORECASE)))
 
 
 def _value(kind: str, rng: random.Random) -> str:
@@ -162,6 +200,9 @@ def _value(kind: str, rng: random.Random) -> str:
         "secret_hex": lambda: pick("0123456789abcdef", rng.choice((32, 40, 40, 48, 64))),
         "secret_short": lambda: pick("0123456789abcdef", rng.randint(10, 20)) + rng.choice(digits),
         "secret_key": lambda: "AKIA" + pick(high + digits, 16),
+        "secret_words": lambda: rng.choice("---_.").join(pick(low, rng.randint(3, 8)) for _ in range(rng.randint(2, 4))),
+        "secret_letters": lambda: rng.choice((pick(low + high, rng.randint(10, 24)), pick(low + high + "!#$%&*-_", rng.randint(10, 20)))),
+        "phone_local": lambda: rng.choice((f"({pick(digits, 3)}) {pick(digits, 3)}-{pick(digits, 4)}", f"{pick(digits, 3)}-{pick(digits, 3)}-{pick(digits, 4)}", f"{pick(digits, 3)}.{pick(digits, 3)}.{pick(digits, 4)}")),
         "national_id": lambda: f"{pick(digits, 3)}-{pick(digits, 2)}-{pick(digits, 4)}",
         "year": lambda: str(rng.randint(1900, 2030)),
         "version": lambda: f"{rng.randint(0, 9)}.{rng.randint(0, 9)}",
@@ -182,12 +223,13 @@ def labelled_table(copies: int = 12, seed: int = 7) -> list[tuple[str, list[tupl
     for line in LINES:
         for _ in range(copies):
             text, spans = "", []
-            for piece in re.split(r"(\{\w+\}|\bw\b)", line):
-                if piece == "w":
-                    text += "".join(rng.choice(("an", "the", "on", "re", "ti", "ou", "é", "sch", "ción")) for _ in range(rng.randint(1, 4)))
+            for piece in re.split(r"(\{\w+\}|\bw\b|\bW+\b|\bwW\b)", line):
+                if piece in ("w", "W", "WW", "wW"):
+                    form = {"W": str.capitalize, "WW": str.upper, "wW": lambda t: t + t.capitalize()}.get(piece, str)
+                    text += form("".join(rng.choice(("an", "the", "on", "re", "ti", "ou", "é", "sch", "ción")) for _ in range(rng.randint(1, 4))))
                 elif piece.startswith("{"):
                     kind, value = piece[1:-1], _value(piece[1:-1], rng)
-                    name = "secret" if kind.startswith("secret") else kind
+                    name = kind.split("_")[0] if kind.startswith(("secret", "phone")) else kind
                     if name in KINDS + ADDED:
                         spans.append((name, len(text), len(text) + len(value)))
                     text += value
@@ -216,33 +258,48 @@ def trained(rows=None) -> crf.Model:
     return crf.train(*_encoded(sequences), np.array(gold), FEATURES, len(LABELS))
 
 
-def added_spans(texts: list[str], base: list[list[tuple[str, int, int]]], model: crf.Model) -> list[list[tuple[str, int, int]]]:
-    """Spans of the added kinds in each text, by one Viterbi call over all windows."""
-    owners, places, sequences = [], [], []
+def _possible(kind: str, item: str) -> bool:
+    """Whether an item can be of the kind at all."""
+    digits = re.sub("[^0-9]", "", item)
+    return {
+        "email": lambda: "@" in item, "ip": lambda: bool(IP.fullmatch(item)) and all(map(_octet, item.split("."))),
+        "card": lambda: 12 <= len(digits) <= 19 and luhn(digits), "phone": lambda: 7 <= len(digits) <= 15,
+    }.get(kind, lambda: True)()
+
+
+def added_spans(texts: list[str], base: list[list[tuple[str, int, int]]], model: crf.Model, kinds: tuple[str, ...] = ADDED, scores: Scores | None = None) -> list[list[tuple[str, int, int]]]:
+    """Spans of ``kinds`` in each text that touch none of ``base``, by one Viterbi call over all lines."""
+    owners, places, tokens = [], [], []
     for number, text in enumerate(texts):
-        for tokens in windows(text):
+        for line in lines(text):
             owners.append(number)
-            places.append(tokens)
-            sequences.append(features([text[a:b] for a, b in tokens]))
+            places.append(line)
+            tokens += [text[a:b] for a, b in line]
     result: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    if not sequences:
+    if not tokens:
         return result
-    labels = crf.viterbi(model, *_encoded(sequences))
-    at = 0
-    for owner, tokens in zip(owners, places, strict=True):
+    lengths = np.fromiter(map(len, places), np.int64, len(places))
+    labels = crf.decode(model, (scores or Scores(model)).of(tokens, lengths), lengths)
+    begin = np.cumsum(lengths) - lengths
+    for number in np.flatnonzero(np.add.reduceat(labels != OUTSIDE, begin)).tolist():
+        owner = owners[number]
+        text = texts[owner]
         spans: list[list] = []
-        for (a, b), label in zip(tokens, labels[at: at + len(tokens)], strict=True):
+        last = ""
+        for (a, b), label in zip(places[number], labels[begin[number]: begin[number] + lengths[number]].tolist(), strict=True):
             where, _, kind = LABELS[label].partition("-")
-            if kind in ADDED:
-                if where == "more" and spans and spans[-1][0] == kind:
+            if kind in kinds:
+                if where == "more" and last == kind:
                     spans[-1][2] = b
                 else:
                     spans.append([kind, a, b])
-        at += len(tokens)
+            last = kind
         for kind, a, b in spans:
-            while b > a + 1 and texts[owner][b - 1] in ".!?":
+            while b > a + 1 and text[b - 1] in ".!?":
                 b -= 1
-            if all(b <= x or y <= a for _, x, y in base[owner]):
+            if kind == "phone" and a and text[a - 1] == "(" and ")" in text[a:b]:
+                a -= 1
+            if _possible(kind, text[a:b]) and all(b <= x or y <= a for _, x, y in base[owner]):
                 result[owner].append((kind, a, b))
     return [sorted(set(r)) for r in result]
 
@@ -260,11 +317,12 @@ def find(docs: DataFrame, model: crf.Model | None = None) -> DataFrame:
     model = model or trained()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = Scores(model)
         for batch in batches:
             for part in chunks(batch):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 base = [base_spans(t) for t in texts]
-                more = added_spans(texts, base, model)
+                more = added_spans(texts, base, model, KINDS + ADDED, scores)
                 counts = [pa.array([sum(s[0] == kind for s in spans) for spans in base], pa.int64()) for kind in KINDS]
                 digests = pa.array([hashlib.sha256(_text(spans).encode()).hexdigest() for spans in base])
                 every = pa.array([_text(b + m) for b, m in zip(base, more, strict=True)])

@@ -314,6 +314,32 @@ def test_pii_held_out():
     assert hit / sum(map(len, truth)) > 0.9 and hit / max(1, sum(map(len, found))) > 0.9
 
 
+def test_pii_reads_every_token(spark):
+    """Digit-free credentials wherever they stand, items that the patterns miss, and no verdict by an unrelated number near by."""
+    head = "an the on re ti ou sch ing ble " * 6
+    cases = [
+        ("login password=correct-horse-battery then go", [("secret", "correct-horse-battery")]), (head + "password=correct-horse-battery " + head, [("secret", "correct-horse-battery")]),
+        (head + "1984 " + head + "\npassword=correct-horse-battery", [("secret", "correct-horse-battery")]), ("token=AbCdEfGhIjKlMn on", [("secret", "AbCdEfGhIjKlMn")]),
+        ("call (555) 123-4567 the on", [("phone", "(555) 123-4567")]), ("re phone 555-123-4567", [("phone", "555-123-4567")]), (head, []), ("the password on the key re", []),
+        ("re 10.0.0.256 on", []),
+    ]
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id bigint, text string")
+    for r in pii.find(frame).collect():
+        text, expected = cases[r["doc_id"]]
+        spans = [s.split(":") for s in r["spans"].split(",") if s]
+        assert [(k, text[int(a):int(b)]) for k, a, b in spans] == expected
+        assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) == (0, 0, 0, 0)
+
+
+def test_pii_scores_are_those_of_the_features():
+    rng = np.random.default_rng(2)
+    model = crf.Model(rng.normal(size=(pii.FEATURES, len(pii.LABELS))), None, None)
+    lines = [t for t, _ in pii.labelled_table(copies=1, seed=5)]
+    tokens = [pii.TOKEN.findall(t) for t in lines]
+    got = pii.Scores(model).of([t for own in tokens for t in own], np.array([len(own) for own in tokens]))
+    assert np.allclose(got, np.array([model.weights[f].sum(0) for own in tokens for f in pii.features(own)]))
+
+
 def test_viterbi_is_the_best_path():
     from itertools import product
 
