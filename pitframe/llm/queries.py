@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from pitframe.llm import exact_dedup, html_text, license_scan, minhash, mixing, packing, pii, quality_rules, suffix_dedup, toxicity
+from pitframe.llm import (clustering, exact_dedup, html_text, lexical_search, license_scan, minhash, mixing, packing, pii, quality_rules, suffix_dedup,
+                          toxicity, warc)
 from pitframe.llm.common import read_table
 
 
@@ -49,14 +50,29 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (pipeline, op1_mix_sources, op2_quality_rules, op3_license_scan, op4_suffix_dedup, op5_html_extraction, op6_best_fit_packing, op7_exact_dedup, op8_toxicity, op9_pii, op10_minhash_dedup)}
+    return {f.__name__: f for f in (
+        pipeline, op1_mix_sources, op2_quality_rules, op3_license_scan, op4_suffix_dedup, op5_html_extraction, op6_best_fit_packing, op7_exact_dedup,
+        op8_toxicity, op9_pii, op10_minhash_dedup, op11_ranked_search, op12_warc, op13_centroid_clustering)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_suffix_dedup": suffix_dedup.ORACLE, "op1_mix_sources": mixing.oracle(), "op2_quality_rules": quality_rules.oracle(), "op3_license_scan": license_scan.oracle(), "op7_exact_dedup": exact_dedup.ORACLE,
-            "op10_minhash_dedup": minhash.ORACLE}
+    return {"op1_mix_sources": mixing.oracle(), "op2_quality_rules": quality_rules.oracle(), "op3_license_scan": license_scan.oracle(),
+            "op4_suffix_dedup": suffix_dedup.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE, "op10_minhash_dedup": minhash.ORACLE,
+            "op11_ranked_search": lexical_search.ORACLE, "op12_warc": warc.oracle(), "op13_centroid_clustering": clustering.oracle()}

@@ -27,4 +27,4 @@ def test_query(spark, con, key):
 
 def test_all_operators_are_registered():
     assert [k for k in driver.queries() if k.startswith("op")] == [k for k in corpus.queries() if k.startswith("op")]
-    assert {k.split("_")[0] for k in corpus.queries()} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+    assert {k.split("_")[0] for k in corpus.queries()} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
