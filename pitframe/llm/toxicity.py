@@ -24,9 +24,8 @@ from pyspark.sql import functions as F
 
 from pitframe.llm.shingles import chunks
 
-WORD = re.compile(r"[^\W\d_]+")
-GRADES = 4
-RESULT = "doc_id bigint, score double, p_toxic double, expected_severity double, severity int, toxic boolean"
+WORD = re.compile(r"[^\W_]+")
+RESULT = "doc_id bigint, score double, p_toxic double, expected_severity double, severity int, toxic boolean, n_grades int"
 
 
 @dataclass(frozen=True)
@@ -59,38 +58,51 @@ def features(word: str) -> tuple[str, ...]:
     return tuple(result)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> tuple[list[tuple[str, int]], dict[int, int]]:
-    """(text, toxic) of the sampled rows in the order of their ids, and the number of labelled rows of each class."""
-    known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", "toxic")
+def _bag_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in chunks(batch):
+            bags = pa.array([sorted(words(t)) for t in part.column("text").to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("toxic"), bags], ["doc_id", "toxic", "words"])
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> tuple[list[tuple[set[str], int]], dict[int, int]]:
+    """(distinct words, toxic) of the sampled rows in the order of their ids, and the number of labelled documents of each class. A
+    document that is labelled several times counts once, as toxic if one label says so."""
+    known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     by_hash = [F.md5(F.col("doc_id").cast("string")), "doc_id"]
     picked = [known.where(F.col("toxic") == c).orderBy(*by_hash).limit(fit.rows) for c in (0, 1)]
     ids = picked[0].unionByName(picked[1])  # at most twice fit.rows ids
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where("text IS NOT NULL").collect()
-    return [(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))], counts
+    held = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where("text IS NOT NULL")
+    rows = held.mapInArrow(_bag_batches, "doc_id bigint, toxic int, words array<string>").collect()
+    return [(set(r["words"]), r["toxic"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["words"]))], counts
 
 
 def grades(bags: list[set[str]], toxic: np.ndarray, least_rows: int) -> np.ndarray:
-    """0 for clean rows; 1 to 3 for toxic ones by thirds of their number of marker words."""
+    """0 for clean rows; from 1 up for toxic ones, by thirds of their number of marker words and, among equal ones, of their rate."""
     in_toxic, in_clean = Counter(), Counter()
     for bag, t in zip(bags, toxic, strict=True):
         (in_toxic if t else in_clean).update(bag)
     markers = {w for w, n in in_toxic.items() if n >= least_rows and w not in in_clean}
-    hits = np.array([len(bag & markers) for bag in bags])
-    cuts = np.quantile(hits[toxic == 1], [1 / 3, 2 / 3]) if toxic.any() else [0, 0]
-    return np.where(toxic == 1, 1 + (hits > cuts[0]) + (hits > cuts[1]), 0)
+    hits = [len(bag & markers) for bag in bags]
+    measure = np.array([(h, h / max(1, len(bag))) for h, bag in zip(hits, bags, strict=True)])
+    place = np.unique(measure, axis=0, return_inverse=True)[1].ravel()  # equal rows share a place
+    cuts = np.quantile(place[toxic == 1], [1 / 3, 2 / 3], method="lower") if toxic.any() else [0, 0]
+    grade = np.where(toxic == 1, 1 + (place > cuts[0]) + (place > cuts[1]), 0)
+    return np.unique(grade, return_inverse=True)[1]  # without empty grades
 
 
 def _logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_model(rows: list[tuple[str, int]], counts: dict[int, int], fit: Fit = Fit()) -> Model | None:
-    """None where one of the classes has no row: nothing can be learnt, every document then has severity 0."""
+def fit_model(rows: list[tuple[str | set[str], int]], counts: dict[int, int], fit: Fit = Fit()) -> Model | None:
+    """From (text or its distinct words, toxic) rows. None where one of the classes has no row: nothing can be learnt, every document
+    then has severity 0."""
     toxic = np.array([t for _, t in rows], int)
     if not len(rows) or not toxic.any() or toxic.all():
         return None
-    bags = [words(text) for text, _ in rows]
+    bags = [words(own) if isinstance(own, str) else own for own, _ in rows]
     grade = grades(bags, toxic, fit.least_rows)
     # the features that tell the classes apart best, each on its own
     seen = [Counter(f for w in bag for f in features(w)) for bag in bags]
@@ -111,7 +123,8 @@ def fit_model(rows: list[tuple[str, int]], counts: dict[int, int], fit: Fit = Fi
     weight = weight / weight.sum()
 
     w = np.zeros(len(kept))
-    cut = np.array([1.0, 0.0, 0.0])  # the first threshold and the logarithms of the steps to the next ones
+    steps = int(grade.max())
+    cut = np.r_[1.0, np.zeros(steps - 1)]  # the first threshold and the logarithms of the steps to the next ones
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (w, cut)]
     for step in range(1, 2 * fit.steps + 1):
         if step == fit.steps + 1:  # the penalty has chosen the features; their weights are now fitted without it
@@ -126,7 +139,7 @@ def fit_model(rows: list[tuple[str, int]], counts: dict[int, int], fit: Fit = Fi
         p = np.maximum(above[at, grade] - above[at, grade + 1], 1e-12)
         by_low, by_high = weight * slope[at, grade] / p, -weight * slope[at, grade + 1] / p
         by_z = by_low + by_high
-        by_threshold = np.array([-(by_low[grade == k + 1].sum() + by_high[grade == k].sum()) for k in range(GRADES - 1)])
+        by_threshold = np.array([-(by_low[grade == k + 1].sum() + by_high[grade == k].sum()) for k in range(steps)])
         later = np.cumsum(by_threshold[::-1])[::-1]
         by_w = np.bincount(column, value * by_z[row], len(kept))
         if step <= fit.steps:
@@ -153,12 +166,13 @@ def predict(scores: np.ndarray, thresholds: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """One row per input row: doc_id, score, p_toxic, expected_severity, severity, toxic (p_toxic at least one half).
+    """One row per input row: doc_id, score, p_toxic, expected_severity, severity, toxic (p_toxic at least one half),
+    n_grades (grades above clean that the model tells apart; 0 without a model).
 
     A null text counts as empty: it has score 0. Repeated rows are scored one by one; an empty table gives an empty result;
     columns other than doc_id and text are not read.
     """
-    weights, thresholds = (model.weights, model.thresholds) if model else ({}, np.full(GRADES - 1, 40.0))
+    weights, thresholds = (model.weights, model.thresholds) if model else ({}, np.array([40.0]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
@@ -176,11 +190,12 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                     totals.append(sum(sorted(own)))
                 if len(known) > 300_000:
                     known.clear()
-                scores = np.array(totals)
+                scores = np.array(totals, float)
                 p, expected, severity = predict(scores, thresholds)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(scores.round(6)), pa.array(p.round(6)), pa.array(expected.round(6)), pa.array(severity.astype(np.int32)), pa.array(p >= 0.5)],
-                    ["doc_id", "score", "p_toxic", "expected_severity", "severity", "toxic"])
+                    [part.column("doc_id"), pa.array(scores.round(6)), pa.array(p.round(6)), pa.array(expected.round(6)), pa.array(severity.astype(np.int32)), pa.array(p >= 0.5),
+                     pa.array(np.full(len(scores), len(thresholds) if model else 0, np.int32))],
+                    ["doc_id", "score", "p_toxic", "expected_severity", "severity", "toxic", "n_grades"])
 
     return docs.select("doc_id", "text").mapInArrow(run, RESULT)
 

@@ -314,12 +314,16 @@ def archived(manifest: DataFrame, chunk: int = CHUNK) -> DataFrame:
     ends = materialise(read_archives(manifest, chunk, payloads=False).where("last"), "records")
     responses = (ends.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_record"))
                  .agg(F.max("page_id").alias("of_page"), F.max("digest_so_far").alias("of_digest")))
-    revisit = F.col("record_type") == "revisit"
-    return ends.join(responses, "refers_to_record", "left").select(
-        "page_id", F.when(revisit, F.col("payload_bytes")).otherwise(F.col("bytes_so_far")).alias("payload_bytes"),
-        F.when(revisit, F.col("declared_digest")).otherwise(F.col("digest_so_far")).alias("payload_digest"), "record_type",
-        F.when(revisit, F.col("of_page")).alias("refers_to"), (F.col("chunk") + 1).cast("long").alias("n_chunks"),
-        F.coalesce(F.col("declared_digest") == F.when(revisit, F.col("of_digest")).otherwise(F.col("digest_so_far")), F.lit(False)).alias("intact"))
+    again, n_chunks = F.col("record_type") == "revisit", (F.col("chunk") + 1).cast("long").alias("n_chunks")
+
+    def intact(digest: str) -> Column:
+        return F.coalesce(F.col("declared_digest") == F.col(digest), F.lit(False)).alias("intact")
+
+    others = ends.where(~again).select("page_id", F.col("bytes_so_far").alias("payload_bytes"), F.col("digest_so_far").alias("payload_digest"), "record_type",
+                                       F.lit(None).cast("long").alias("refers_to"), n_chunks, intact("digest_so_far"))
+    revisits = ends.where(again).join(responses, "refers_to_record", "left").select(
+        "page_id", "payload_bytes", F.col("declared_digest").alias("payload_digest"), "record_type", F.col("of_page").alias("refers_to"), n_chunks, intact("of_digest"))
+    return others.unionByName(revisits)
 
 
 def round_trip(pages: DataFrame, chunk: int = CHUNK, archive: int = ARCHIVE, least: int = LEAST) -> DataFrame:

@@ -40,7 +40,7 @@ def corpus():
     add("ab " * 300)
     add("x" * 5000)
     add(" ".join(prose(rng, 40) for _ in range(600)))  # very long
-    add("mail a.b@c.example.com +1 (988) 555-2485 4111111111111111 10.0.0.1 10.0.0.256 password=b7db7aa4a5fcc78305 end")
+    add("mail a.b@c.example.com call +1 (988) 555-2485 on 4111111111111111 at 10.0.0.1 not 10.0.0.256 password=b7db7aa4a5fcc78305 end")
     add("Licensed under the Apache License, Version 2.0.\nCC BY-NC 4.0 and the MIT License; gnu General  public-license")
     return rows
 

@@ -280,6 +280,7 @@ def test_patterns_and_spans(docs, corpus):
     doc_id, text = next((c[0], c[1]) for c in corpus if c[1] and c[1].startswith("mail "))
     r = got[doc_id]
     assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) == (1, 1, 1, 1)
+    assert (r["n_national_id"], r["n_secret"], r["n_spans"]) == (0, 1, 5)
     spans = [s.split(":") for s in r["spans"].split(",")]
     assert [(k, text[int(a):int(b)]) for k, a, b in spans] == [
         ("email", "a.b@c.example.com"), ("ip", "10.0.0.1"), ("card", "4111111111111111"), ("phone", "+1 (988) 555-2485"), ("secret", "b7db7aa4a5fcc78305")]
@@ -331,6 +332,93 @@ def test_pii_reads_every_token(spark):
         assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) == (0, 0, 0, 0)
 
 
+def base_expected(text):
+    """The four expressions of the contract by the regex module's plain search."""
+    import re
+
+    def luhn(digits):
+        doubled = [int(d) * (2 if k % 2 else 1) for k, d in enumerate(reversed(digits))]
+        return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+    spans = []
+    for kind, expression, right in (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 16 <= len(re.sub(r"\D", "", m)) <= 19 and luhn(re.sub(r"\D", "", m))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 8 <= len(re.sub(r"\D", "", m)) <= 15),
+    ):
+        spans += [(kind, *m.span()) for m in re.finditer(expression, text) if right(m[0])]
+    return spans
+
+
+def test_pattern_spans_equal_the_expressions():
+    rng = random.Random(6)
+    pieces = ["4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1112", "10.0.0.1", "1.2.3.4.5.6.7.8", "10.0.0.256", "+49 123 456789", "+1 (988) 555-2485", "+1", "a@b.c", "a@b",
+              " ", "-", "x", "7", "+", "on ", "378282246310005", "12345678901234567890"]
+    for _ in range(4000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 9)))
+        assert pii.base_spans(text) == base_expected(text)
+
+
+def test_spans_are_ordered_by_kind_as_listed():
+    spans = [("secret", 0, 1), ("phone", 37, 53), ("phone", 5, 19), ("national_id", 2, 3), ("email", 90, 99), ("ip", 1, 2), ("card", 4, 5)]
+    assert [s[0] for s in pii.in_order(spans)] == ["email", "ip", "card", "phone", "phone", "national_id", "secret"] and pii.in_order(spans)[3] == ("phone", 5, 19)
+
+
+def test_tokens_equal_the_expression():
+    rng = random.Random(3)
+    texts = ["", "a", "\n\n", "=", "é=\u3000b\u00a0c\x85d\x1ce \U0001F642=x", "no end\r\nline \u2028 same"]
+    texts += ["".join(rng.choice("aé🙂= \n\r\"'(x:\u2003") for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    t = pii.tokens_of(texts)
+    owner = np.repeat(t.owner, t.lengths)
+    got = {}
+    for a, b, w, i in zip(t.begin, t.end, t.word, owner, strict=True):
+        got.setdefault(int(i), []).append((int(a - t.text_begin[i]), int(b - t.text_begin[i])))
+        assert texts[i][a - t.text_begin[i]: b - t.text_begin[i]] == t.words[w]
+    assert got == {i: spans for i, text in enumerate(texts) if (spans := [m.span() for m in pii.TOKEN.finditer(text)])}
+    import re
+
+    assert t.lengths.tolist() == [n for text in texts for line in re.split("[\n\r]", text) if (n := len(pii.TOKEN.findall(line)))]
+
+
+def test_lines_left_out_of_the_search_have_no_label():
+    rng = np.random.default_rng(11)
+    left_out = 0
+    for seed in range(60):
+        labels = 5
+        model = crf.Model(None, rng.normal(size=(labels, labels)), rng.normal(size=labels))
+        lengths = rng.integers(1, 7, 20)
+        score = rng.normal(size=(lengths.sum(), labels)) * 2
+        score[:, pii.OUTSIDE] += rng.choice([2.0, 6.0, 9.0], lengths.sum())
+        path = crf.decode(model, score, lengths)
+        searched = set(pii.undecided(model, score, lengths).tolist())
+        begin = np.cumsum(lengths) - lengths
+        for k in set(range(len(lengths))) - searched:
+            left_out += 1
+            assert (path[begin[k]: begin[k] + lengths[k]] == pii.OUTSIDE).all()
+    assert left_out > 100
+
+
+def test_gradient_of_the_likelihood():
+    """Against differences of the likelihood itself."""
+    rng = np.random.default_rng(13)
+    model = crf.Model(None, rng.normal(size=(3, 3)), rng.normal(size=3))
+    lengths = np.array([1, 4, 2])
+    score, mask = crf.padded(rng.normal(size=(lengths.sum(), 3)), lengths)
+    gold, _ = crf.padded(rng.integers(0, 3, lengths.sum()), lengths, 0)
+    _, by_score, by_pair, by_initial = crf.log_likelihood(model, score, mask, gold)
+    for values, gradient in ((score, by_score), (model.transitions, by_pair), (model.initial, by_initial)):
+        for at in np.ndindex(values.shape):
+            if values is score and not mask[at[:2]]:
+                continue
+            before, ends = values[at], []
+            for step in (1e-5, -1e-5):
+                values[at] = before + step
+                ends.append(crf.log_likelihood(model, score, mask, gold)[0])
+            values[at] = before
+            assert abs((ends[0] - ends[1]) / 2e-5 - gradient[at]) < 1e-6
+
+
 def test_pii_scores_are_those_of_the_features():
     rng = np.random.default_rng(2)
     model = crf.Model(rng.normal(size=(pii.FEATURES, len(pii.LABELS))), None, None)
