@@ -15,6 +15,7 @@ import hashlib
 import random
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -36,11 +37,15 @@ ADDED = ("national_id", "secret")
 OUTSIDE = 0
 LABELS = ("outside", *(f"{where}-{kind}" for kind in KINDS + ADDED for where in ("first", "more")))
 FEATURES = 1 << 13
-RESULT = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string"
+RESULT = ("doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, "
+          "n_national_id bigint, n_secret bigint, n_spans bigint")
+CHUNK_BYTES = 2_000_000
 
 TOKEN = re.compile(r"[^\s=\"',;:()<>\[\]]+|=")
-LINE = re.compile("[^\n\r]+")
+#: Whether a code point parts tokens; none beyond U+3000 does.
+PARTS_TOKENS = np.array([chr(c).isspace() or chr(c) in "\"',;:()<>[]" for c in range(0x3001)] + [False])
 STEPS = (-2, -1, 1)  # neighbours that a token's features name
+CAPITAL = re.compile("[A-Z]")
 TOKEN_KINDS = ("plain", "digits", "mixed")
 
 
@@ -84,12 +89,36 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def lines(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Token spans of each line that has any."""
-    for line in LINE.finditer(text):
-        tokens = [m.span() for m in TOKEN.finditer(text, *line.span())]
-        if tokens:
-            yield tokens
+@dataclass
+class Tokens:
+    """The tokens of some texts: places in the joined texts, the word table, and the lines that hold any."""
+
+    begin: np.ndarray
+    end: np.ndarray
+    words: list[str]
+    word: np.ndarray  # of each token, a place in ``words``
+    lengths: np.ndarray  # tokens of each line
+    owner: np.ndarray  # text of each line
+    text_begin: np.ndarray  # where each text starts in the joined ones
+
+
+def tokens_of(texts: list[str]) -> Tokens:
+    """What TOKEN finds in every line, without a Python object per token: the code points as one array, the distinct words by Arrow."""
+    code = np.frombuffer("\n".join(texts).encode("utf-32-le"), np.uint32)
+    sign = code == ord("=")
+    inside = ~(PARTS_TOKENS[np.minimum(code, 0x3001)] | sign)
+    begin = np.flatnonzero((inside & ~np.r_[False, inside[:-1]]) | sign)
+    end = np.flatnonzero((inside & ~np.r_[inside[1:], False]) | sign) + 1
+    used = code[inside | sign]
+    width = 1 + (used >= 0x80).astype(np.int32) + (used >= 0x800) + (used >= 0x10000)  # bytes in UTF-8
+    offsets = np.r_[0, np.cumsum(width)][np.r_[0, np.cumsum(end - begin)]].astype(np.int32)
+    data = used.tobytes().decode("utf-32-le").encode()
+    words = pa.StringArray.from_buffers(len(begin), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+    line = np.searchsorted(np.flatnonzero((code == 10) | (code == 13)), begin)
+    first = np.flatnonzero(np.r_[True, line[1:] != line[:-1]]) if len(line) else np.empty(0, np.int64)
+    text_begin = np.r_[0, np.cumsum([len(t) + 1 for t in texts])][:-1]
+    return Tokens(begin, end, words.dictionary.to_pylist(), words.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.diff(np.r_[first, len(line)]),
+                  np.searchsorted(text_begin, begin[first], side="right") - 1, text_begin)
 
 
 def shape(token: str) -> str:
@@ -137,6 +166,7 @@ class Scores:
     def __init__(self, model: crf.Model):
         self.weights = model.weights
         self.rows: dict[tuple, int] = {}
+        self.simple: dict[tuple, int] = {}
         self.kinds: list[int] = []
         self.own: list[np.ndarray] = []
         self.given: list[np.ndarray] = []  # step x kind x label
@@ -152,14 +182,31 @@ class Scores:
             self.given.append(np.array([[self.weights[[_number(n) for s in names for n in (f"{step}:{s}", f"{kind}&{step}:{s}")]].sum(0) for kind in TOKEN_KINDS] for step in STEPS]))
         return row
 
+    def _row_of(self, token: str) -> int:
+        """The row of a token. Short words of letters have one row for each length, kind of first letter and last sign, save cue words."""
+        tail = token[-1] if token[-1] in ".!?" else ""
+        body = token[:-1] if tail else token
+        if len(token) >= 16 or not body.isalpha() or CAPITAL.search(body, 1):
+            return self._row(_seen(token))
+        spelling = token.lower()[:10]
+        key = (len(token), "A" <= token[0] <= "Z", tail, spelling if spelling in CUES else "")
+        row = self.simple.get(key)
+        if row is None:
+            row = self.simple[key] = self._row(_seen(token))
+        return row
+
     def of(self, tokens: list[str], lengths: np.ndarray) -> np.ndarray:
         """Scores of the tokens of all sequences, one after another."""
+        distinct = sorted(set(tokens))
+        number = {t: i for i, t in enumerate(distinct)}
+        return self.of_words(distinct, np.array([number[t] for t in tokens], np.int64), lengths)
+
+    def of_words(self, words: list[str], word: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         if len(self.own) > 50_000:
             self.__init__(crf.Model(self.weights, None, None))
-        numbers: dict[str, int] = {t: self._row(_seen(t)) for t in set(tokens)}
-        row = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
+        row = np.array([self._row_of(t) for t in words], np.int64)[word]
         kind, own, given = np.array(self.kinds)[row], np.array(self.own), np.array(self.given)
-        place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        place = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         length = np.repeat(lengths, lengths)
         score = own[row]
         for k, step in enumerate(STEPS):
@@ -267,26 +314,44 @@ def _possible(kind: str, item: str) -> bool:
     }.get(kind, lambda: True)()
 
 
+def undecided(model: crf.Model, score: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The lines whose best path can hold another label than OUTSIDE.
+
+    A path that leaves OUTSIDE gains, for each token with another label, at most the difference of the scores, of the best way into that
+    label and of the way back. Where that is negative for every label of every token, all OUTSIDE is the best path, and Viterbi need not run.
+    """
+    stay = model.transitions[OUTSIDE, OUTSIDE]
+    into = model.transitions.max(axis=0) - stay
+    first = model.initial - model.initial[OUTSIDE]
+    back = np.maximum(model.transitions[:, OUTSIDE] - stay, 0)
+    others = np.arange(score.shape[1]) != OUTSIDE
+    gain = (score[:, others] + (np.maximum(into, first) + back)[others]).max(axis=1) - score[:, OUTSIDE]
+    begin = np.cumsum(lengths) - lengths
+    return np.flatnonzero(np.maximum.reduceat(gain, begin) >= -1e-9)
+
+
 def added_spans(texts: list[str], base: list[list[tuple[str, int, int]]], model: crf.Model, kinds: tuple[str, ...] = ADDED, scores: Scores | None = None) -> list[list[tuple[str, int, int]]]:
-    """Spans of ``kinds`` in each text that touch none of ``base``, by one Viterbi call over all lines."""
-    owners, places, tokens = [], [], []
-    for number, text in enumerate(texts):
-        for line in lines(text):
-            owners.append(number)
-            places.append(line)
-            tokens += [text[a:b] for a, b in line]
+    """Spans of ``kinds`` in each text that touch none of ``base``, by one Viterbi call over the lines that can hold any."""
     result: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    if not tokens:
+    t = tokens_of(texts)
+    if not len(t.begin):
         return result
-    lengths = np.fromiter(map(len, places), np.int64, len(places))
-    labels = crf.decode(model, (scores or Scores(model)).of(tokens, lengths), lengths)
-    begin = np.cumsum(lengths) - lengths
-    for number in np.flatnonzero(np.add.reduceat(labels != OUTSIDE, begin)).tolist():
-        owner = owners[number]
-        text = texts[owner]
+    score = (scores or Scores(model)).of_words(t.words, t.word, t.lengths)
+    begin = np.cumsum(t.lengths) - t.lengths
+    open_lines = undecided(model, score, t.lengths)
+    if not len(open_lines):
+        return result
+    lengths = t.lengths[open_lines]
+    own = np.cumsum(lengths) - lengths
+    token = np.arange(lengths.sum()) + np.repeat(begin[open_lines] - own, lengths)
+    labels = crf.decode(model, score[token], lengths)
+    for at in np.flatnonzero(np.add.reduceat(labels != OUTSIDE, own)).tolist():
+        owner = int(t.owner[open_lines[at]])
+        text, origin = texts[owner], t.text_begin[owner]
+        of = token[own[at]: own[at] + lengths[at]]
         spans: list[list] = []
         last = ""
-        for (a, b), label in zip(places[number], labels[begin[number]: begin[number] + lengths[number]].tolist(), strict=True):
+        for a, b, label in zip((t.begin[of] - origin).tolist(), (t.end[of] - origin).tolist(), labels[own[at]: own[at] + lengths[at]].tolist(), strict=True):
             where, _, kind = LABELS[label].partition("-")
             if kind in kinds:
                 if where == "more" and last == kind:
@@ -304,12 +369,18 @@ def added_spans(texts: list[str], base: list[list[tuple[str, int, int]]], model:
     return [sorted(set(r)) for r in result]
 
 
+def in_order(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """By kind as listed, then by place."""
+    return sorted(spans, key=lambda s: ((KINDS + ADDED).index(s[0]), s[1:]))
+
+
 def _text(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for kind, a, b in spans)
 
 
 def find(docs: DataFrame, model: crf.Model | None = None) -> DataFrame:
-    """One row per input row: doc_id, the counts by pattern, the digest of the pattern spans, and all spans.
+    """One row per input row: doc_id, the counts by pattern, the digest of the pattern spans, all spans, and how many national numbers,
+    credentials and spans of any kind there are.
 
     A null text counts as empty and has no spans. Repeated rows are scanned one by one; an empty table gives an empty result;
     columns other than doc_id and text are not read.
@@ -319,14 +390,16 @@ def find(docs: DataFrame, model: crf.Model | None = None) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = Scores(model)
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, CHUNK_BYTES):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 base = [base_spans(t) for t in texts]
                 more = added_spans(texts, base, model, KINDS + ADDED, scores)
                 counts = [pa.array([sum(s[0] == kind for s in spans) for spans in base], pa.int64()) for kind in KINDS]
                 digests = pa.array([hashlib.sha256(_text(spans).encode()).hexdigest() for spans in base])
-                every = pa.array([_text(b + m) for b, m in zip(base, more, strict=True)])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *counts, digests, every],
-                                                 ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+                every = [in_order(b + m) for b, m in zip(base, more, strict=True)]
+                added = [pa.array([sum(s[0] == kind for s in spans) for spans in more], pa.int64()) for kind in ADDED]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), *counts, digests, pa.array(map(_text, every), pa.string()), *added, pa.array(map(len, every), pa.int64())],
+                    ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", *(f"n_{k}" for k in ADDED), "n_spans"])
 
     return docs.select("doc_id", "text").mapInArrow(scan, RESULT)
