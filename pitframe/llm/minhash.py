@@ -124,7 +124,8 @@ def link_classes(rep_bands: DataFrame, docs: DataFrame, percent: int) -> DataFra
     shared = buckets.groupBy("bucket").count().where("count > 1").select("bucket")
     members = materialise(buckets.join(shared, "bucket"), "buckets")
     taking_part = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = materialise(docs.join(taking_part, "doc_id", "left_semi").mapInArrow(_set_batches, SETS), "shingle-sets")
+    # a row per document that shares a bucket: it grows with the corpus, so the join is by sort and merge at every size
+    sets = materialise(docs.join(taking_part.hint("merge"), "doc_id", "left_semi").mapInArrow(_set_batches, SETS), "shingle-sets")
 
     own = (sets.select("id", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("c"), F.min("id").alias("id"))
            .where("c = 1").groupBy("id").agg(F.count("*").alias("u")))
@@ -172,9 +173,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
 def keep(docs: DataFrame, percent: int = 85) -> DataFrame:
     """The rows of ``docs`` that stay, one of each component, with their own columns."""
-    stay = materialise(near_duplicates(docs, percent).where("kept").select(F.col("doc_id").alias("_id")).distinct(), "stay")
+    verdicts = near_duplicates(docs, percent).groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("_kept"))
+    dropped = materialise(verdicts.where("NOT _kept").select("_id"), "dropped")  # mostly the smaller side
     carried = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_doc_id"))
-    return carried.join(stay, F.col("_doc_id").eqNullSafe(F.col("_id")), "left_semi").select("_row.*")
+    return carried.join(dropped, F.col("_doc_id").eqNullSafe(F.col("_id")), "left_anti").select("_row.*")
 
 
 ORACLE = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
