@@ -1,11 +1,12 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 Each source's documents, in an order given by a hash of their id, form blocks of equal volume. A source gets a whole number of
-parts; one block for each part makes a round. In a round of D slots, block k of a source with c parts is released at
-floor(k * D / c) and due at ceil((k + 1) * D / c); the earliest deadline among the released blocks takes each slot. That keeps
-every source within less than one block of its share at every slot. The same round repeats until a source runs out; its last, smaller
-number of blocks makes a round of its own kind, and the others go on with the same proportions. So all documents are in
-the mix, once, and the schedule has at most two kinds of round per source, however many blocks there are.
+parts p of a round and, in most rounds, as many blocks c. In an ideal mix source s has handed out min(p_s * x, c_s) blocks when the
+part x of the round's course is over, so S(x), the sum of these, is the number of slots gone by then. Block k of a source is released at
+floor(S(k / p)) and due at ceil(S((k + 1) / p)); the earliest deadline among the released blocks takes each slot. That keeps every
+source within less than one block of the ideal mix at every slot. The same round repeats until a source runs out: in its last
+round c is less than p, it runs at its weight to its last block, and the slots after that go to the others in their proportions. So
+all documents are in the mix, once, and the schedule has at most two kinds of round per source, however many blocks there are.
 
 Only the schedule is put together in one place: its size is (sources) x (parts), whatever the table's size. Documents are
 placed by windows over cells of a source, cut by the hash and sized by its row count, so a hot source has more cells.
@@ -58,24 +59,28 @@ def schedule(sizes: DataFrame) -> DataFrame:
     kinds = (one.withColumn("ends", ends)
              .select("all", F.explode(F.arrays_zip(F.expr("slice(ends, 1, greatest(size(ends) - 1, 0))").alias("a"), F.expr("slice(ends, 2, size(ends))").alias("b"))).alias("e"))
              .select("all", F.col("e.a").alias("first_round"), F.col("e.b").alias("end_round")))
-    due_blocks = F.transform("all", lambda s: F.struct(s["key"].alias("key"), F.when(F.col("first_round") < s["q"], s["p"])
+    due_blocks = F.transform("all", lambda s: F.struct(s["key"].alias("key"), s["p"].alias("p"), F.when(F.col("first_round") < s["q"], s["p"])
                                                        .when(F.col("first_round") == s["q"], s["rest"].cast("int")).otherwise(0).alias("c")))
     kinds = (kinds.withColumn("m", F.filter(due_blocks, lambda s: s["c"] > 0)).where(F.size("m") > 0)
              .select("first_round", "end_round", "m", F.expr("aggregate(m, 0, (a, s) -> a + s.c)").alias("slots")))
+    # slots gone when source i has handed out k blocks, times its p: whole numbers
+    gone = F.expr("transform(m, s -> transform(sequence(0, s.c), k -> aggregate(m, 0L, (a, o) -> a + least(cast(o.p AS bigint) * k, cast(o.c AS bigint) * s.p))))")
+    kinds = (kinds.withColumn("gone", gone)
+             .withColumn("starts", F.expr("transform(gone, (g, i) -> transform(g, x -> x div m[i].p))"))
+             .withColumn("ends", F.expr("transform(gone, (g, i) -> transform(g, x -> (x + m[i].p - 1) div m[i].p))")).drop("gone"))
     # earliest deadline first among the released blocks; of equal deadlines the first source by name
     edf = """aggregate(sequence(0, slots - 1),
         named_struct('next', transform(m, s -> 0), 'out', cast(array() as array<struct<m: int, k: int>>)),
         (acc, t) -> transform(array(array_min(filter(transform(acc.next, (k, i) ->
-              CASE WHEN k < m[i].c AND floor(k * slots / m[i].c) <= t THEN named_struct('due', ceil((k + 1) * slots / m[i].c), 'i', i, 'k', k) END), x -> x IS NOT NULL))),
+              CASE WHEN k < m[i].c AND starts[i][k] <= t THEN named_struct('due', ends[i][k + 1], 'i', i, 'k', k) END), x -> x IS NOT NULL))),
             best -> named_struct('next', transform(acc.next, (k, i) -> IF(i = best.i, k + 1, k)), 'out', concat(acc.out, array(named_struct('m', best.i, 'k', best.k)))))[0],
         acc -> acc.out)"""
     run = kinds.withColumn("out", F.expr(edf)).withColumn("length", (F.col("end_round") - F.col("first_round")) * F.col("slots"))
     before = W.orderBy("first_round").rowsBetween(W.unboundedPreceding, -1)  # at most two rows per source
     placed = run.withColumn("base", F.coalesce(F.sum("length").over(before), F.lit(0)))
-    rows = placed.select("first_round", "end_round", "slots", "base", "m", F.posexplode("out").alias("slot", "o")).withColumn("s", F.expr("m[o.m]"))
-    k, c, d = F.col("o.k"), F.col("s.c"), F.col("slots")
-    return rows.select("first_round", "end_round", "slots", "base", F.col("s.key").alias("key"), k.alias("k"), "slot",
-                       F.floor(k * d / c).alias("release"), F.ceil((k + 1) * d / c).alias("due"))
+    rows = placed.select("first_round", "end_round", "slots", "base", F.posexplode(F.expr(
+        "transform(out, o -> named_struct('key', m[o.m].key, 'k', o.k, 'release', starts[o.m][o.k], 'due', ends[o.m][o.k + 1]))")).alias("slot", "o"))
+    return rows.select("first_round", "end_round", "slots", "base", "o.key", "o.k", "slot", "o.release", "o.due")
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, parts: int = PARTS, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -118,7 +123,8 @@ def in_mix_order(docs: DataFrame, weights: dict[str, float] | None = None) -> Da
     at = mix(docs, weights).groupBy(F.col("doc_id").alias("_id")).agg(F.min(F.struct("position", "place")).alias("_at"))
     at = materialise(at, "mix-order")
     carried = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_doc_id"))
-    joined = carried.join(at, F.col("_doc_id").eqNullSafe(F.col("_id"))).select("_row", "_at")
+    # a row of ``at`` per document: it grows with the corpus, so the join is by sort and merge at every size
+    joined = carried.join(at.hint("merge"), F.col("_doc_id").eqNullSafe(F.col("_id"))).select("_row", "_at")
     return joined.repartitionByRange("_at").sortWithinPartitions("_at").select("_row.*")
 
 
@@ -130,21 +136,26 @@ def oracle(block: int = BLOCK, parts: int = PARTS) -> str:
   q AS (SELECT key, p, blocks, blocks // p AS q, blocks % p AS rest FROM s),
   ends AS (SELECT 0 AS e UNION SELECT q FROM q UNION SELECT q + 1 FROM q),
   spans AS (SELECT e AS a, lead(e) OVER (ORDER BY e) AS b FROM ends),
-  c AS (SELECT a, b, key, CASE WHEN a < q THEN p ELSE rest END AS c FROM spans, q WHERE b IS NOT NULL AND a <= q AND CASE WHEN a < q THEN p ELSE rest END > 0),
-  kinds AS (SELECT a, b, sum(c)::BIGINT AS slots, list(key ORDER BY key) AS keys, list(c ORDER BY key) AS cs FROM c GROUP BY a, b),
-  edf(a, slots, keys, cs, t, nxt, m) AS (
-    SELECT a, slots, keys, cs, -1::BIGINT, list_transform(cs, lambda x: 0::BIGINT), NULL::BIGINT FROM kinds
+  c AS (SELECT a, b, key, p, CASE WHEN a < q THEN p ELSE rest END AS c FROM spans, q WHERE b IS NOT NULL AND a <= q AND CASE WHEN a < q THEN p ELSE rest END > 0),
+  windows AS (SELECT s.a, s.key, s.p, k, sum(least(o.p * k, o.c * s.p))::BIGINT AS g0, sum(least(o.p * (k + 1), o.c * s.p))::BIGINT AS g1
+    FROM (SELECT *, unnest(range(c)) AS k FROM c) s JOIN c o ON o.a = s.a GROUP BY s.a, s.key, s.p, k),
+  w2 AS (SELECT a, key, list(g0 // p ORDER BY k) AS rel, list((g1 + p - 1) // p ORDER BY k) AS due FROM windows GROUP BY a, key),
+  kinds AS (SELECT c.a, c.b, sum(c)::BIGINT AS slots, list(c.key ORDER BY c.key) AS keys, list(c ORDER BY c.key) AS cs, list(rel ORDER BY c.key) AS rel, list(due ORDER BY c.key) AS due
+    FROM c JOIN w2 ON w2.a = c.a AND w2.key = c.key GROUP BY c.a, c.b),
+  edf(a, slots, cs, rel, due, t, nxt, m) AS (
+    SELECT a, slots, cs, rel, due, -1::BIGINT, list_transform(cs, lambda x: 0::BIGINT), NULL::BIGINT FROM kinds
     UNION ALL
-    SELECT a, slots, keys, cs, t, list_transform(nxt, lambda x, i: CASE WHEN i = m THEN x + 1 ELSE x END), m FROM (
-      SELECT a, slots, keys, cs, t + 1 AS t, nxt, list_sort(list_filter(list_transform(nxt, lambda x, i:
-          CASE WHEN x < cs[i] AND x * slots // cs[i] <= t + 1 THEN {{'due': ((x + 1) * slots + cs[i] - 1) // cs[i], 'i': i}} END), lambda y: y IS NOT NULL))[1].i AS m
+    SELECT a, slots, cs, rel, due, t, list_transform(nxt, lambda x, i: CASE WHEN i = m THEN x + 1 ELSE x END), m FROM (
+      SELECT a, slots, cs, rel, due, t + 1 AS t, nxt, list_sort(list_filter(list_transform(nxt, lambda x, i:
+          CASE WHEN x < cs[i] AND rel[i][x + 1] <= t + 1 THEN {{'due': due[i][x + 1], 'i': i}} END), lambda y: y IS NOT NULL))[1].i AS m
       FROM edf WHERE t + 1 < slots)),
   base AS (SELECT a, b, slots, coalesce(sum((b - a) * slots) OVER (ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS base FROM kinds),
-  plan AS (SELECT a, keys[m] AS key, t AS slot, cs[m] AS c, row_number() OVER (PARTITION BY a, m ORDER BY t) - 1 AS k FROM edf WHERE t >= 0),
+  plan AS (SELECT a, key, slot, k, rel[m][k + 1] AS rel, due[m][k + 1] AS due FROM (
+    SELECT e.a, keys[m] AS key, t AS slot, m, e.rel, e.due, row_number() OVER (PARTITION BY e.a, m ORDER BY t) - 1 AS k FROM edf e JOIN kinds USING (a) WHERE t >= 0)),
   cum AS (SELECT *, coalesce(sum(n_chars) OVER (PARTITION BY key ORDER BY u, doc_id, n_chars ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS cum,
       row_number() OVER (PARTITION BY key ORDER BY u, doc_id, n_chars) AS n FROM d),
   placed AS (SELECT cum.*, p, least(cum // {block}, blocks - 1) AS block FROM cum JOIN s USING (key))
 SELECT x.doc_id, x.source, x.n_chars, x.block, x.block // x.p AS round,
-  base + (x.block // x.p - base.a) * slots + (k * slots // c) AS release, base + (x.block // x.p - base.a) * slots + ((k + 1) * slots + c - 1) // c AS due,
+  base + (x.block // x.p - base.a) * slots + rel AS release, base + (x.block // x.p - base.a) * slots + plan.due AS due,
   base + (x.block // x.p - base.a) * slots + slot AS position, row_number() OVER (PARTITION BY x.key, x.block ORDER BY x.n) AS place
 FROM placed x JOIN base ON x.block // x.p >= base.a AND x.block // x.p < base.b JOIN plan ON plan.a = base.a AND plan.key = x.key AND plan.k = x.block % x.p"""

@@ -5,6 +5,7 @@ import math
 import re
 import textwrap
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -180,35 +181,51 @@ def test_license_empty(empty):
 # ---- mixing
 
 
-def earliest_deadline_first(parts):
-    """Plain simulation of one round."""
-    total, done, out = sum(parts), [0] * len(parts), []
-    for t in range(total):
-        ready = [(-(-(done[i] + 1) * total // c), i) for i, c in enumerate(parts) if done[i] < c and done[i] * total // c <= t]
-        due, i = min(ready)
-        assert t < due
-        out.append((i, done[i]))
-        done[i] += 1
-    return out
-
-
-def test_schedule_is_edf_and_stays_within_one_block(spark):
-    blocks, parts = {"a": 40, "b": 7, "c": 1, "d": 13}, {"a": 7, "b": 3, "c": 1, "d": 4}
+def ideal_mix(parts, counts, n):
+    """What each source has handed out after n slots if all run at their weights until they have no block left."""
+    done, left = {k: Fraction(0) for k in counts}, Fraction(n)
+    while left:
+        running = [k for k in counts if done[k] < counts[k]]
+        step = min(left / sum(parts[k] for k in running), *((counts[k] - done[k]) / parts[k] for k in running))
+        for k in running:
+            done[k] += step * parts[k]
+        left -= step * sum(parts[k] for k in running)
+    return done
+
+
+@pytest.mark.parametrize("blocks, parts", [
+    ({"a": 40, "b": 7, "c": 1, "d": 13}, {"a": 7, "b": 3, "c": 1, "d": 4}),
+    ({"a": 30, "b": 30, "c": 300}, {"a": 180, "b": 180, "c": 40}),  # fewer blocks than parts
+    ({"a": 19, "b": 2, "c": 55, "d": 3, "e": 3}, {"a": 20, "b": 9, "c": 160, "d": 1, "e": 210}),
+])
+def test_schedule_is_edf_and_stays_within_one_block_of_the_target(spark, blocks, parts):
     sizes = spark.createDataFrame([(k, 1, 1, blocks[k], parts[k]) for k in blocks], "key string, n_docs bigint, volume bigint, blocks bigint, p int")
     slots = {}
     for r in mixing.schedule(sizes).collect():
         for turn in range(r["first_round"], r["end_round"]):
-            slots[r["base"] + (turn - r["first_round"]) * r["slots"] + r["slot"]] = (turn, r["key"], r["k"])
+            slots[r["base"] + (turn - r["first_round"]) * r["slots"] + r["slot"]] = (turn, r["key"], r["k"], r["release"], r["due"], r["slot"])
     assert sorted(slots) == list(range(sum(blocks.values())))  # every block once, no gap
-    for turn in {t for t, _, _ in slots.values()}:
-        here = [(s, *slots[s][1:]) for s in sorted(slots) if slots[s][0] == turn]
-        counts = Counter(k for _, k, _ in here)
-        keys = sorted(counts)
-        assert [(keys.index(k), n) for _, k, n in here] == earliest_deadline_first([counts[k] for k in keys])
+    for turn in {s[0] for s in slots.values()}:
+        here = [slots[s] for s in sorted(slots) if slots[s][0] == turn]
+        counts = Counter(s[1] for s in here)
+        waiting = sorted(here, key=lambda s: s[4])
         seen = Counter()
-        for n, (_, key, _) in enumerate(here, 1):
+        for n, (_, key, k, release, due, slot) in enumerate(here):
+            assert slot == n and release <= n < due and k == seen[key]
+            assert due == min(s[4] for s in waiting if s[3] <= n)  # no released block is due before it
+            waiting.remove(here[n])
             seen[key] += 1
-            assert all(abs(seen[k] - n * counts[k] / len(here)) < 1 for k in keys)
+            assert all(abs(seen[j] - v) < 1 for j, v in ideal_mix(parts, counts, n + 1).items())
+
+
+def test_target_weights_hold_when_sources_have_fewer_blocks_than_parts(spark):
+    """Up to the slot where the first source runs out, shares are those of the weights, not of the volumes."""
+    rows = [(i, "x" * 100, "hot" if i < 900 else "b" if i < 950 else "c") for i in range(1000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), {"hot": 0.2, "b": 0.4, "c": 0.4}, block=100).collect()
+    order = [r["source"] for r in sorted(got, key=lambda r: (r["position"], r["place"]))]
+    for n in range(1, 126):
+        assert all(abs(order[:n].count(s) - n * w) < 1 for s, w in (("hot", 0.2), ("b", 0.4), ("c", 0.4)))
+    assert order[125:] == ["hot"] * 875
 
 
 def test_mix_places_every_row(docs, corpus):
