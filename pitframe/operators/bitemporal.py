@@ -230,7 +230,7 @@ def availability_profile(rows: DataFrame) -> DataFrame:
 
 
 def change_set(
-    latest: DataFrame, incoming: DataFrame, fields: list[str], complete_snapshot: bool, quarantined: DataFrame | None = None
+    latest: DataFrame, incoming: DataFrame, fields: list[str], complete_snapshot: bool, quarantined: DataFrame | None = None, keys=KEY
 ) -> DataFrame:
     """What an incoming file does to the version stream, one row per key: null-safe full outer comparison.
 
@@ -241,18 +241,19 @@ def change_set(
     """
     dates = incoming.select("trade_date").distinct()
     old = latest.join(F.broadcast(dates), "trade_date", "left_semi").select(
-        *KEY,
+        *keys,
         F.struct(*fields).alias("old"),
         F.col("version_no").alias("prev_version"),
         F.col("is_tombstone").alias("prev_tombstone"),
         F.col("source_format").alias("prev_format"),
+        *([F.col("source_instrument_id").alias("prev_instrument_id")] if "source_instrument_id" in latest.columns and "source_instrument_id" not in keys else []),
     )
-    new = incoming.select(*KEY, F.struct(*fields).alias("new"), F.col("source_format").alias("new_format"))
+    new = incoming.select(*keys, F.struct(*fields).alias("new"), F.col("source_format").alias("new_format"))
     formats = incoming.groupBy("trade_date").agg(F.min("source_format").alias("file_format"))
-    both = old.join(new, list(KEY), "full").join(F.broadcast(formats), "trade_date")
+    both = old.join(new, list(keys), "full").join(F.broadcast(formats), "trade_date")
     if quarantined is not None:
-        held = quarantined.select(*KEY).distinct().withColumn("held", F.lit(True))
-        both = both.join(held, list(KEY), "left")
+        held = quarantined.select(*keys).distinct().withColumn("held", F.lit(True))
+        both = both.join(held, list(keys), "left")
     else:
         both = both.withColumn("held", F.lit(None).cast("boolean"))
     here, before = F.col("new").isNotNull(), F.col("prev_version").isNotNull()

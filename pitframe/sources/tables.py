@@ -23,6 +23,14 @@ SCHEMAS = {
     "volume bigint, traded_value decimal(20,4), num_trades bigint, " + PROVENANCE,
     "delivery_observation": "source_instrument_id string, isin string, trade_date date, version_no bigint, series string, "
     "symbol string, delivery_qty bigint, traded_qty_reported bigint, delivery_pct_reported decimal(20,4), " + PROVENANCE,
+    "delivery_crosscheck_observation": "source_instrument_id string, isin string, trade_date date, version_no bigint, series string, "
+    "symbol string, delivery_available boolean, delivery_qty bigint, traded_qty_reported bigint, delivery_pct_reported decimal(20,4), " + PROVENANCE,
+    "security_master_observation": "source_instrument_id string, isin string, trade_date date, version_no bigint, series string, symbol string, "
+    "name string, instrument_type bigint, normal_market_status bigint, normal_market_eligibility bigint, delete_flag string, price_range_text string, "
+    "price_range_type string, max_price decimal(20,4), min_price decimal(20,4), tick_size decimal(20,4), is_dummy boolean, status_code_known boolean, "
+    "security_class string, market_eligible boolean, effective_session date, effective_session_basis string, " + PROVENANCE,
+    "data_conflict": "table_name string, source_instrument_id string, isin string, series string, trade_date date, kind string, detail string, "
+    "file_sha256 string, logged_at timestamp",
     "raw_file": "source_id string, file_sha256 string, original_name string, source_url string, retrieved_at timestamp, "
     "received_at timestamp, size_bytes bigint, landed_path string, acquisition_method string",
     "raw_parse_event": "source_id string, file_sha256 string, received_at timestamp, parsed_at timestamp, status string, "
