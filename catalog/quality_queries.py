@@ -34,7 +34,7 @@ def parquet_table(spark, sf_dir):
     """Written by date partition and read back through the declared schema."""
     rows = adapters.events(spark, sf_dir).select("isin", "series", "trade_date", "version_no", "close_cents")
     path = tables.scratch(spark, "price_events_parquet")
-    tables.write_parquet(rows, path, "trade_date", files_per_partition=1)
+    tables.write_parquet(rows, path, "trade_date")
     return tables.read_parquet(spark, path, rows.schema).select(rows.columns)
 
 

@@ -93,14 +93,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_parquet(df: DataFrame, path: str, partition: str | None = None, files_per_partition: int = 8, mode: str = "append") -> None:
-    """Write by date partition. Rows of one date go to a few tasks, not one: a date that holds a third of all rows
-    is still spread, and a small one does not leave a file per task."""
+def write_parquet(df: DataFrame, path: str, partition: str | None = None, mode: str = "append") -> None:
+    """Write by date partition. The rows are dealt by date and then rebalanced by their measured size: a date that holds a third of
+    all rows is split over tasks, and small ones share a task and have a file each."""
     if partition is None:
         df.write.mode(mode).parquet(path)
         return
-    spreader = F.pmod(F.xxhash64(*[c for c in df.columns if c != partition]), F.lit(files_per_partition))
-    df.repartition(F.col(partition), spreader).write.mode(mode).partitionBy(partition).parquet(path)
+    df.hint("rebalance", partition).write.mode(mode).partitionBy(partition).parquet(path)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
