@@ -51,20 +51,20 @@ def r2(x):
 SIDE = "CASE WHEN s THEN {} ELSE {} END"
 
 
-@query("X02", f"""SELECT o_orderkey, brokerage, stt, stamp_duty, exchange_fee, turnover_fee, gst, dp_charge, {r2('brokerage + stt + stamp_duty + exchange_fee + turnover_fee + gst + dp_charge')} AS total FROM (
-SELECT *, {r2('g * (brokerage + exchange_fee + turnover_fee)')} AS gst, CASE WHEN s THEN {r2('13.5::DOUBLE + g * 13.5')} ELSE 0::DOUBLE END AS dp_charge FROM (
+@query("X02", f"""SELECT o_orderkey, brokerage, stt, stamp_duty, exchange_txn_nse, sebi_turnover_fee, gst, dp_charge, {r2('brokerage + stt + stamp_duty + exchange_txn_nse + sebi_turnover_fee + gst + dp_charge')} AS total FROM (
+SELECT *, {r2('g * (brokerage + exchange_txn_nse + sebi_turnover_fee)')} AS gst, CASE WHEN s THEN {r2('13.5::DOUBLE + g * 13.5')} ELSE 0::DOUBLE END AS dp_charge FROM (
 SELECT o_orderkey, s, 20::DOUBLE AS brokerage, {r2('v * ' + SIDE.format(schedule_sql(money.STT, 'sell'), schedule_sql(money.STT, 'buy')) + '::DOUBLE')} AS stt,
 {r2('v * ' + SIDE.format(schedule_sql(money.STAMP_DUTY, 'sell'), schedule_sql(money.STAMP_DUTY, 'buy')) + '::DOUBLE')} AS stamp_duty,
-{r2('v * (' + schedule_sql([(a, b, {'rate': f'{r["rate"]:.7f}'}) for a, b, r in money.EXCHANGE_FEE], 'rate') + ')::DOUBLE')} AS exchange_fee, {r2('v * 0.000001::DOUBLE')} AS turnover_fee, ({schedule_sql(money.SERVICE_TAX, 'rate')})::DOUBLE AS g
+{r2('v * (' + schedule_sql([(a, b, {'rate': f'{r["rate"]:.7f}'}) for a, b, r in money.EXCHANGE_TXN_NSE], 'rate') + ')::DOUBLE')} AS exchange_txn_nse, {r2('v * 0.000001::DOUBLE')} AS sebi_turnover_fee, ({schedule_sql(money.GST, 'rate')})::DOUBLE AS g
 FROM (SELECT o_orderkey, o_orderkey % 2 = 1 AS s, o_totalprice AS v, CAST(o_orderdate + INTERVAL 20 YEAR AS DATE) AS d FROM orders)))""")
 def trade_costs(spark, sf_dir):
     out = money.with_trade_costs(trades(spark, sf_dir))
     return out.drop("side", "value", "trade_date")
 
 
-@query("J09", f"SELECT o_orderkey, ({schedule_sql(money.SERVICE_TAX, 'rate')})::DOUBLE AS rate FROM (SELECT o_orderkey, CAST(o_orderdate + INTERVAL 20 YEAR AS DATE) AS d FROM orders)")
+@query("J09", f"SELECT o_orderkey, ({schedule_sql(money.GST, 'rate')})::DOUBLE AS rate FROM (SELECT o_orderkey, CAST(o_orderdate + INTERVAL 20 YEAR AS DATE) AS d FROM orders)")
 def rate_in_force(spark, sf_dir):
-    return orders(spark, sf_dir).select("o_orderkey", money.rate_on(money.SERVICE_TAX, later("o_orderdate"), "rate").alias("rate"))
+    return orders(spark, sf_dir).select("o_orderkey", money.rate_on(money.GST, later("o_orderdate"), "rate").alias("rate"))
 
 
 # --------------------------------------------------------------------------- tax

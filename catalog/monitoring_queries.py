@@ -47,19 +47,20 @@ def ttm(spark, sf_dir):
     return mo.trailing_twelve_months(q, "cfo").select("company", "quarter_no", F.round("cfo_ttm", 4).alias("cfo_ttm"))
 
 
-@query("D04", """SELECT o_orderkey, CASE WHEN age > lim THEN 'stale' ELSE 'fresh' END AS staleness FROM (SELECT o_orderkey, o_custkey % 600 AS age, CASE o_orderkey % 3 WHEN 0 THEN 165 WHEN 1 THEN 270 ELSE 450 END AS lim FROM orders)""")
+@query("D04", """SELECT o_orderkey, CASE WHEN kind = 3 THEN CASE WHEN sessions > 5 THEN 'stale' ELSE 'fresh' END WHEN kind < 3 THEN CASE WHEN age > lim THEN 'stale' ELSE 'fresh' END END AS staleness FROM (
+SELECT o_orderkey, o_orderkey % 5 AS kind, o_custkey % 600 AS age, o_custkey % 11 AS sessions, CASE o_orderkey % 5 WHEN 0 THEN 165 WHEN 1 THEN 270 ELSE 450 END AS lim FROM orders)""")
 def staleness(spark, sf_dir):
-    cadence = F.element_at(F.array(*[F.lit(x) for x in mo.STALE_AFTER_DAYS]), (c("o_orderkey") % 3 + 1).cast("int"))
-    return orders(spark, sf_dir).select("o_orderkey", mo.staleness(c("o_custkey") % 600, cadence).alias("staleness"))
+    cadence = F.element_at(F.array(*[F.lit(x) for x in (*mo.STALE_AFTER_DAYS, "daily", "event")]), (c("o_orderkey") % 5 + 1).cast("int"))
+    return orders(spark, sf_dir).select("o_orderkey", mo.staleness(c("o_custkey") % 600, cadence, c("o_custkey") % 11).alias("staleness"))
 
 
-@query("D05", """SELECT company, fy_no, CASE WHEN v IS NULL THEN 'primary_only' WHEN p IS NULL THEN 'validation_only' WHEN abs(p - v) <= abs(p) * 0.01 THEN 'agree' ELSE 'conflict' END AS outcome FROM
+@query("D05", """SELECT company, fy_no, CASE WHEN v IS NULL THEN 'primary_only' WHEN p IS NULL THEN 'validation_only' WHEN abs(p - v) <= greatest(abs(p) * 0.005, 2000) THEN 'agree' ELSE 'conflict' END AS outcome FROM
 (SELECT company, fy_no, revenue AS p FROM fiscal_years WHERE lines % 5 > 0) a FULL JOIN (SELECT company, fy_no, revenue * (1 + (lines % 7)::DOUBLE / 400) AS v FROM fiscal_years WHERE lines % 6 > 0) b USING (company, fy_no)""", ("fiscal_years",))
 def reconcile(spark, sf_dir):
     y = adapters.fiscal_years(spark, sf_dir)
     primary = y.filter(c("lines") % 5 > 0).select("company", "fy_no", "revenue")
     validation = y.filter(c("lines") % 6 > 0).select("company", "fy_no", (c("revenue") * (1 + (c("lines") % 7).cast("double") / F.lit(400.0))).alias("revenue"))
-    return mo.reconcile(primary, validation, ["company", "fy_no"], "revenue", 0.01).select("company", "fy_no", "outcome")
+    return mo.reconcile(primary, validation, ["company", "fy_no"], "revenue", 0.005, 2000.0).select("company", "fy_no", "outcome")
 
 
 view("sector_weights", """SELECT fy_no AS period, sector, sum(r)::DOUBLE / any_value(tr)::DOUBLE AS w_p, sum(rev)::DOUBLE / any_value(tv)::DOUBLE AS w_b, sum(duty)::DOUBLE / sum(r)::DOUBLE / 1000 AS r_p, sum(disc)::DOUBLE / sum(rev)::DOUBLE / 1000 AS r_b FROM (

@@ -281,14 +281,16 @@ def allocate_slots(spark, sf_dir):
 
 @query("R17", """SELECT o_orderkey, q1, q2, q3, CAST(q1 + q2 + q3 AS BIGINT) AS earmark, CAST(CASE WHEN NOT p2 THEN 2 WHEN NOT p3 THEN 3 END AS INTEGER) AS cancelled_after FROM (
 SELECT *, CASE WHEN p2 AND p3 THEN greatest(0, r3 - q1 - q2) ELSE 0 END AS q3 FROM (SELECT *, CASE WHEN p2 THEN greatest(0, least(3333 * r2 // 10000, r2 - q1)) ELSE 0 END AS q2 FROM (
-SELECT o_orderkey, o_orderkey % 4 > 0 AS p2, o_orderkey % 5 > 0 AS p3, 3334 * (c // (p * 100)) // 10000 AS q1, (c * (50 + o_orderkey % 70) // 100) // (p * 100 + 300) AS r2, c // (p * 100 - 200) AS r3 FROM (
-SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS c, o_custkey % 90 + 10 AS p FROM orders))))""")
+SELECT o_orderkey, o_orderkey % 4 > 0 AS p2, o_orderkey % 5 > 0 AS p3, 3334 * least(c // (p * 100), cap // (p * 105)) // 10000 AS q1, least((c * (50 + o_orderkey % 70) // 100) // (p * 100 + 300), cap // (p * 120)) AS r2, least(c // (p * 100 - 200), cap // (p * 120)) AS r3 FROM (
+SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS c, o_custkey % 90 + 10 AS p, CAST(round(o_totalprice * 100) AS BIGINT) * (60 + o_orderkey % 90) // 100 AS cap FROM orders))))""")
 def tranches(spark, sf_dir):
     k, value, p = c("o_orderkey"), adapters.cents("o_totalprice"), c("o_custkey") % 90 + 10
     rows = orders(spark, sf_dir).select(
         "o_orderkey", value.cast("decimal(20,0)").alias("target_value"), (p * 100).cast("decimal(20,0)").alias("entry_ref"),
         F.expr("(CAST(round(o_totalprice * 100) AS BIGINT) * (50 + o_orderkey % 70)) div 100").cast("decimal(20,0)").alias("t2_revised"), (p * 100 + 300).cast("decimal(20,0)").alias("t2_prior_close"),
         (k % 4 > 0).alias("t2_pass"), value.cast("decimal(20,0)").alias("t3_revised"), (p * 100 - 200).cast("decimal(20,0)").alias("t3_prior_close"), (k % 5 > 0).alias("t3_pass"),
+        F.expr("(CAST(round(o_totalprice * 100) AS BIGINT) * (60 + o_orderkey % 90)) div 100").cast("decimal(20,0)").alias("hard_cap_value"), (p * 105).cast("decimal(20,0)").alias("entry_high"),
+        *[(p * 120).cast("decimal(20,0)").alias(f"t{n}_limit") for n in (2, 3)],
     )
     return capacity.tranche_quantities(rows, ("0.3334", "0.3333", "0.3333")).select("o_orderkey", "q1", "q2", "q3", "earmark", "cancelled_after")
 

@@ -374,8 +374,7 @@ def sentinel_audit(chosen: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def period_panel(facts: DataFrame, run_date: str | Column) -> DataFrame:
-    """Per (isin, basis, fact, period) the highest version usable at the cutoff: a restatement replaces its own
-    period only and never becomes the latest row."""
+    """One value per (isin, basis, fact, period_end): that of the largest version among the rows usable at the run date."""
     keys = ("isin", "basis", "fact", "period_end")
     return usable(facts, run_date).groupBy(*keys).agg(F.max_by("value", "version").alias("value"))
 
@@ -471,9 +470,10 @@ def in_force(rows: DataFrame, windows: DataFrame, key: str, day: str) -> DataFra
 
 
 def master_state(masters: DataFrame, session_date: str) -> DataFrame:
-    """Master state of each instrument for a session.
+    """One row per instrument: its master row in force at the session and whether that is resolved.
 
-    A newer row whose effective session is unknown blocks the older one; a known future row does not.
+    Of the rows usable at the session's cutoff, the last one by file date and version decides: with an effective session of its own, the
+    last row effective by the day is in force; without one, or if no row is effective yet, the state is unresolved.
     """
     day = as_day(session_date)
     seen = masters.filter((F.col("master_file_date") <= day) & (F.col("usable_from") <= exchange_cutoff(day)))

@@ -54,7 +54,7 @@ def session_spine(bars: DataFrame, sessions: DataFrame, key: str = "security_id"
 
 
 def weekly_sessions(calendar: DataFrame, weekday: str) -> DataFrame:
-    """The last executable session of each ISO week on or before the weekday; weeks without one are skipped."""
+    """One row per Monday-based week: its latest executable session up to ``weekday``. A week that has none gets no row."""
     index = WEEKDAYS.index(weekday)
     eligible = calendar.filter(executable(F.col("session_type")) & (F.weekday("trade_date") <= index))
     return eligible.groupBy(F.date_trunc("week", "trade_date").cast("date").alias("week")).agg(

@@ -33,13 +33,17 @@ def tranche_quantities(rows: DataFrame, weights: tuple[str, str, str]) -> DataFr
     """Three tranches as a fixed column chain.
 
     Columns: target_value, entry_ref, then for k = 2 and 3 ``t{k}_revised``, ``t{k}_prior_close`` and ``t{k}_pass``
-    (whether any attempt passed; NULL for a tranche not reached). A failed tranche cancels the rest.
+    (whether any attempt passed; NULL for a tranche not reached). A failed tranche cancels the rest. Where the rows have
+    hard_cap_value, entry_high and the limits ``t{k}_limit``, no target is more than the cap allows at its limit.
     """
+    capped = "hard_cap_value" in rows.columns
+
     w1, w2, _ = (f"CAST({w} AS decimal(10,4))" for w in weights)
-    out = rows.withColumn("target_qty", whole("target_value", "entry_ref"))
+    out = rows.withColumn("target_qty", bounded_quantity("target_value", "entry_ref", "hard_cap_value", "entry_high") if capped else whole("target_value", "entry_ref"))
     out = out.withColumn("q1", F.expr(f"CAST(floor({w1} * target_qty) AS BIGINT)"))
     for k in (2, 3):
-        out = out.withColumn(f"rtq{k}", whole(f"t{k}_revised", f"t{k}_prior_close"))
+        revised = (f"t{k}_revised", f"t{k}_prior_close")
+        out = out.withColumn(f"rtq{k}", bounded_quantity(*revised, "hard_cap_value", f"t{k}_limit") if capped else whole(*revised))
     live2 = F.coalesce(F.col("t2_pass"), F.lit(False))
     share2 = F.expr(f"CAST(floor({w2} * rtq2) AS BIGINT)")
     out = out.withColumn("q2", F.when(live2, F.greatest(F.lit(0), F.least(share2, F.col("rtq2") - F.col("q1")))).otherwise(F.lit(0)))

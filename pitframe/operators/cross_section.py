@@ -150,7 +150,7 @@ def leave_one_out_median(rows: DataFrame, keys: list[str], value: str) -> DataFr
 
 
 def security_target(claims: DataFrame, key: str = "isin") -> DataFrame:
-    """The largest live claim, never the sum: two strategies that agree do not double the exposure."""
+    """Per security the maximum over claims that are live (a null state counts as live); 0 where none is."""
     live = F.when(F.coalesce(F.col("state"), F.lit("live")) == "live", F.col("target_value"))
     return claims.groupBy(key).agg(F.coalesce(F.max(live), F.lit(0.0)).alias("target_value"))
 

@@ -11,6 +11,7 @@ from pitframe.operators.cross_section import first_n, quantile
 TOP_N, EXIT_BUFFER, ENTRY_SESSIONS, EXIT_SESSIONS = 500, 50, 5, 5
 # Coverage bands and staleness limits in days by cadence.
 COVERAGE_BANDS = ((98, "normal"), (95, "degraded"))
+STALE_AFTER_SESSIONS = 5  # of daily values
 STALE_AFTER_DAYS = {"quarterly": 165, "half_yearly": 270, "annual": 450}
 
 
@@ -50,22 +51,29 @@ def trailing_twelve_months(quarters: DataFrame, value: str, key: str = "company"
     return quarters.withColumn(f"{value}_ttm", F.when(whole, F.sum(value).over(frame)))
 
 
-def staleness(age_days: Column, cadence: Column) -> Column:
+def staleness(age_days: Column, cadence: Column, age_sessions: Column | None = None) -> Column:
+    """fresh or stale by cadence: daily values by the sessions since the last row (``age_sessions``), others by days since the
+    period's end. NULL for a cadence that has no limit (events) and for an unknown age."""
     limit = F.lit(None).cast("int")
     for name, days in STALE_AFTER_DAYS.items():
         limit = F.when(cadence == name, F.lit(days)).otherwise(limit)
-    return F.when(limit.isNull() | age_days.isNull(), F.lit(None)).when(age_days > limit, F.lit("stale")).otherwise(F.lit("fresh"))
+    by_days = F.when(limit.isNull() | age_days.isNull(), F.lit(None)).when(age_days > limit, F.lit("stale")).otherwise(F.lit("fresh"))
+    if age_sessions is None:
+        return by_days
+    by_sessions = F.when(age_sessions > STALE_AFTER_SESSIONS, F.lit("stale")).when(age_sessions.isNotNull(), F.lit("fresh"))
+    return F.when(cadence == "daily", by_sessions).otherwise(by_days)
 
 
-def reconcile(primary: DataFrame, validation: DataFrame, keys: list[str], value: str, tolerance: float) -> DataFrame:
-    """agree, conflict, primary_only or validation_only per key, with a relative tolerance on the primary value."""
+def reconcile(primary: DataFrame, validation: DataFrame, keys: list[str], value: str, tolerance: float, floor: float = 0.0) -> DataFrame:
+    """agree, conflict, primary_only or validation_only per key. Values agree within ``tolerance`` of the primary one or within
+    ``floor``, whichever is more."""
     p = primary.select(*keys, F.col(value).alias("primary_value"))
     v = validation.select(*keys, F.col(value).alias("validation_value"))
     a, b = F.col("primary_value"), F.col("validation_value")
     outcome = (
         F.when(b.isNull(), F.lit("primary_only"))
         .when(a.isNull(), F.lit("validation_only"))
-        .when(F.abs(a - b) <= F.abs(a) * tolerance, F.lit("agree"))
+        .when(F.abs(a - b) <= F.greatest(F.abs(a) * tolerance, F.lit(floor)), F.lit("agree"))
         .otherwise(F.lit("conflict"))
     )
     return p.join(v, keys, "full").withColumn("outcome", outcome)

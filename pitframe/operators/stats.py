@@ -89,7 +89,7 @@ def normal_quantile(p: Column) -> Column:
 
 
 def promotion_hurdle(n_trials: Column, alpha: float = 0.05) -> Column:
-    """Two-sided Bonferroni hurdle for the number of logged trials."""
+    """The |t| that one of ``n_trials`` tests must reach for all of them together to have the level ``alpha``."""
     return normal_quantile(F.lit(1.0) - F.lit(alpha) / (2 * F.greatest(n_trials, F.lit(1))))
 
 
@@ -128,7 +128,8 @@ def turnover(traded: Column, average_value: Column, years: Column) -> Column:
 
 def sensitivity(grid: DataFrame, key: str, center: str = "center", neighbour: str = "neighbour", floor_ratio: float = 0.5,
                 spike_ratio: float = 1.5) -> DataFrame:
-    """A broad stable region: same sign everywhere, no cliff, and the chosen point is not an isolated spike.
+    """Judges a chosen point by its grid neighbours: all have its sign, the one nearest to zero reaches ``floor_ratio`` of its size, and
+    its size is at most ``spike_ratio`` times that of their mean.
 
     ``grid``: one row per neighbour (NULL for a point without any) carrying its center value.
     """

@@ -23,9 +23,9 @@ def test_impact(spark, value, adv, want):
 
 
 @pytest.mark.parametrize("side, value, day, want", [
-    ("buy", 100000, "2026-09-21", dict(brokerage=20.0, stt=100.0, stamp_duty=15.0, exchange_fee=2.97, turnover_fee=0.1, gst=4.15, dp_charge=0.0, total=142.22)),
-    ("sell", 110000, "2026-09-21", dict(brokerage=20.0, stt=110.0, stamp_duty=0.0, exchange_fee=3.27, turnover_fee=0.11, gst=4.21, dp_charge=15.93, total=153.52)),
-    ("buy", 100000, "2012-01-02", dict(brokerage=20.0, stt=125.0, stamp_duty=15.0, exchange_fee=3.22, turnover_fee=0.1, gst=2.4, dp_charge=0.0, total=165.72)),
+    ("buy", 100000, "2026-09-21", dict(brokerage=20.0, stt=100.0, stamp_duty=15.0, exchange_txn_nse=2.97, sebi_turnover_fee=0.1, gst=4.15, dp_charge=0.0, total=142.22)),
+    ("sell", 110000, "2026-09-21", dict(brokerage=20.0, stt=110.0, stamp_duty=0.0, exchange_txn_nse=3.27, sebi_turnover_fee=0.11, gst=4.21, dp_charge=15.93, total=153.52)),
+    ("buy", 100000, "2012-01-02", dict(brokerage=20.0, stt=125.0, stamp_duty=15.0, exchange_txn_nse=3.22, sebi_turnover_fee=0.1, gst=2.4, dp_charge=0.0, total=165.72)),
 ])
 def test_trade_costs(spark, side, value, day, want):
     t = row(spark, "side string, value double, d string", side, float(value), day).withColumn("trade_date", F.col("d").cast("date"))
