@@ -71,7 +71,7 @@ def rate_in_force(spark, sf_dir):
 
 
 def disposals(spark, sf_dir):
-    """Lines sold after their order, with per-share prices in four decimals."""
+    """Every line, sold on its order's date at the earliest, with per-share prices in four decimals."""
     li = adapters.table(spark, sf_dir, "lineitem")
     o = orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate")
     sell = F.add_months(F.date_add(F.to_date("l_shipdate"), c("l_linenumber") * 200), 240)
@@ -82,9 +82,8 @@ def disposals(spark, sf_dir):
         return F.expr(f"CAST(CAST({{p}} AS DECIMAL(20,0)) * {pct} / 1000000 AS DECIMAL(20,4))".format(p="price_ticks"))
 
     rows = li.join(o, c("l_orderkey") == c("o_orderkey")).select(
-        c("o_custkey").alias("account"), later("o_orderdate").alias("buy_date"), sell.alias("sell_date"), qty.alias("qty"), price.alias("price_ticks"), "l_linenumber"
+        c("o_custkey").alias("account"), later("o_orderdate").alias("buy_date"), F.greatest(sell, later("o_orderdate")).alias("sell_date"), qty.alias("qty"), price.alias("price_ticks"), "l_linenumber"
     )
-    rows = rows.filter("sell_date >= buy_date")
     return rows.select(
         "account", "buy_date", "sell_date", "qty", per_share("(70 + l_linenumber * 10)").alias("cost_per_share"), per_share(100).alias("sale_per_share"),
         F.when(c("l_linenumber") % 3 == 0, per_share(105)).alias("fmv_2018"),
@@ -93,8 +92,8 @@ def disposals(spark, sf_dir):
 
 view("disposals", """SELECT account, buy_date, sell_date, qty, ((ticks * (70 + ln * 10) + 50) // 100)::DECIMAL(20,0) * 0.0001::DECIMAL(5,4) AS cost, ((ticks * 100 + 50) // 100)::DECIMAL(20,0) * 0.0001::DECIMAL(5,4) AS sale,
  CASE WHEN ln % 3 = 0 THEN ((ticks * 105 + 50) // 100)::DECIMAL(20,0) * 0.0001::DECIMAL(5,4) END AS fmv FROM (
- SELECT o_custkey AS account, CAST(o_orderdate + INTERVAL 20 YEAR AS DATE) AS buy_date, CAST(l_shipdate + to_days(l_linenumber * 200) + INTERVAL 20 YEAR AS DATE) AS sell_date, qty, cents * 100 // qty AS ticks, l_linenumber AS ln
- FROM lines JOIN orders ON l_orderkey = o_orderkey) WHERE sell_date >= buy_date""", ("lines",))
+ SELECT o_custkey AS account, CAST(o_orderdate + INTERVAL 20 YEAR AS DATE) AS buy_date, greatest(CAST(l_shipdate + to_days(l_linenumber * 200) + INTERVAL 20 YEAR AS DATE), CAST(o_orderdate + INTERVAL 20 YEAR AS DATE)) AS sell_date, qty, cents * 100 // qty AS ticks, l_linenumber AS ln
+ FROM lines JOIN orders ON l_orderkey = o_orderkey)""", ("lines",))
 REGIME = "CASE WHEN sell_date <= DATE '2018-03-31' THEN 2 WHEN sell_date <= DATE '2024-07-22' THEN 3 ELSE 4 END"
 view("gains", f"""SELECT *, year(sell_date) - CASE WHEN month(sell_date) < 4 THEN 1 ELSE 0 END AS fy, (sale - CASE WHEN buy_date < DATE '2018-02-01' AND fmv IS NOT NULL THEN greatest(cost, least(fmv, sale)) ELSE cost END) * qty AS gain,
  sell_date > buy_date + INTERVAL 1 YEAR AS long_term, {REGIME} AS regime FROM disposals""", ("disposals",))

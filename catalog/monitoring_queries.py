@@ -30,20 +30,20 @@ def hysteresis(spark, sf_dir):
 
 def cumulative(spark, sf_dir):
     q = adapters.quarters(spark, sf_dir).select("company", F.floor(c("quarter_no") / 4).alias("year"), (c("quarter_no") % 4 + 1).alias("quarter_in_year"), "lines", "revenue")
-    return q.filter(c("lines") % 9 != 0).drop("lines")
+    return q.withColumn("revenue", F.when(c("lines") % 9 != 0, c("revenue"))).drop("lines")  # some quarters without a figure
 
 
 @query("D02", """SELECT company, year, quarter_in_year, round(CASE WHEN quarter_in_year = 1 THEN revenue WHEN p = quarter_in_year - 1 THEN revenue - r END, 4) AS revenue_quarter FROM (
-SELECT *, lag(quarter_in_year) OVER w AS p, lag(revenue) OVER w AS r FROM (SELECT company, CAST(quarter_no // 4 AS BIGINT) AS year, quarter_no % 4 + 1 AS quarter_in_year, revenue FROM quarters WHERE lines % 9 <> 0) WINDOW w AS (PARTITION BY company, year ORDER BY quarter_in_year))""", ("quarters",))
+SELECT *, lag(quarter_in_year) OVER w AS p, lag(revenue) OVER w AS r FROM (SELECT company, CAST(quarter_no // 4 AS BIGINT) AS year, quarter_no % 4 + 1 AS quarter_in_year, CASE WHEN lines % 9 <> 0 THEN revenue END AS revenue FROM quarters) WINDOW w AS (PARTITION BY company, year ORDER BY quarter_in_year))""", ("quarters",))
 def discrete(spark, sf_dir):
     d = mo.discrete_quarters(cumulative(spark, sf_dir), "revenue", ["company", "year"])
     return d.select("company", "year", "quarter_in_year", F.round("revenue_quarter", 4).alias("revenue_quarter"))
 
 
 @query("D03", """SELECT company, quarter_no, CASE WHEN n = 4 AND hi - lo = 3 THEN round(s, 4) END AS cfo_ttm FROM (SELECT company, quarter_no, count(cfo) OVER w AS n, max(quarter_no) OVER w AS hi, min(quarter_no) OVER w AS lo, sum(cfo) OVER w AS s
-FROM quarters WHERE lines % 9 <> 0 WINDOW w AS (PARTITION BY company ORDER BY quarter_no ROWS BETWEEN 3 PRECEDING AND CURRENT ROW))""", ("quarters",))
+FROM (SELECT company, quarter_no, CASE WHEN lines % 9 <> 0 THEN cfo END AS cfo FROM quarters) WINDOW w AS (PARTITION BY company ORDER BY quarter_no ROWS BETWEEN 3 PRECEDING AND CURRENT ROW))""", ("quarters",))
 def ttm(spark, sf_dir):
-    q = adapters.quarters(spark, sf_dir).filter(c("lines") % 9 != 0)
+    q = adapters.quarters(spark, sf_dir).withColumn("cfo", F.when(c("lines") % 9 != 0, c("cfo")))
     return mo.trailing_twelve_months(q, "cfo").select("company", "quarter_no", F.round("cfo_ttm", 4).alias("cfo_ttm"))
 
 

@@ -260,9 +260,9 @@ def delivery_checks(spark, sf_dir):
 
 @query("J02", """SELECT isin, series, trade_date, unnest(kinds) AS kind FROM (SELECT isin, series, trade_date, CASE WHEN NOT x.available THEN ['delivery_availability_mismatch'] ELSE
  list_filter([CASE WHEN p.delivery_qty <> x.delivery_qty THEN 'delivery_source_mismatch' END, CASE WHEN p.traded_qty_reported <> x.traded_qty_reported THEN 'delivery_traded_qty_mismatch' END], lambda k: k IS NOT NULL) END AS kinds
-FROM (SELECT * FROM latest_deliveries WHERE version_no % 2 = 0) p JOIN (SELECT isin, series, trade_date, close_cents % 5003 AS delivery_qty, volume AS traded_qty_reported, version_no % 6 <> 0 AS available FROM active_events) x USING (isin, series, trade_date))""", ("latest_deliveries", "active_events"))
+FROM latest_deliveries p JOIN (SELECT isin, series, trade_date, close_cents % 5003 AS delivery_qty, volume AS traded_qty_reported, version_no % 6 <> 0 AS available FROM active_events) x USING (isin, series, trade_date))""", ("latest_deliveries", "active_events"))
 def source_conflicts(spark, sf_dir):
-    primary = bt.latest_events(adapters.deliveries(spark, sf_dir)).filter(F.col("version_no") % 2 == 0)
+    primary = bt.latest_events(adapters.deliveries(spark, sf_dir))
     cross = bt.active(bt.latest_events(adapters.events(spark, sf_dir))).select(
         *bt.KEY, (F.col("close_cents") % 5003).alias("delivery_qty"), F.col("volume").alias("traded_qty_reported"), (F.col("version_no") % 6 != 0).alias("delivery_available")
     )
