@@ -127,9 +127,31 @@ def tax_view(spark, sf_dir):
     return t.select("account", "fy", *[c(x).cast("double").alias(x) for x in t.columns[2:]])
 
 
-@query("X06")
+def multi_year_sql() -> str:
+    """A fold over an account's years: t and u hold the short- and long-term losses by age, used up from the oldest on."""
+    life = money.CARRY_FORWARD_YEARS
+    step = """SELECT y.account, y.n, y.fy, y.sr, y.lr, list_concat(list_transform(range(y.fy - r.fy - 1), lambda x: 0::DOUBLE), r.t) AS t, list_concat(list_transform(range(y.fy - r.fy - 1), lambda x: 0::DOUBLE), r.u) AS u,
+ y.st + own AS st, y.lt - own AS lt FROM r JOIN (SELECT *, CASE WHEN st < 0 AND lt > 0 THEN least(-st, lt) ELSE 0 END AS own FROM years) y ON y.account = r.account AND y.n = r.n + 1"""
+    for age in range(life, 0, -1):
+        step = f"SELECT *, least(greatest(st, 0), t[{age}]) AS a{age} FROM ({step})"
+        step = f"SELECT *, least(greatest(lt, 0), t[{age}] - a{age}) AS b{age} FROM ({step})"
+        step = f"SELECT *, least(greatest(lt - b{age}, 0), u[{age}]) AS c{age} FROM ({step})"
+        step = f"SELECT * REPLACE (st - a{age} AS st, lt - b{age} - c{age} AS lt) FROM ({step})"
+    left_t = ", ".join(f"t[{k}] - a{k} - b{k}" for k in range(1, life + 1))
+    left_u = ", ".join(f"u[{k}] - c{k}" for k in range(1, life + 1))
+    none = "[" + ", ".join(["0::DOUBLE"] * (life + 1)) + "]"
+    return f"""WITH RECURSIVE rated AS (SELECT account, fy, st::DOUBLE AS st, lt::DOUBLE AS lt, CASE regime WHEN 4 THEN 0.2 ELSE 0.15 END::DOUBLE AS sr, CASE regime WHEN 2 THEN 0 WHEN 3 THEN 0.1 ELSE 0.125 END::DOUBLE AS lr FROM buckets),
+years AS (SELECT *, row_number() OVER (PARTITION BY account ORDER BY fy) AS n FROM (SELECT account, fy, sum(st) AS st, sum(lt) AS lt, coalesce(sum(greatest(st, 0) * sr) / nullif(sum(greatest(st, 0)), 0), 0) AS sr,
+ coalesce(sum(greatest(lt, 0) * lr) / nullif(sum(greatest(lt, 0)), 0), 0) AS lr FROM rated GROUP BY 1, 2)),
+r(account, n, fy, t, u, st, lt, sr, lr) AS (SELECT account, 0::BIGINT, min(fy) - 1, {none}, {none}, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE FROM years GROUP BY account
+ UNION ALL SELECT account, n, fy, [greatest(-st, 0), {left_t}], [greatest(-lt, 0), {left_u}], greatest(st, 0), greatest(lt, 0), sr, lr FROM ({step}))
+SELECT account, CAST(fy AS INTEGER) AS fy, round((st)::DECIMAL(30,6), 2)::DOUBLE AS stcg, round((lt)::DECIMAL(30,6), 2)::DOUBLE AS ltcg, round((0 - list_sum(t))::DECIMAL(30,6), 2)::DOUBLE AS carried_st_loss, round((0 - list_sum(u))::DECIMAL(30,6), 2)::DOUBLE AS carried_lt_loss,
+ round((st * sr + greatest(lt - ex, 0) * lr)::DECIMAL(30,6), 2)::DOUBLE AS tax_before_cess, round(((st * sr + greatest(lt - ex, 0) * lr) * 1.04)::DECIMAL(30,6), 2)::DOUBLE AS tax_with_cess
+FROM (SELECT *, CASE WHEN fy + 1 <= 2018 THEN 0 WHEN fy + 1 <= 2024 THEN 100000 ELSE 125000 END AS ex FROM r WHERE n > 0)"""
+
+
+@query("X06", multi_year_sql(), ("buckets",))
 def tax_multi_year(spark, sf_dir):
-    """No SQL: losses carry from year to year by vintage. Tests compare with fixed cases."""
     return money.tax_multi_year(disposals(spark, sf_dir))
 
 

@@ -88,7 +88,14 @@ def test_tax_multi_year(spark):
         last = max((r for r in out if r["account"] == case), key=lambda r: r["fy"])
         assert tuple(last)[1:] == pytest.approx(want, abs=0.005), case
     first = next(r for r in out if r["account"] == "a" and r["fy"] == 2025)
-    assert first["carried_st_loss"] == 50000.0
+    assert first["carried_st_loss"] == -50000.0
+    opening = spark.createDataFrame([("a", 2017, "st", -7000.0), ("a", 2016, "lt", -9.0), ("other", 2020, "lt", -1.0)], "account string, fy int, kind string, amount double")
+    again = {(r["account"], r["fy"]): r for r in money.tax_multi_year(disposals(spark, *lots), carry_in=opening).collect()}
+    assert len(again) == len(out)
+    # in fiscal year 2025 the loss of 2017 is in its eighth year and that of 2016 has lapsed
+    assert again["a", 2025]["carried_st_loss"] == -57000.0 and again["a", 2025]["carried_lt_loss"] == first["carried_lt_loss"]
+    later = min((r for r in again.values() if r["account"] == "a" and r["fy"] > 2025), key=lambda r: r["fy"], default=None)
+    assert later is None or later["carried_st_loss"] >= -50000.0
 
 
 @pytest.mark.parametrize("buy, sell, want", [("2025-06-02", "2026-06-02", False), ("2025-06-02", "2026-06-03", True), ("2024-02-29", "2025-02-28", False), ("2024-02-29", "2025-03-01", True)])
