@@ -67,10 +67,10 @@ def breadth(spark, sf_dir):
     return cs.market_breadth(f.select("session_no", states.known_value(c("price_vs_dma50")).alias("value")), "session_no", "value")
 
 
-@query("A05", "SELECT eval_date, isin, peers, round(peer_median, 6) AS peer_median FROM (SELECT a.eval_date, a.isin, count(b.isin) AS peers, quantile_cont(b.roce_3y_avg, 0.5) AS peer_median FROM population a LEFT JOIN population b ON a.eval_date = b.eval_date AND a.sector = b.sector AND a.isin <> b.isin AND b.roce_3y_avg IS NOT NULL GROUP BY 1, 2)", ("population",))
+@query("A05", "SELECT eval_date, isin, peers, round(peer_median, 6) AS peer_median FROM (SELECT a.eval_date, a.isin, count(b.isin) AS peers, quantile_cont(b.roce_3y_avg, 0.5) AS peer_median FROM population a LEFT JOIN population b ON a.eval_date = b.eval_date AND a.sector = b.sector AND a.isin <> b.isin AND b.market_eligible AND b.roce_3y_avg IS NOT NULL GROUP BY 1, 2)", ("population",))
 def leave_one_out(spark, sf_dir):
-    p = adapters.population(spark, sf_dir, ["roce_3y_avg"]).select("eval_date", "isin", "sector", c("roce_3y_avg.value").alias("value"))
-    m = cs.leave_one_out_median(p, ["eval_date", "sector"], "value")
+    p = adapters.population(spark, sf_dir, ["roce_3y_avg"]).select("eval_date", "isin", "sector", "market_eligible", c("roce_3y_avg.value").alias("value"))
+    m = cs.leave_one_out_median(p, ["eval_date", "sector"], "value", "market_eligible")
     return m.select("eval_date", "isin", "peers", F.round("peer_median", 6).alias("peer_median"))
 
 

@@ -196,17 +196,17 @@ def yield_spread(spark, sf_dir):
 
 
 def multiples(spark, sf_dir):
-    """EV over EBITDA of every company and year, with the company's sector."""
+    """EV over EBITDA of every company and year, with the company's sector; a seventh of the rows is not market-eligible."""
     y = adapters.fiscal_years(spark, sf_dir)
     own = fu.ev_ebitda(c("total_assets") * 2, c("borrowings"), c("lease_liabilities"), c("cash_equivalents"), c("ebitda"))
     sectors = adapters.company_sectors(spark, sf_dir)
-    return y.select("company", "fy_no", (c("fy_no") % 6 == 0).alias("blackout"), own.alias("own")).join(sectors, "company")
+    return y.select("company", "fy_no", (c("fy_no") % 6 == 0).alias("blackout"), (c("lines") % 7 > 0).alias("eligible"), own.alias("own")).join(sectors, "company")
 
 
-view("multiples", """SELECT company, fy_no, fy_no % 6 = 0 AS blackout, CASE WHEN ebitda > 0 THEN (total_assets * 2 + borrowings + lease_liabilities - cash_equivalents) / ebitda END AS own, sector
+view("multiples", """SELECT company, fy_no, fy_no % 6 = 0 AS blackout, lines % 7 > 0 AS eligible, CASE WHEN ebitda > 0 THEN (total_assets * 2 + borrowings + lease_liabilities - cash_equivalents) / ebitda END AS own, sector
 FROM fiscal_years JOIN company_sectors USING (company)""", ("fiscal_years", "company_sectors"))
 view("peer_medians", """SELECT a.company, a.fy_no, a.sector, a.own, a.blackout, count(b.own) AS peers, quantile_cont(b.own, 0.5) AS peer_median
-FROM multiples a LEFT JOIN multiples b ON a.sector = b.sector AND a.fy_no = b.fy_no AND a.company <> b.company GROUP BY ALL""", ("multiples",))
+FROM multiples a LEFT JOIN multiples b ON a.sector = b.sector AND a.fy_no = b.fy_no AND a.company <> b.company AND b.eligible GROUP BY ALL""", ("multiples",))
 
 
 @query("F18", "SELECT company, fy_no, round(own, 6) AS ev_ebitda FROM multiples", ("multiples",))
@@ -216,13 +216,13 @@ def ev_ebitda(spark, sf_dir):
 
 @query("F19", "SELECT company, fy_no, " + case("round(own / peer_median, 6)", ("blackout OR own IS NULL", "drop"), ("peers < 8", "drop"), ("NOT coalesce(peer_median > 0, false)", "drop")) + " FROM peer_medians", ("peer_medians",))
 def ev_ebitda_vs_sector(spark, sf_dir):
-    m = cs.leave_one_out_median(multiples(spark, sf_dir), ["fy_no", "sector"], "own")
+    m = cs.leave_one_out_median(multiples(spark, sf_dir), ["fy_no", "sector"], "own", "eligible")
     r = fu.relative_to_peers(c("own"), c("peer_median"), c("peers"), c("blackout"))
     return m.withColumn("r", r).select("company", "fy_no", *states.flat(c("r")))
 
 
 query("J12", "SELECT company, fy_no, peers, round(peer_median, 6) AS peer_median FROM peer_medians", ("peer_medians",))(
-    lambda spark, sf_dir: cs.leave_one_out_median(multiples(spark, sf_dir), ["fy_no", "sector"], "own").select("company", "fy_no", "peers", F.round("peer_median", 6).alias("peer_median"))
+    lambda spark, sf_dir: cs.leave_one_out_median(multiples(spark, sf_dir), ["fy_no", "sector"], "own", "eligible").select("company", "fy_no", "peers", F.round("peer_median", 6).alias("peer_median"))
 )
 
 
@@ -296,15 +296,44 @@ def promoter_reducing(spark, sf_dir):
     return q.select("company", "quarter_no", fu.promoter_reducing("holding", by).alias("promoter_reducing"))
 
 
-@query("F30", """SELECT company, fy_no, CAST(hits AS INTEGER) AS flag_count, CASE WHEN app = 0 THEN 1::DOUBLE ELSE round(ev::DOUBLE / app::DOUBLE, 6) END AS coverage FROM (SELECT company, fy_no,
- 4 + CASE WHEN inventory_applies THEN 1 ELSE 0 END + CASE WHEN related_applies THEN 1 ELSE 0 END AS app,
- (accrual_high IS NOT NULL)::INT + (receivables_diverging IS NOT NULL)::INT + (exceptional_habitual IS NOT NULL)::INT + (dilution_persistent IS NOT NULL)::INT + (inventory_diverging IS NOT NULL)::INT + (related_party_large IS NOT NULL)::INT AS ev,
- coalesce(accrual_high, false)::INT + coalesce(receivables_diverging, false)::INT + coalesce(exceptional_habitual, false)::INT + coalesce(dilution_persistent, false)::INT + coalesce(inventory_diverging, false)::INT + coalesce(related_party_large, false)::INT AS hits FROM fy_flags)""", ("fy_flags",))
+def churn_at_year_end(spark, sf_dir):
+    """Auditor changes in the five years before each company's year end. A quarter of a customer's orders are changes; the filings of
+    years before 1994 are not covered."""
+    o = adapters.table(spark, sf_dir, "orders")
+    kind = F.when(c("o_orderkey") % 8 == 0, F.lit("resignation")).when(c("o_orderkey") % 8 == 1, F.lit("other")).otherwise(F.lit("rotation"))
+    events = o.select(c("o_custkey").alias("company"), F.to_date("o_orderdate").alias("effective_date"), kind.alias("kind"))
+    ends = adapters.fiscal_years(spark, sf_dir).select("company", "fy_no", F.make_date("fy_no", F.lit(12), F.lit(31)).alias("cutoff_date"))
+    counts = fu.event_counts_in_window(ends.select("company", "cutoff_date"), events, KINDS)
+    churn = fu.auditor_churn(c("changes"), c("cutoff_date") >= F.lit("1994-01-01").cast("date"))
+    return counts.select("company", F.year("cutoff_date").alias("fy_no"), churn.alias("auditor_churn"))
+
+
+def reducing_at_year_end(spark, sf_dir):
+    """The promoter flag of the last quarter of each year."""
+    by_year = (F.floor(c("quarter_no") / 4)).cast("int").alias("fy_no")
+    return promoter_reducing(spark, sf_dir).groupBy("company", by_year).agg(F.max_by("promoter_reducing", "quarter_no").alias("promoter_reducing"))
+
+
+view("fy_all_flags", """SELECT f.*, CASE WHEN f.fy_no >= 1994 THEN coalesce(e.changes, 0) >= 2 END AS auditor_churn, p.promoter_reducing FROM fy_flags f
+LEFT JOIN (SELECT y.company, y.fy_no, count(*) AS changes FROM fiscal_years y JOIN orders o ON o.o_custkey = y.company AND o.o_orderkey % 8 < 2
+ AND CAST(o.o_orderdate AS DATE) <= make_date(y.fy_no, 12, 31) AND CAST(o.o_orderdate AS DATE) > make_date(y.fy_no - 5, 12, 31) GROUP BY 1, 2) e ON e.company = f.company AND e.fy_no = f.fy_no
+LEFT JOIN (SELECT company, quarter_no // 4 AS fy_no, last(CASE WHEN h3 IS NOT NULL THEN round(h3 - h, 9) > 0.05 END ORDER BY quarter_no) AS promoter_reducing FROM (
+ SELECT *, lag(h, 3) OVER (PARTITION BY company ORDER BY quarter_no) AS h3 FROM (SELECT company, period AS quarter_no, n::DOUBLE / rev::DOUBLE AS h FROM quarter_totals)) GROUP BY 1, 2) p
+ ON p.company = f.company AND p.fy_no = f.fy_no""", ("fy_flags", "fiscal_years", "quarter_totals"))
+ALWAYS = ("accrual_high", "receivables_diverging", "exceptional_habitual", "dilution_persistent", "auditor_churn", "promoter_reducing")
+SOMETIMES = {"inventory_diverging": "inventory_applies", "related_party_large": "related_applies"}
+
+
+@query("F30", f"""SELECT company, fy_no, CAST(hits AS INTEGER) AS flag_count, CASE WHEN app = 0 THEN 1::DOUBLE ELSE round(ev::DOUBLE / app::DOUBLE, 6) END AS coverage FROM (SELECT company, fy_no,
+ {len(ALWAYS)} + {" + ".join(f"coalesce({a}, false)::INT" for a in SOMETIMES.values())} AS app,
+ {" + ".join(f"({f} IS NOT NULL)::INT" for f in (*ALWAYS, *SOMETIMES))} AS ev,
+ {" + ".join(f"coalesce({f}, false)::INT" for f in (*ALWAYS, *SOMETIMES))} AS hits FROM fy_all_flags)""", ("fy_all_flags",))
 def flag_count(spark, sf_dir):
+    """All eight flags of a company at its year end."""
     y = annual(spark, sf_dir, *ANNUAL).withColumn("exceptional_habitual", fu.exceptional_habitual(c("exceptional_years")))
-    always = [(F.lit(True), c(n)) for n in ("accrual_high", "receivables_diverging", "exceptional_habitual", "dilution_persistent")]
-    sometimes = [(c("inventory_applies"), c("inventory_diverging")), (c("related_applies"), c("related_party_large"))]
-    count, share = fu.flag_count_and_coverage(always + sometimes)
+    y = y.join(churn_at_year_end(spark, sf_dir), ["company", "fy_no"], "left").join(reducing_at_year_end(spark, sf_dir), ["company", "fy_no"], "left")
+    flags = [(F.lit(True), c(n)) for n in ALWAYS] + [(c(a), c(f)) for f, a in SOMETIMES.items()]
+    count, share = fu.flag_count_and_coverage(flags)
     return y.select("company", "fy_no", count["value"].alias("flag_count"), share["value"].alias("coverage"))
 
 

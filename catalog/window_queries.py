@@ -212,23 +212,35 @@ def persist(spark, sf_dir):
     return s.select("security_id", "session_no", windows.persist(F.col("below"), 3).alias("below_3_sessions"))
 
 
-@query("W15", """SELECT security_id, session_no, CASE WHEN c >= 60 THEN round(m, 6) END AS value,
-CASE WHEN c >= 60 THEN 'known' ELSE 'out_of_domain' END AS state, CASE WHEN c < 60 THEN 'drop' END AS outcome FROM (
+def daily_yields(spark, sf_dir):
+    """Units per unit of value of 16 securities on every day that anything shipped, with blackout days and rare actions."""
+    days = adapters.table(spark, sf_dir, "lineitem").groupBy((F.col("l_suppkey") % 16).alias("security_id"), F.col("l_shipdate").cast("date").alias("trade_date")).agg(
+        F.sum(F.col("l_quantity").cast("bigint")).alias("qty"), F.sum(adapters.cents("l_extendedprice")).alias("cents"))
+    calendar_days = days.select("trade_date").distinct().withColumn("session_type", F.lit("normal"))
+    spine = calendar.session_spine(days, calendar.executable_sessions(calendar_days))
+    return spine.select(
+        "security_id", "session_no", ((F.col("qty") * 100000).cast("double") / F.col("cents").cast("double")).alias("ey"),
+        (F.col("session_no") % 11 == 0).alias("blackout"), ((F.col("security_id") * 97 + F.col("session_no")) % 1709 == 0).alias("is_action"),
+    )
+
+
+view("daily_numbered", """SELECT *, dense_rank() OVER (ORDER BY trade_date) AS session_no FROM (
+SELECT l_suppkey % 16 AS security_id, CAST(l_shipdate AS DATE) AS trade_date, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty,
+ CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM lineitem GROUP BY 1, 2)""")
+view("daily_yields", """SELECT f.security_id, CAST(s.session_no AS INTEGER) AS session_no, (n.qty * 100000)::DOUBLE / n.cents::DOUBLE AS ey, (f.security_id * 97 + s.session_no) % 1709 = 0 AS act
+FROM (SELECT security_id, min(session_no) AS first_no FROM daily_numbered GROUP BY 1) f JOIN (SELECT DISTINCT session_no FROM daily_numbered) s ON s.session_no >= f.first_no
+LEFT JOIN daily_numbered n ON n.security_id = f.security_id AND n.session_no = s.session_no""", ("daily_numbered",))
+
+
+@query("W15", """SELECT security_id, session_no, CASE WHEN c >= 750 THEN round(m, 6) END AS value,
+CASE WHEN c >= 750 THEN 'known' ELSE 'out_of_domain' END AS state, CASE WHEN c < 750 THEN 'drop' END AS outcome FROM (
 SELECT *, quantile_cont(x, 0.5) OVER w AS m, count(x) OVER w AS c FROM (
-  SELECT *, CASE WHEN session_no % 11 <> 0 AND NOT act THEN delivery_qty::DOUBLE / volume::DOUBLE END AS x,
-         count(CASE WHEN act THEN 1 END) OVER (PARTITION BY security_id ORDER BY session_no) AS epoch_no FROM
-    (SELECT *, (security_id * 7 + session_no) % 211 = 0 AS act FROM spine))
-WINDOW w AS (PARTITION BY security_id, epoch_no ORDER BY session_no ROWS BETWEEN 99 PRECEDING AND CURRENT ROW))""", ("spine",))
+  SELECT *, CASE WHEN session_no % 11 <> 0 AND NOT act THEN ey END AS x,
+         count(CASE WHEN act THEN 1 END) OVER (PARTITION BY security_id ORDER BY session_no) AS epoch_no FROM daily_yields)
+WINDOW w AS (PARTITION BY security_id, epoch_no ORDER BY session_no ROWS BETWEEN 1249 PRECEDING AND CURRENT ROW))""", ("daily_yields",))
 def yield_median(spark, sf_dir):
-    """The window is shortened to 100 sessions of at least 60 values: the data has 350 weeks, not 1,250 days."""
-    daily = adapters.spine(spark, sf_dir).select(
-        "security_id", "session_no",
-        (F.col("delivery_qty").cast("double") / F.col("volume").cast("double")).alias("ey"),
-        (F.col("session_no") % 11 == 0).alias("blackout"),
-        ((F.col("security_id") * 7 + F.col("session_no")) % 211 == 0).alias("is_action"),
-    )
-    s = windows.with_action_epoch(daily).select("*", windows.yield_median("ey", 100, 60).alias("m"))
-    return s.select("security_id", "session_no", *states.flat(F.col("m")))
+    m = windows.yield_median(windows.with_action_epoch(daily_yields(spark, sf_dir)), "ey")
+    return m.select("security_id", "session_no", *states.flat(F.col("yield_median")))
 
 
 def stop_paths(spark, sf_dir):

@@ -23,12 +23,10 @@ def executable_sessions(calendar: DataFrame) -> DataFrame:
 
     One row per trading date, so the ungrouped windows stay at a few thousand rows whatever the data size.
     """
-    in_order = Window.orderBy("trade_date")
+    in_order, latest_first = Window.orderBy("trade_date"), Window.orderBy(F.desc("trade_date"))
     kept = calendar.filter(executable(F.col("session_type")))
     numbered = kept.withColumn("session_no", F.row_number().over(in_order))
-    return numbered.withColumn(
-        "last_session_no", F.max("session_no").over(in_order.rowsBetween(0, Window.unboundedFollowing))
-    )
+    return numbered.withColumn("last_session_no", F.first("session_no").over(latest_first))
 
 
 def session_spine(bars: DataFrame, sessions: DataFrame, key: str = "security_id") -> DataFrame:

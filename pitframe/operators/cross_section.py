@@ -1,8 +1,8 @@
 """Cross-sectional operators: exact quantiles, z-scores, leave-one-out medians, rank order.
 
-One date or sector may hold a third of the population, so no operator here gathers a group in one task. Order
-statistics are found on a grid: values are counted per distinct value, the grid cells get their offsets from a prefix
-sum over cells, and only the inside of a cell is sorted.
+One date or sector may hold a third of the population, so no operator here gathers a group in one task. Distinct values
+are counted, dealt over ranges of (key, value) and written; ranges get their offsets from a prefix sum over ranges, and
+only the inside of a range is sorted. The source below is read once: every later pass reads a written table.
 """
 
 from __future__ import annotations
@@ -11,52 +11,54 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitframe.functions.scalars import quantise, ratio
+from pitframe.sources.tables import materialise
 
-CELLS = 256
-LEVELS = 2
 MIN_CONTRIBUTORS = 30
 WINSOR = (0.01, 0.99)
 TIE_TOLERANCE = 1e-9
 
 
-def positions(rows: DataFrame, keys: list[str], value: str, levels: int = LEVELS, cells: int = CELLS) -> DataFrame:
-    """Distinct values per key with their place in the order.
+def _in_ranges(rows: DataFrame, keys: list[str], value: str, parts: int | None) -> DataFrame:
+    """``positions`` with the range (``part``) that holds each value.
 
-    Columns: keys, value, ``copies``, ``before`` (rows with a smaller value), ``total``, and ``below`` and ``above``
-    (the neighbouring distinct values). The grid has two levels: a cell that one level of a skewed distribution would overfill is split
-    again between its own minimum and maximum. Both bounds are exact, so the grid is the same on every evaluation.
+    The values are distinct, so the sampled bounds split any distribution and any hot key evenly. The range number is stored with the
+    rows: bounds are sampled anew on every evaluation, and summaries must speak of the same ranges as the rows.
     """
-    distinct = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("copies"))
-    path = list(keys)
-    for level in range(levels):
-        bounds = distinct.groupBy(*path).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-        place = F.floor((F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo")) * cells).cast("int")
-        cell = F.when(F.col("hi") > F.col("lo"), F.least(place, F.lit(cells - 1))).otherwise(F.lit(0))
-        distinct = distinct.join(bounds, path).withColumn(f"cell_{level}", cell).drop("lo", "hi")
-        path.append(f"cell_{level}")
-    grid = path[len(keys):]
+    counted = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("copies"))
+    ranged = counted.repartitionByRange(*([parts] if parts else []), *keys, value).withColumn("part", F.spark_partition_id())
+    distinct = materialise(ranged, "order")
+    path = [*keys, "part"]
     leaf = distinct.groupBy(*path).agg(F.sum("copies").alias("n"), F.max(value).alias("top"), F.min(value).alias("bottom"))
-    ordered = Window.partitionBy(*keys).orderBy(*grid)
+    ordered = Window.partitionBy(*keys).orderBy("part")
     offsets = leaf.select(
         *path,
         F.coalesce(F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"),
-        F.lag("top").over(ordered).alias("cell_below"),
-        F.lead("bottom").over(ordered).alias("cell_above"),
+        F.lag("top").over(ordered).alias("part_below"),
+        F.lead("bottom").over(ordered).alias("part_above"),
         F.sum("n").over(Window.partitionBy(*keys)).alias("total"),
     )
     inside = Window.partitionBy(*path).orderBy(value)
     prior = F.coalesce(F.sum("copies").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return distinct.join(offsets, path).select(
-        *keys,
+        *path,
         value,
         "copies",
         (F.col("offset") + prior).alias("before"),
         "total",
-        F.coalesce(F.lag(value).over(inside), F.col("cell_below")).alias("below"),
-        F.coalesce(F.lead(value).over(inside), F.col("cell_above")).alias("above"),
+        F.coalesce(F.lag(value).over(inside), F.col("part_below")).alias("below"),
+        F.coalesce(F.lead(value).over(inside), F.col("part_above")).alias("above"),
     )
 
 
+def positions(rows: DataFrame, keys: list[str], value: str, parts: int | None = None) -> DataFrame:
+    """Distinct values per key with their place in the order.
+
+    Columns: keys, value, ``copies``, ``before`` (rows with a smaller value), ``total``, and ``below`` and ``above``
+    (the neighbouring distinct values). ``parts`` is the number of ranges; Spark's shuffle partitions where it is not given.
+    """
+    return _in_ranges(rows, keys, value, parts).drop("part")
+
+
 def value_at(position: Column, value: str) -> Column:
     """Aggregate: the value holding a zero-based position."""
     holds = (F.col("before") <= position) & (position < F.col("before") + F.col("copies"))
@@ -88,6 +90,7 @@ def zscores(rows: DataFrame, keys: list[str], value: str, min_n: int = MIN_CONTR
     NULL below the minimum count, without deviation, and for NULL values. Several features are scored in one pass by
     putting the feature name among the keys. The join sides are one row per group.
     """
+    rows = materialise(rows, "scored")
     limits = quantiles(positions(rows, keys, value), keys, value, {"low": WINSOR[0], "high": WINSOR[1]})
     clipped = rows.join(limits, keys, "left").withColumn(
         "clipped", F.when(F.col(value).isNotNull(), F.least(F.greatest(F.col(value), F.col("low")), F.col("high")))
@@ -115,19 +118,22 @@ def market_breadth(rows: DataFrame, key: str, value: str) -> DataFrame:
     return rows.groupBy(key).agg(F.round(F.avg(up), 6).alias("breadth"), F.count(value).alias("known"))
 
 
-def leave_one_out_median(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+def leave_one_out_median(rows: DataFrame, keys: list[str], value: str, eligible: str | None = None) -> DataFrame:
     """Adds ``peer_median`` and ``peers``: the median of the group's other known values.
 
     Removing one value from n shifts the middle by at most one place, so only the order statistics around the middle
-    are looked up: four numbers per group, whatever its size. A NULL own value removes nothing.
+    are looked up: four numbers per group, whatever its size. A NULL own value removes nothing. With ``eligible`` (a boolean
+    column) only rows where it is true are peers; the others are compared with all peers, their own value not among them.
     """
-    placed = positions(rows, keys, value)
+    rows = materialise(rows, "peers")
+    is_peer = F.coalesce(F.col(eligible), F.lit(False)) if eligible else F.lit(True)
+    placed = positions(rows.filter(is_peer), keys, value)
     n = F.col("total")
     middle = F.floor((n - 2) / 2)
     wanted = {f"m{i}": value_at(middle + i, value) for i in range(0, 4)}
     marks = placed.groupBy(*keys).agg(F.max("total").alias("total"), *[v.alias(k) for k, v in wanted.items()])
     own = placed.select(*keys, F.col(value).alias("_own"), "before")
-    joined = rows.join(marks, keys, "left").withColumn("_own", F.col(value))
+    joined = rows.join(marks, keys, "left").withColumn("_own", F.when(is_peer, F.col(value)))
     joined = joined.join(own, [*keys, "_own"], "left")
 
     def shifted(i: Column) -> Column:
@@ -169,17 +175,20 @@ def tie_anchors(rows: DataFrame, keys: list[str], score: str, tol: float = TIE_T
     higher neighbour is further than the tolerance away always opens a group, so the sequential rule is only needed
     for runs of near neighbours, each a handful of distinct scores; all other scores are their own anchor.
     """
-    negated = rows.withColumn("_neg", -F.col(score))
+    negated = rows.select(*keys, (-F.col(score)).alias("_neg"))
     placed = (
-        positions(negated, keys, "_neg")
+        _in_ranges(negated, keys, "_neg", None)
         .withColumn("opens", F.coalesce(F.col("_neg") - F.col("below") > tol, F.lit(True)))
         .withColumn("has_near", F.coalesce(F.col("above") - F.col("_neg") <= tol, F.lit(False)))
-        .select(*keys, "_neg", "before", "opens", "has_near")
-    )
-    start = F.last(F.when(F.col("opens"), F.col("_neg")), ignorenulls=True).over(
-        Window.partitionBy(*keys).orderBy("_neg").rowsBetween(Window.unboundedPreceding, 0)
+        .select(*keys, "part", "_neg", "before", "opens", "has_near")
     )
-    near = placed.filter(~F.col("opens") | F.col("has_near")).withColumn("run", start)
+    near = materialise(placed.filter(~F.col("opens") | F.col("has_near")), "near_ties")
+    # The run of a score starts at the last opening one: in its own range, else in an earlier one.
+    opening = F.when(F.col("opens"), F.col("_neg"))
+    inside = Window.partitionBy(*keys, "part").orderBy("_neg").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = near.groupBy(*keys, "part").agg(F.max(opening).alias("last")).select(*keys, "part", F.max("last").over(earlier).alias("carried"))
+    near = near.join(carried, [*keys, "part"]).withColumn("run", F.coalesce(F.max(opening).over(inside), F.col("carried")))
     runs = near.groupBy(*keys, "run").agg(F.sort_array(F.collect_list(F.struct("_neg", "before"))).alias("chain"))
 
     def step(acc, v):
@@ -203,8 +212,9 @@ def rank_order(rows: DataFrame, keys: list[str], score: str, market_cap: str = "
                tol: float = TIE_TOLERANCE) -> DataFrame:
     """``position`` from 1: higher score, then within a tie group larger market cap, then identifier.
 
-    Only tie groups are sorted row by row; everything else comes from the grid positions.
+    Only tie groups are sorted row by row; everything else comes from the positions in the order.
     """
+    rows = materialise(rows, "ranked")
     tied = rows.join(tie_anchors(rows, keys, score, tol), [*keys, score])
     inside = Window.partitionBy(*keys, "tie_anchor").orderBy(F.desc(market_cap), last)
     return tied.withColumn("position", F.col("ahead") + F.row_number().over(inside)).drop("tie_anchor", "ahead")

@@ -1,6 +1,8 @@
 """Rolling features against hand-worked values: presence thresholds and window edges."""
 
 import math
+import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,11 +136,24 @@ def blocks(*parts):
 ])
 def test_yield_median(spark, values, action, want):
     df = spark.createDataFrame([("A", i, v, False, i == action) for i, v in enumerate(values)], "security_id string, session_no int, ey double, blackout boolean, is_action boolean")
-    out = windows.with_action_epoch(df).select("session_no", windows.yield_median("ey").alias("m"))
-    got = out.orderBy(F.desc("session_no")).first()["m"]
+    out = windows.yield_median(windows.with_action_epoch(df), "ey")
+    got = out.orderBy(F.desc("session_no")).first()["yield_median"]
     assert got["state"] == ("known" if want else "out_of_domain") and (want is None or math.isclose(got["value"], want))
 
 
+def test_sliding_median_against_brute_force(spark):
+    rng = random.Random(11)
+    rows = [(k, i, rng.choice([None, math.nan, *range(9)]) if rng.random() < .7 else rng.random()) for k in "AB" for i in range(120)]
+    rows = [(k, i, None if v is None else float(v)) for k, i, v in rows]
+    df = spark.createDataFrame(rows, "k string, i int, v double").repartition(5)
+    got = {(r["k"], r["i"]): (r["median"], r["known"]) for r in windows.sliding_median(df, ["k"], "i", "v", 17).collect()}
+    for k, i, _ in rows:
+        frame = [v for a, j, v in rows if a == k and i - 17 < j <= i and v is not None and not math.isnan(v)]
+        median, known = got[(k, i)]
+        assert known == len(frame) and (math.isclose(median, statistics.median(frame)) if frame else median is None or math.isnan(median))
+    assert windows.sliding_median(df.limit(0), ["k"], "i", "v", 17).collect() == []
+
+
 def test_drawdown_and_rolling_share(spark):
     v = spark.createDataFrame([("A", i, float(x)) for i, x in enumerate((100, 120, 90, 130, 65))], "k string, i int, v double")
     assert windows.max_drawdown(v, "k", "i", "v").first()["max_drawdown"] == 0.5

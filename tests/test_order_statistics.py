@@ -1,4 +1,4 @@
-"""Distributed order statistics against brute force, on distributions that defeat a plain grid."""
+"""Distributed order statistics against brute force, on distributions that crowd into few values."""
 
 import random
 import statistics
@@ -37,7 +37,7 @@ def linear(values, q):
 
 def test_quantiles(rows):
     qs = {"a": 0.01, "b": 0.25, "c": 0.5, "d": 0.99}
-    got = {r["g"]: r for r in cs.quantiles(cs.positions(rows, ["g"], "v", cells=8), ["g"], "v", qs).collect()}
+    got = {r["g"]: r for r in cs.quantiles(cs.positions(rows, ["g"], "v", parts=8), ["g"], "v", qs).collect()}
     for g, values in sets().items():
         assert got[g]["n"] == len(values)
         for name, q in qs.items():
@@ -46,7 +46,7 @@ def test_quantiles(rows):
 
 def test_positions_and_neighbours(rows):
     got = {}
-    for r in cs.positions(rows, ["g"], "v", cells=8).collect():
+    for r in cs.positions(rows, ["g"], "v", parts=8).collect():
         got.setdefault(r["g"], {})[r["v"]] = (r["before"], r["copies"], r["below"], r["above"])
     for g, values in sets().items():
         distinct = sorted(set(map(float, values)))
@@ -64,6 +64,16 @@ def test_leave_one_out(rows):
             assert peers == len(others) and median == (pytest.approx(statistics.median(others)) if others else None)
 
 
+def test_leave_one_out_among_eligible_peers(spark):
+    rng = random.Random(3)
+    data = [(g, i, rng.choice([None, 1.0, 2.0, rng.random()]), rng.choice([True, True, False, None])) for g in "ab" for i in range(40)] + [("c", 0, 5.0, False)]
+    df = spark.createDataFrame(data, "g string, i int, v double, ok boolean")
+    for r in cs.leave_one_out_median(df, ["g"], "v", "ok").collect():
+        others = [v for g, i, v, ok in data if g == r["g"] and i != r["i"] and ok and v is not None]
+        assert r["peers"] == len(others)
+        assert r["peer_median"] == (pytest.approx(statistics.median(others)) if others else None)
+
+
 def anchored(rows, tol=1e-9):
     order = sorted(rows, key=lambda r: (-r[1], -r[2], r[0]))
     out, i = [], 0
