@@ -37,7 +37,7 @@ def even_week():
 
 def lines_of(spark, path, pattern):
     """Lines of a folder's files, written once: the parsers read them for rows, headers and checks."""
-    return tables.materialise(fs.file_lines(fs.arrived_files(spark, path, pattern)), "lines")
+    return tables.materialise(fs.file_lines(tables.materialise(fs.arrived_files(spark, path, pattern), "arrived")), "lines")
 
 
 def write_csv(rows, path, compression="none"):
@@ -122,7 +122,7 @@ def master_files(spark, sf_dir):
     path = tables.scratch(spark, "master_files")
     named_text(heads.unionByName(lines), path)
     files = fs.arrived_files(spark, path, "*.txt").withColumn("file", F.regexp_extract("path", "name=([^/]+)/", 1))
-    rows, _ = fs.parse_master_files(tables.materialise(fs.file_lines(files), "lines"))
+    rows, _ = fs.parse_master_files(tables.materialise(fs.file_lines(tables.materialise(files, "arrived")), "lines"))
     return rows.select("master_file_date", "source_instrument_id", "isin", "symbol", "security_class", "market_eligible")
 
 
@@ -220,7 +220,7 @@ def stored_conflicts(spark, sf_dir):
 @query("S05", f"SELECT count(*) AS lines, count(DISTINCT trade_date) AS files FROM quotes WHERE {EVEN}", ("quotes",))
 def compressed_files(spark, sf_dir):
     lines = fs.file_lines(fs.arrived_files(spark, price_folder(spark, sf_dir), "*.gz"))
-    return lines.filter("line_no > 0").agg(F.count(F.lit(1)).alias("lines"), F.count_distinct("file_sha256").alias("files"))
+    return lines.filter("line_no.line > 0").agg(F.count(F.lit(1)).alias("lines"), F.count_distinct("file_sha256").alias("files"))
 
 
 @query("S08", "SELECT count(DISTINCT trade_date) AS first_landing, 0 AS second_landing FROM quotes", ("quotes",))

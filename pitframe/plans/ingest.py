@@ -198,13 +198,14 @@ def ingest_files(files: DataFrame, store: Store, source: Source, received_at: Co
     # The same bytes under several names are one file from here on.
     first_name = files.groupBy("file_sha256").agg(F.min("file").alias("file"))
     files = files.join(first_name, fs.FILE, "left_semi")
-    lines = tables.materialise(fs.file_lines(files), "lines")
+    # Bytes that were taken before are dropped by their hash: they are neither read again nor parsed.
+    fresh = files.join(store.read("ingestion_log").filter(F.col("source_id") == source.source_id), "file_sha256", "left_anti")
+    lines = tables.materialise(fs.file_lines(fresh), "lines")
     rows, problems = source.parse(lines)
     if source is MASTER:
         rows = rows.withColumnRenamed("master_file_date", "trade_date").withColumns(
             {"effective_session": F.lit(effective_session).cast("date"), "effective_session_basis": F.lit(session_basis)})
     rows = tables.materialise(rows, "parsed").withColumn("source_id", F.lit(source.source_id))
-    rows = bt.not_yet_ingested(rows, store.read("ingestion_log"))
     checked = tables.materialise(_with_reasons(rows, store, source), "checked")
     bad = tables.materialise(problems.select("file_sha256", "parse_error").unionByName(_refused(checked, store, source, received_at, mode)), "unreadable")
     if source is PRICES:
