@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("views", "window_queries", "bitemporal_queries", "quality_queries", "fundamental_queries", "cross_section_queries", "rule_queries", "money_queries", "monitoring_queries", "file_queries")
+MODULES = ("views", "window_queries", "bitemporal_queries", "quality_queries", "fundamental_queries", "cross_section_queries", "rule_queries", "claim_queries", "money_queries", "monitoring_queries", "file_queries")
 
 
 def load():

@@ -35,7 +35,7 @@ def flat(spark, sf_dir, ruleset):
 # --------------------------------------------------------------------------- SQL of the rule sets
 
 
-def flat_sql(ruleset):
+def flat_sql(ruleset, population="population"):
     columns = []
     for f in ruleset.features:
         exact = f if f in NOT_NUMERIC else f"round({f}, 9)"
@@ -44,7 +44,7 @@ def flat_sql(ruleset):
             columns.append(f"{f} AS {f}_rank")
     excluded = ", ".join(f"'{s}'" for s in ruleset.exclude_sectors)
     universe = "market_eligible" + (f" AND sector NOT IN ({excluded})" if excluded else "")
-    return f"SELECT eval_date, isin, sector, market_cap, close, signal_epoch, {universe} AS in_universe, {', '.join(columns)} FROM population"
+    return f"SELECT eval_date, isin, sector, market_cap, close, signal_epoch, {universe} AS in_universe, {', '.join(columns)} FROM {population}"
 
 
 def sql_any(conditions):
@@ -91,8 +91,8 @@ def reason_sql(ruleset):
     return f"nullif(array_to_string(list_sort(list_filter([{', '.join(arms)}], lambda x: x IS NOT NULL)), '; '), '')"
 
 
-def scoring_views(prefix, ruleset, filter_sql):
-    view(f"{prefix}_flat", flat_sql(ruleset), ("population",))
+def scoring_views(prefix, ruleset, filter_sql, population="population"):
+    view(f"{prefix}_flat", flat_sql(ruleset, population), (population,))
     view(f"{prefix}_scoring", f"SELECT * FROM {prefix}_flat WHERE in_universe AND {filter_sql}", (f"{prefix}_flat",))
     inputs = ruleset.ranking_inputs()
     view(f"{prefix}_inputs", f"SELECT eval_date, isin, {', '.join(f'{f}_rank AS {f}' for f in inputs)} FROM {prefix}_scoring", (f"{prefix}_scoring",))
@@ -104,10 +104,14 @@ def scoring_views(prefix, ruleset, filter_sql):
 scoring_views("mom", MOMENTUM, "coalesce(circuit_days_60d <= 5, true)")
 scoring_views("qv", QUALITY_VALUE, "true")
 
-view("mom_ranked", f"""SELECT *, CASE WHEN rank_reason IS NULL THEN 0.60 * round(vol_adj_mom_12m_z, 9) + 0.40 * round(vol_adj_mom_6m_z, 9) END AS rank FROM (
+def momentum_ranked_sql(prefix):
+    return f"""SELECT *, CASE WHEN rank_reason IS NULL THEN 0.60 * round(vol_adj_mom_12m_z, 9) + 0.40 * round(vol_adj_mom_6m_z, 9) END AS rank FROM (
 SELECT s.*, w.vol_adj_mom_12m_z, w.vol_adj_mom_6m_z, coalesce({reason_sql(MOMENTUM)}, CASE WHEN vol_adj_mom_12m_z IS NULL OR vol_adj_mom_6m_z IS NULL
  THEN 'no z-score for ' || concat_ws(', ', CASE WHEN vol_adj_mom_12m_z IS NULL THEN 'vol_adj_mom_12m' END, CASE WHEN vol_adj_mom_6m_z IS NULL THEN 'vol_adj_mom_6m' END) END) AS rank_reason
-FROM mom_scoring s JOIN mom_wide w USING (eval_date, isin))""", ("mom_scoring", "mom_wide"))
+FROM {prefix}_scoring s JOIN {prefix}_wide w USING (eval_date, isin))"""
+
+
+view("mom_ranked", momentum_ranked_sql("mom"), ("mom_scoring", "mom_wide"))
 
 
 def composite_columns():
@@ -321,7 +325,7 @@ def held(spark, sf_dir):
     return adapters.population(spark, sf_dir, []).filter(c("market_cap") % 61 == 0).select("eval_date", "isin")
 
 
-def evaluation_sql(prefix, ruleset, params, filters, target, cap_terms, factor, tranche):
+def evaluation_sql(prefix, ruleset, params, filters, target, cap_terms, factor, tranche, population_view):
     gate_params = {k: v for k, v in params.items()}
     checks = f"CASE WHEN coalesce({IMPACT} <= 0.0035 AND v <= 0.1 * adv_20d_cr, false) THEN true ELSE false END" if ruleset.size_checks else "true"
     candidate = filters or "true"
@@ -333,18 +337,23 @@ UNION ALL SELECT eval_date, isin, CASE WHEN in_universe THEN 'filtered' ELSE 'no
  SELECT *, {gates_sql(ruleset, gate_params)}, {drops_sql(ruleset)} AS drops, round(least({target}, 500000), 4) AS target FROM {prefix}_ranked))""", f"""
  SELECT *, least(floor(allotted / close), floor(least(500000, allotted) / (close * {factor})){cap_terms}) AS target_qty FROM (
  SELECT *, round(least(target, {CASH} - prior), 4) AS allotted FROM (SELECT *, coalesce(sum(target) OVER (PARTITION BY eval_date ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior FROM (
- SELECT c.*, row_number() OVER (PARTITION BY c.eval_date ORDER BY c.rank DESC, market_cap DESC, c.isin) AS slot, coalesce(n, 0) AS used FROM judged c LEFT JOIN (SELECT eval_date, count(*) AS n FROM population WHERE market_cap % 61 = 0 GROUP BY 1) h USING (eval_date)
+ SELECT c.*, row_number() OVER (PARTITION BY c.eval_date ORDER BY c.rank DESC, market_cap DESC, c.isin) AS slot, coalesce(n, 0) AS used FROM judged c LEFT JOIN (SELECT eval_date, count(*) AS n FROM {population_view} WHERE market_cap % 61 = 0 GROUP BY 1) h USING (eval_date)
  WHERE status = 'candidate' AND market_cap % 61 <> 0) WHERE slot <= {SLOTS} - used) WHERE prior < {CASH})"""
 
 
-def register_evaluation(key, prefix, ruleset, params, **sql):
-    final, judged, taken = evaluation_sql(prefix, ruleset, params, **sql)
+def register_evaluation(key, prefix, ruleset, params, population_view="population", population_of=None, **sql):
+    final, judged, taken = evaluation_sql(prefix, ruleset, params, population_view=population_view, **sql)
     view(f"{prefix}_judged", judged, (f"{prefix}_ranked",))
-    view(f"{prefix}_taken", taken.replace("FROM judged", f"FROM {prefix}_judged"), (f"{prefix}_judged", "population"))
+    view(f"{prefix}_taken", taken.replace("FROM judged", f"FROM {prefix}_judged"), (f"{prefix}_judged", population_view))
     text = final.replace("FROM judged j LEFT JOIN taken t", f"FROM {prefix}_judged j LEFT JOIN {prefix}_taken t")
 
     def run(spark, sf_dir):
-        out = evaluate.evaluate_population(population(spark, sf_dir, ruleset), ruleset, params, CASH, SLOTS, held(spark, sf_dir))
+        if population_of is None:
+            names, holdings = population(spark, sf_dir, ruleset), held(spark, sf_dir)
+        else:
+            names = population_of(spark, sf_dir)
+            holdings = names.filter(c("market_cap") % 61 == 0).select("eval_date", "isin")
+        out = evaluate.evaluate_population(names, ruleset, params, CASH, SLOTS, holdings)
         gone = [f"gate_{g.code}" for g in ruleset.gates]
         return out.drop(*gone).withColumn("rank", F.round("rank", 6)).withColumn("allotted", c("allotted").cast("double"))
 

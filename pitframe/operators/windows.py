@@ -198,8 +198,8 @@ def with_action_epoch(daily: DataFrame) -> DataFrame:
     return daily.withColumn("action_epoch", F.count_if("is_action").over(running))
 
 
-def trailing_stop(path: DataFrame, mult: float = 2.5, key: str = "position_id") -> DataFrame:
-    """Stop in force at each session of a position, tested before it is updated, up to the exit session.
+def with_stop(path: DataFrame, mult: float = 2.5, key: str = "position_id") -> DataFrame:
+    """Adds ``stop_tested``: the stop that a session's close is tested against, before that close can raise it.
 
     ``path``: position, step (0 on the fill session), entry_fill, atr_at_signal, close, atr_pct. The peak moves on
     strict new highs only and freezes the ATR of that session. A position holds at most one row per session.
@@ -209,13 +209,17 @@ def trailing_stop(path: DataFrame, mult: float = 2.5, key: str = "position_id")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     entry = F.struct(F.col("entry_fill").alias("price"), F.lit(1).alias("order"), F.col("atr_at_signal").alias("atr"))
     close = F.struct(F.col("close").alias("price"), (-F.col("step")).alias("order"), F.col("atr_pct").alias("atr"))
-    peaks = path.withColumn("peak", F.greatest(entry, F.max(close).over(upto)))
-    raised = peaks.withColumn("raised", F.col("peak.price") * (1 - mult * F.col("peak.atr")))
+    peaks = path.withColumn("_peak", F.greatest(entry, F.max(close).over(upto)))
+    raised = peaks.withColumn("_raised", F.col("_peak.price") * (1 - mult * F.col("_peak.atr")))
     initial = F.col("entry_fill") * (1 - mult * F.col("atr_at_signal"))
-    tested = raised.withColumn("stop_tested", F.greatest(initial, F.max("raised").over(before)))
+    return raised.withColumn("stop_tested", F.greatest(initial, F.max("_raised").over(before))).drop("_peak", "_raised")
+
+
+def trailing_stop(path: DataFrame, mult: float = 2.5, key: str = "position_id") -> DataFrame:
+    """Stop in force at each session of a position (see ``with_stop``), up to the session that closes below it."""
+    tested = with_stop(path, mult, key)
     hit = F.when(F.col("close") < F.col("stop_tested"), F.col("step"))
-    whole = Window.partitionBy(key)
-    ended = tested.withColumn("exit_session", F.min(hit).over(whole))
+    ended = tested.withColumn("exit_session", F.min(hit).over(Window.partitionBy(key)))
     kept = ended.filter(F.col("exit_session").isNull() | (F.col("step") <= F.col("exit_session")))
     return kept.select(
         key, "step", F.col("stop_tested"), F.round("stop_tested", 4).alias("stop_in_force"), "exit_session"

@@ -22,6 +22,12 @@ class Exit:
     expr: str
     reads: tuple[str, ...]
     on_out_of_domain: str = "fire"
+    cadence: str = "daily"
+    weekday: str | None = None  # of a weekly exit
+
+    def __post_init__(self):
+        if self.cadence not in ("daily", "weekly") or (self.cadence == "weekly") != (self.weekday is not None):
+            raise ValueError(f"exit {self.code}: a weekly cadence needs a weekday, a daily one has none")
 
 
 @dataclass(frozen=True)
@@ -51,6 +57,7 @@ class RuleSet:
     capacity_order: str = "rank"
     selection: str = "rank_and_gate"
     stop_multiple: float | None = None
+    entry_weekday: str | None = None  # evaluated once a week, up to this weekday; else on every session
     params: dict[str, str] = field(default_factory=dict)
 
     def behaviour(self, feature: str) -> str:
@@ -97,11 +104,12 @@ MOMENTUM = RuleSet(
     exits=(
         Exit("X1", "close < stop_in_force", ()),
         Exit("X2", "below_dma50_3_sessions", ("price_vs_dma50",)),
-        Exit("X3", "vol_adj_mom_12m < 0.30", ("vol_adj_mom_12m",)),
+        Exit("X3", "vol_adj_mom_12m < 0.30", ("vol_adj_mom_12m",), cadence="weekly", weekday="fri"),
         Exit("X4", "holding_days >= 180", ()),
         Exit("X5", HIGH_SURVEILLANCE, ("surveillance_stage",)),
     ),
     stop_multiple=2.5,
+    entry_weekday="fri",
 )
 
 QUALITY_VALUE = RuleSet(

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitframe.operators import capacity, cross_section, rules
-from pitframe.plans import evaluate
-from pitframe.plans.rulesets import MOMENTUM, QUALITY_VALUE
+from pitframe.plans import claims, evaluate
+from pitframe.plans.rulesets import MOMENTUM, QUALITY_VALUE, Exit
 
 NUMERIC = [f for f in (*MOMENTUM.features, *QUALITY_VALUE.features) if f not in ("is_fno_eligible", "surveillance_stage", "auditor_resignation_5y")]
 TYPES = {**{f: "double" for f in NUMERIC}, "is_fno_eligible": "boolean", "auditor_resignation_5y": "boolean", "surveillance_stage": "string"}
@@ -222,6 +222,71 @@ def test_evaluation_at_other_scales(spark):
     assert by_status(roomy)["taken"] == span(5, 28) and {r["target_qty"] for r in roomy if r["status"] == "taken"} == {4854}
 
 
+# --------------------------------------------------------------------------- schedules and exits of positions
+
+
+def sessions_of_two_weeks(spark):
+    """Two weeks from a Monday on; the first Friday is a holiday and the second a muhurat session, numbered or not by what is executable."""
+    days = [("2024-01-01", "normal"), ("2024-01-02", "normal"), ("2024-01-03", "normal"), ("2024-01-04", "normal"), ("2024-01-05", "holiday"),
+            ("2024-01-08", "normal"), ("2024-01-09", "normal"), ("2024-01-10", "normal"), ("2024-01-11", "normal"), ("2024-01-12", "muhurat")]
+    numbers = iter(range(1, 11))
+    rows = [(d, kind, next(numbers) if kind == "normal" else None) for d, kind in days]
+    return spark.createDataFrame(rows, "d string, session_type string, session_no int").selectExpr("CAST(d AS DATE) AS trade_date", "session_type", "session_no")
+
+
+@pytest.mark.parametrize("weekday, want", [("fri", ["2024-01-04", "2024-01-11"]), ("wed", ["2024-01-03", "2024-01-10"]), (None, None)])
+def test_evaluation_dates(spark, weekday, want):
+    got = sorted(str(r["trade_date"]) for r in claims.evaluation_dates(sessions_of_two_weeks(spark), weekday).collect())
+    assert got == want if want else len(got) == 8
+
+
+def test_a_weekly_exit_needs_a_weekday():
+    for wrong in (dict(cadence="weekly"), dict(cadence="daily", weekday="fri"), dict(cadence="monthly")):
+        with pytest.raises(ValueError):
+            Exit("X", "true", (), **wrong)
+
+
+def judged(spark, rows):
+    """rows: position, session, momentum, close, stop, below the average, holding days, stage; the other inputs are known and harmless."""
+    data = [dict(position_id=p, step=n, session_no=n, close=close, stop_in_force=stop, below_dma50_3_sessions=below, holding_days=days, vol_adj_mom_12m=mom, surveillance_stage=stage, price_vs_dma50=1.1)
+            for p, n, mom, close, stop, below, days, stage in rows]
+    reads = ["vol_adj_mom_12m", "surveillance_stage", "price_vs_dma50"]
+    extra = "position_id string, step int, session_no int, close double, stop_in_force double, below_dma50_3_sessions boolean, holding_days int"
+    out = claims.judge_exits(rules.flatten(frame(spark, data, reads, extra), reads), sessions_of_two_weeks(spark), MOMENTUM)
+    return {(r["position_id"], r["step"]): r for r in out.collect()}
+
+
+def test_exits_follow_their_cadence(spark):
+    calm = (100.0, 90.0, False, 5, "none")
+    got = judged(spark, [("weekly", n, 0.1, *calm) for n in range(2, 7)] + [("unknown", n, MISSING, *calm) for n in range(1, 9)]
+                 + [("stop", 1, 0.9, 100.0, 90.0, False, 0, "none"), ("stop", 2, 0.1, 89.0, 90.0, False, 1, "gsm_any"), ("stop", 3, 0.9, *calm)] + [("old", 1, 0.9, 90.0, 90.0, None, 180, "none")])
+    # momentum is too low from the first session on, but is judged on the last executable session of the week only
+    assert [(n, got["weekly", n]["action"], got["weekly", n]["exit_X3"]) for n in (2, 3, 4)] == [(2, "HOLD", None), (3, "HOLD", None), (4, "EXIT", "FIRE")]
+    assert ("weekly", 5) not in got and got["weekly", 4]["fired"] == "X3"
+    assert [got["unknown", n]["action"] for n in range(1, 9)] == ["HOLD"] * 3 + ["REVIEW"] + ["HOLD"] * 3 + ["REVIEW"]
+    # several exits on one session, in order; a close at the stop holds; 180 days fire; an unknown input is counted
+    assert (got["stop", 2]["fired"], ("stop", 3) in got) == ("X1,X5", False)
+    assert (got["old", 1]["fired"], got["old", 1]["reviews"], got["old", 1]["exit_X1"]) == ("X4", 1, "NO")
+
+
+def test_no_positions(spark):
+    assert judged(spark, [("p", 1, 0.9, 100.0, 90.0, False, 0, "none")])["p", 1]["action"] == "HOLD"
+    schema = "position_id string, step int, session_no int, close double, stop_in_force double, below_dma50_3_sessions boolean, holding_days int"
+    empty = rules.flatten(frame(spark, [], MOMENTUM.features, schema), MOMENTUM.features)
+    assert claims.judge_exits(empty, sessions_of_two_weeks(spark), MOMENTUM).count() == 0
+
+
+def test_positions_fill_at_the_next_traded_open(spark):
+    known = lambda v: ("known", v, None)
+    rows = [("A", n, n not in (3, 4), 100.0 + n if n not in (3, 4) else None, 100.5 + n if n not in (3, 4) else None, known(0.02)) for n in range(1, 8)] + [("B", 2, True, 50.0, 50.5, known(0.02)), ("B", 3, False, None, None, known(None))]
+    every = spark.createDataFrame(rows, "isin string, session_no int, present boolean, open double, adj_close double, atr_pct_20 struct<state: string, value: double, outcome: string>")
+    signals = every.filter("(isin = 'A' AND session_no IN (2, 5)) OR (isin = 'B' AND session_no = 2)")
+    path = claims.with_stops(claims.open_positions(signals, every), MOMENTUM).orderBy("position_id", "step").collect()
+    got = [(r["position_id"], r["session_no"], r["step"], r["holding_days"], r["entry_fill"]) for r in path]
+    assert got == [("A-2", 5, 0, 0, 105.0), ("A-2", 6, 1, 1, 105.0), ("A-2", 7, 2, 2, 105.0), ("A-5", 6, 0, 0, 106.0), ("A-5", 7, 1, 1, 106.0)]
+    assert [round(r["stop_in_force"], 4) for r in path] == [99.75, round(105.5 * 0.95, 4), round(106.5 * 0.95, 4), 100.7, round(106.5 * 0.95, 4)]
+
+
 def test_lifecycle(spark):
     rows = [("a", 0, 1, "none", "experimental", 1), ("a", 0, 2, "experimental", "shadow", 2), ("a", 1, 3, "production", "retired", 2), ("b", 0, 4, "experimental", "shadow", 5)]
     df = spark.createDataFrame(rows, "strategy string, block int, seq int, from_status string, to_status string, decided_at int")
