@@ -305,17 +305,23 @@ def actual_target(spark, sf_dir):
     return orders(spark, sf_dir).select("o_orderkey", F.round(t, 6).alias("actual_target"))
 
 
-@query("R19", """SELECT user_id AS strategy, arg_max(event_type, event_id) AS status, count(CASE WHEN from_status <> coalesce(prev_status, 'none') THEN 1 END) AS broken_chain, count(CASE WHEN t <= prev_t THEN 1 END) AS time_disorder FROM (
-SELECT *, lag(event_type) OVER w AS prev_status, lag(t) OVER w AS prev_t FROM (SELECT *, CASE WHEN event_id % 2 = 0 THEN 'view' ELSE 'none' END AS from_status, epoch_us(ts) + (event_id % 5) * 3600000000 * 30 AS t FROM events)
-WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) GROUP BY 1""")
+LEDGER_NOW = "2024-01-15 00:00:00"
+
+
+@query("R19", f"""SELECT user_id AS strategy, event_id % 2 AS rules_hash, arg_max(event_type, event_id) AS status, count(CASE WHEN from_status <> coalesce(prev_status, 'none') THEN 1 END) AS broken_chain,
+count(CASE WHEN t <= prev_t THEN 1 END) AS time_disorder, count(CASE WHEN t > epoch_us(TIMESTAMP '{LEDGER_NOW}') + 300000000 THEN 1 END) AS future FROM (
+SELECT *, lag(event_type) OVER w AS prev_status, lag(t) OVER w AS prev_t FROM (SELECT *, CASE WHEN event_id % 4 < 2 THEN 'view' ELSE 'none' END AS from_status, epoch_us(ts) + (event_id % 5) * 3600000000 * 30 AS t FROM events)
+WINDOW w AS (PARTITION BY user_id, event_id % 2 ORDER BY event_id)) GROUP BY 1, 2""")
 def lifecycle(spark, sf_dir):
+    """A chain for each strategy and hash of its rules, judged at an instant in the middle of the ledger's time."""
     e = adapters.table(spark, sf_dir, "events")
     micros = F.unix_micros(c("ts").cast("timestamp")) + c("event_id") % 5 * 3_600_000_000 * 30
     ledger = e.select(
-        c("user_id").alias("strategy"), c("event_id").alias("seq"), F.floor(c("event_id") / 1000).alias("block"), c("event_type").alias("to_status"),
-        F.when(c("event_id") % 2 == 0, F.lit("view")).otherwise(F.lit("none")).alias("from_status"), micros.alias("decided_at"),
+        c("user_id").alias("strategy"), (c("event_id") % 2).alias("rules_hash"), c("event_id").alias("seq"), F.floor(c("event_id") / 1000).alias("block"),
+        c("event_type").alias("to_status"), F.when(c("event_id") % 4 < 2, F.lit("view")).otherwise(F.lit("none")).alias("from_status"),
+        F.timestamp_micros(micros).alias("decided_at"),
     )
-    return rules.lifecycle_status(ledger)
+    return rules.lifecycle_status(ledger, ["strategy", "rules_hash"], now=F.lit(LEDGER_NOW).cast("timestamp"))
 
 
 # --------------------------------------------------------------------------- the whole evaluation

@@ -178,25 +178,28 @@ def rank_population(flat: DataFrame, rules: RuleSet, key: str = "eval_date", ent
 # --------------------------------------------------------------------------- lifecycle ledger
 
 
-def lifecycle_status(ledger: DataFrame, key: str = "strategy", block: str = "block") -> DataFrame:
-    """Current status of each strategy from its append-only transitions, with counts of chain and time problems.
+def lifecycle_status(ledger: DataFrame, key: str | list[str] = "strategy", block: str = "block", now: Column | None = None,
+                     tolerance: str = "INTERVAL 5 MINUTES") -> DataFrame:
+    """Current status of each strategy from its append-only transitions, with counts of chain, time and future problems.
 
-    Ledger order (``seq``) is authoritative; times only validate it. The previous transition is found inside blocks
+    Ledger order (``seq``) is authoritative; times only validate it. ``key`` names the columns of one chain: with the hash of a strategy's
+    rules among them, a changed rule set starts a chain of its own. A decision later than ``now`` and the tolerance is counted in
+    ``future`` and stays in its chain; without ``now`` there is no such count. The previous transition is found inside blocks
     of the ledger and carried between blocks from one row per block, so a very long ledger is not one task's work.
     """
     from pyspark.sql import Window
 
+    keys = [key] if isinstance(key, str) else list(key)
     step = F.struct("seq", "to_status", "decided_at")
-    inside = Window.partitionBy(key, block).orderBy("seq")
+    inside = Window.partitionBy(*keys, block).orderBy("seq")
     local = ledger.withColumn("prev", F.lag(step).over(inside))
-    ends = ledger.groupBy(key, block).agg(F.max_by(step, "seq").alias("end"))
-    between = Window.partitionBy(key).orderBy(block)
-    carried = ends.select(key, block, F.lag("end").over(between).alias("before"))
-    chained = local.join(carried, [key, block]).withColumn("prev", F.coalesce("prev", "before"))
+    ends = ledger.groupBy(*keys, block).agg(F.max_by(step, "seq").alias("end"))
+    between = Window.partitionBy(*keys).orderBy(block)
+    carried = ends.select(*keys, block, F.lag("end").over(between).alias("before"))
+    chained = local.join(carried, [*keys, block]).withColumn("prev", F.coalesce("prev", "before"))
     broken = F.col("from_status") != F.coalesce(F.col("prev.to_status"), F.lit("none"))
     disordered = F.col("decided_at") <= F.col("prev.decided_at")
-    return chained.groupBy(key).agg(
-        F.max_by("to_status", "seq").alias("status"),
-        F.count_if(broken).alias("broken_chain"),
-        F.count_if(disordered).alias("time_disorder"),
-    )
+    counts = [F.count_if(broken).alias("broken_chain"), F.count_if(disordered).alias("time_disorder")]
+    if now is not None:
+        counts.append(F.count_if(F.col("decided_at") > now + F.expr(tolerance)).alias("future"))
+    return chained.groupBy(*keys).agg(F.max_by("to_status", "seq").alias("status"), *counts)

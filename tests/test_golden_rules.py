@@ -292,3 +292,12 @@ def test_lifecycle(spark):
     df = spark.createDataFrame(rows, "strategy string, block int, seq int, from_status string, to_status string, decided_at int")
     got = {r["strategy"]: (r["status"], r["broken_chain"], r["time_disorder"]) for r in rules.lifecycle_status(df).collect()}
     assert got == {"a": ("retired", 1, 1), "b": ("shadow", 1, 0)}
+
+
+def test_lifecycle_by_rules_hash_and_instant(spark):
+    rows = [("a", "x", 1, "none", "experimental", "2026-09-24 12:00:00"), ("a", "y", 2, "none", "experimental", "2026-09-24 12:05:00"), ("a", "x", 3, "experimental", "shadow", "2026-09-24 12:05:01"),
+            ("a", "y", 4, "shadow", "production", "2026-09-24 12:05:00")]
+    df = spark.createDataFrame(rows, "strategy string, card string, seq int, from_status string, to_status string, decided_at string").selectExpr("*", "0 AS block").withColumn("decided_at", F.col("decided_at").cast("timestamp"))
+    out = rules.lifecycle_status(df, ["strategy", "card"], now=F.lit("2026-09-24 12:00:00").cast("timestamp")).collect()
+    # five minutes are tolerated, one second more is not; a changed rule set does not continue the other's chain
+    assert {r["card"]: (r["status"], r["broken_chain"], r["time_disorder"], r["future"]) for r in out} == {"x": ("shadow", 0, 0, 1), "y": ("production", 1, 1, 0)}
