@@ -21,14 +21,16 @@ import math
 import os
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
-from itertools import chain
+from itertools import chain, islice, pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
@@ -68,8 +70,9 @@ def _tokenizer(path: str | None):
 
 
 # Words that this tokenizer's rules treat the same way as the expressions here do: printable ASCII and small Latin letters.
-PLAIN = re.compile("[!-~ß-öø-ž]+")
-PARTS_OF_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-z0-9ß-öø-ž]+")
+PLAIN = re.compile("[!-~ß-öø-ž]*")
+PLAIN_LINES = re.compile("[\n!-~ß-öø-ž]*")
+PARTS_OF_LINES = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^\na-z0-9ß-öø-ž]+")
 
 
 @cache
@@ -83,60 +86,84 @@ def _byte_letters() -> dict[int, str]:
 class WordEncoder:
     """Ids of blank-free stretches of text, as ``tokenizer.encode`` gives them.
 
-    This vocabulary never joins characters across white space. Plain stretches are lower-cased and cut into parts, and a part is
-    encoded once while it is remembered; anything else (other scripts, marks, reserved words) goes through the tokenizer whole.
+    This vocabulary never joins characters across white space. Plain stretches are lower-cased and cut into parts, all of a call as
+    the lines of one string, and a part is encoded once while it is remembered; anything else (other scripts, marks, reserved
+    words) goes through the tokenizer whole.
     """
 
-    def __init__(self, tokenizer, remembered: int = 300_000):
-        self.tokenizer, self.model, self.remembered = tokenizer, tokenizer.model, remembered
+    def __init__(self, tokenizer, remembered: int = 600_000):
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.model, self.remembered = tokenizer, Tokenizer(tokenizer.model), remembered
         self.reserved = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
-        self.parts: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Only the line end is known, as part 0 without ids."""
+        self.parts = defaultdict(int, {"\n": 0})  # part to its number, in the order of first sight
+        self.parts.default_factory = self.parts.__len__
+        self.flat, self.sizes = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _learn(self, parts: list[str]) -> None:
+        flat, sizes = [self.flat], [self.sizes]
+        for start in range(0, len(parts), 10_000):
+            written = [p if p.isascii() else "".join(map(_byte_letters().__getitem__, p.encode())) for p in parts[start: start + 10_000]]
+            encoded = self.model.encode(written, is_pretokenized=True, add_special_tokens=False)
+            flat.append(np.array(encoded.ids, np.uint32))
+            sizes.append(np.bincount(encoded.word_ids, minlength=len(written)))
+        self.flat, self.sizes = np.concatenate(flat), np.concatenate(sizes)
+
+    def _plain(self, stretch: str) -> bool:
+        return bool(PLAIN.fullmatch(stretch.lower())) and not any(r in stretch for r in self.reserved)
+
+    def encode(self, lines: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """flat, begin, sizes: the ids of a line, which is a stretch, are the ``sizes`` many of ``flat`` from ``begin`` on."""
+        if len(self.parts) > self.remembered:
+            self._forget()
+        others = {}
+        if not PLAIN_LINES.fullmatch(lines.lower()) or any(r in lines for r in self.reserved):
+            stretches = lines.split("\n")
+            others = {n: s for n, s in enumerate(stretches) if not self._plain(s)}
+            lines = "\n".join(["" if n in others else s for n, s in enumerate(stretches)])
+        cut, before = PARTS_OF_LINES.findall(lines.lower()), len(self.parts)
+        codes = np.fromiter(map(self.parts.__getitem__, cut), np.int64, len(cut))
+        if len(self.parts) > before:
+            self._learn(list(islice(self.parts, before, None)))
+        flat, own = taken(self.flat, np.cumsum(self.sizes) - self.sizes, self.sizes, codes)
+        sizes = np.bincount(np.cumsum(codes == 0), own, lines.count("\n") + 1).astype(np.int64)
+        begin = np.cumsum(sizes) - sizes
+        if others:
+            encoded = [e.ids for e in self.tokenizer.encode_batch_fast([*others.values()], add_special_tokens=False)]
+            at = [*others]
+            sizes[at] = [len(ids) for ids in encoded]
+            begin[at] = len(flat) + np.cumsum(sizes[at]) - sizes[at]
+            flat = np.concatenate([flat, np.fromiter(chain.from_iterable(encoded), np.uint32)])
+        return flat, begin, sizes
 
-    def _part(self, part: str) -> list[int]:
-        ids = self.parts.get(part)
-        if ids is None:
-            written = part if part.isascii() else "".join(map(_byte_letters().__getitem__, part.encode()))
-            ids = self.parts[part] = [t.id for t in self.model.tokenize(written)]
-        return ids
 
-    def encode(self, stretches: list[str]) -> list[list[int]]:
-        if len(self.parts) > self.remembered:
-            self.parts.clear()
-        result, others = [], []
-        for number, stretch in enumerate(stretches):
-            low = stretch.lower()
-            if PLAIN.fullmatch(low) and not any(r in stretch for r in self.reserved):
-                ids = self._part(low) if low.isalpha() else [i for part in PARTS_OF_WORD.findall(low) for i in self._part(part)]
-                result.append(ids)
-            else:
-                result.append([])
-                others.append(number)
-        encoded = self.tokenizer.encode_batch_fast([stretches[n] for n in others], add_special_tokens=False)
-        for number, e in zip(others, encoded, strict=True):
-            result[number] = e.ids
-        return result
+@cache
+def _encoder(path: str | None) -> WordEncoder:
+    """One for all tasks of a Python process: what one has encoded serves the next ones."""
+    return WordEncoder(_tokenizer(path))
+
+
+def taken(flat: np.ndarray, begin: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` that ``codes`` name, one after another, and their lengths."""
+    own = sizes[codes]
+    ends = np.cumsum(own)
+    return flat[np.repeat(begin[codes] - ends + own, own) + np.arange(ends[-1] if len(ends) else 0)], own
 
 
 def token_ids(texts: pa.Array, encoder: WordEncoder) -> list[np.ndarray]:
     """Ids of each text, put together from those of the distinct stretches of all."""
-    stretches: list[bytes] = []
-    counts = []
-    for text in texts.to_pylist():
-        own = (text or "").encode().split()
-        counts.append(len(own))
-        stretches += own
-    encoded = pa.array(stretches, pa.binary()).dictionary_encode()
-    del stretches
-    parts = encoder.encode([w.decode() for w in encoded.dictionary.to_pylist()])
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    flat = np.fromiter(chain.from_iterable(parts), np.uint32, int(sizes.sum()))
-    begin = np.cumsum(sizes) - sizes
-    codes = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    own = sizes[codes]
-    ends = np.r_[0, np.cumsum(own)]
-    ids = flat[np.repeat(begin[codes] - ends[:-1], own) + np.arange(ends[-1])]
-    offsets = np.r_[0, np.cumsum(counts)].astype(np.int64)
-    return [ids[ends[offsets[i]]: ends[offsets[i + 1]]] for i in range(len(texts))]
+    # the kernel leaves empty words at the ends of a text; they have no ids
+    split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+    encoded = split.flatten().dictionary_encode()
+    distinct = encoded.dictionary
+    lines = pc.binary_join(pa.ListArray.from_arrays([0, len(distinct)], distinct), pa.scalar("\n", pa.large_string()))[0].as_py()
+    ids, own = taken(*encoder.encode(lines), encoded.indices.to_numpy(zero_copy_only=False))
+    ends = np.r_[0, np.cumsum(own)][np.r_[0, np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]]
+    return [ids[start: end] for start, end in pairwise(ends.tolist())]
 
 
 def row_order(docs: DataFrame) -> list[Column]:
@@ -162,7 +189,7 @@ def pieces(docs: DataFrame, packing: Packing = Packing(), tokenizer_path: str |
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task is the unit of parallel work
-        encoder = WordEncoder(_tokenizer(tokenizer_path))
+        encoder = _encoder(tokenizer_path)
         for batch in batches:
             for part in chunks(batch):
                 columns: tuple[list, ...] = ([], [], [], [], [])

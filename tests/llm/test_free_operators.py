@@ -211,6 +211,19 @@ def test_tokens_of_odd_texts():
         assert ids.tolist() == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_words_are_encoded_once_in_a_process(monkeypatch):
+    learnt = []
+    learn = packing.WordEncoder._learn
+    monkeypatch.setattr(packing.WordEncoder, "_learn", lambda self, parts: (learnt.extend(parts), learn(self, parts))[1])
+    packing._encoder.cache_clear()
+    texts = ["Qzarnu's qzarnu, vbeltö! 中qzarnu\t vbeltö 7", None, "  ", "VBELTÖ <|endoftext|> qzarnu "]
+    for part in (texts[:2], texts[2:], texts):  # as three tasks
+        encoder = packing._encoder(None)
+        for text, ids in zip(part, packing.token_ids(pa.array(part), encoder), strict=True):
+            assert ids.tolist() == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
+    assert sorted(learnt) == sorted(["qzarnu", "'s", ",", "vbeltö", "!", "7"])
+
+
 def test_genetic_operators_keep_every_piece_once():
     rng = np.random.default_rng(2)
     lengths = rng.integers(1, 2048, 400)
