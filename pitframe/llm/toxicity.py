@@ -7,7 +7,9 @@ chooses the features, so that most words have no weight; those that stay are fit
 document's distinct words that have it; the score of a document is therefore a sum over its distinct words.
 
 The model is fitted on a bounded sample of labelled rows, ``Fit.rows`` of each class chosen by a hash of the id, weighted by how
-many rows of the class there are. Scoring reads every document, whole, in one pass without a shuffle.
+many rows of the class there are. The sample's features are counted on Spark; the driver sees the number of marker words of each
+row, the ``Fit.features`` chosen features and their counts in the rows, however long the texts are. Scoring reads every document,
+whole, in one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -23,8 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitframe.llm.shingles import chunks
+from pitframe.sources.tables import materialise
 
 WORD = re.compile(r"[^\W_]+")
+SAMPLE = "doc_id bigint, toxic int, n_words int, features array<string>, counts array<int>"
 RESULT = "doc_id bigint, score double, p_toxic double, expected_severity double, severity int, toxic boolean, n_grades int"
 
 
@@ -58,34 +62,37 @@ def features(word: str) -> tuple[str, ...]:
     return tuple(result)
 
 
-def _bag_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(text: str) -> tuple[int, Counter]:
+    """The number of distinct words, and for each feature how many of them have it."""
+    own = sorted(words(text))
+    return len(own), Counter(f for w in own for f in features(w))
+
+
+def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in chunks(batch):
-            bags = pa.array([sorted(words(t)) for t in part.column("text").to_pylist()], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("toxic"), bags], ["doc_id", "toxic", "words"])
+            counted = [_counted(t) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id").cast(pa.int64()), part.column("toxic"), pa.array([n for n, _ in counted], pa.int32()),
+                 pa.array([list(c.keys()) for _, c in counted], pa.list_(pa.string())), pa.array([list(c.values()) for _, c in counted], pa.list_(pa.int32()))],
+                ["doc_id", "toxic", "n_words", "features", "counts"])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> tuple[list[tuple[set[str], int]], dict[int, int]]:
-    """(distinct words, toxic) of the sampled rows in the order of their ids, and the number of labelled documents of each class. A
-    document that is labelled several times counts once, as toxic if one label says so."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> tuple[DataFrame, dict[int, int]]:
+    """The sampled rows, written, with a number (``row``) and their counted features, and the number of labelled documents of each class.
+    A document that is labelled several times counts once, as toxic if one label says so."""
     known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     by_hash = [F.md5(F.col("doc_id").cast("string")), "doc_id"]
     picked = [known.where(F.col("toxic") == c).orderBy(*by_hash).limit(fit.rows) for c in (0, 1)]
     ids = picked[0].unionByName(picked[1])  # at most twice fit.rows ids
     held = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where("text IS NOT NULL")
-    rows = held.mapInArrow(_bag_batches, "doc_id bigint, toxic int, words array<string>").collect()
-    return [(set(r["words"]), r["toxic"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["words"]))], counts
+    return materialise(held.mapInArrow(_sample_batches, SAMPLE).withColumn("row", F.monotonically_increasing_id()), "toxicity-sample"), counts
 
 
-def grades(bags: list[set[str]], toxic: np.ndarray, least_rows: int) -> np.ndarray:
+def grades(hits: np.ndarray, n_words: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """0 for clean rows; from 1 up for toxic ones, by thirds of their number of marker words and, among equal ones, of their rate."""
-    in_toxic, in_clean = Counter(), Counter()
-    for bag, t in zip(bags, toxic, strict=True):
-        (in_toxic if t else in_clean).update(bag)
-    markers = {w for w, n in in_toxic.items() if n >= least_rows and w not in in_clean}
-    hits = [len(bag & markers) for bag in bags]
-    measure = np.array([(h, h / max(1, len(bag))) for h, bag in zip(hits, bags, strict=True)])
+    measure = np.c_[hits, hits / np.maximum(1, n_words)]
     place = np.unique(measure, axis=0, return_inverse=True)[1].ravel()  # equal rows share a place
     cuts = np.quantile(place[toxic == 1], [1 / 3, 2 / 3], method="lower") if toxic.any() else [0, 0]
     grade = np.where(toxic == 1, 1 + (place > cuts[0]) + (place > cuts[1]), 0)
@@ -96,29 +103,58 @@ def _logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_model(rows: list[tuple[str | set[str], int]], counts: dict[int, int], fit: Fit = Fit()) -> Model | None:
-    """From (text or its distinct words, toxic) rows. None where one of the classes has no row: nothing can be learnt, every document
-    then has severity 0."""
+def fit_sample(sample: DataFrame, counts: dict[int, int], fit: Fit = Fit()) -> Model | None:
+    """From the rows of ``labelled_sample``. None where one of the classes has no row: nothing can be learnt, every document then has
+    severity 0."""
+    sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
+    if not n1 or not n0:
+        return None
+    each = sample.select("row", "toxic", F.explode(F.arrays_zip("features", "counts")).alias("z")).select("row", "toxic", "z.*").withColumnRenamed("features", "feature")
+    seen = each.groupBy("feature").agg(F.sum("toxic").alias("in_toxic"), F.sum(1 - F.col("toxic")).alias("in_clean"))
+    seen = materialise(seen.where(F.col("in_toxic") >= fit.least_rows), "toxicity-features")
+    # words have no star
+    markers = seen.where((F.col("in_clean") == 0) & ~F.endswith("feature", F.lit("*"))).select("feature")
+    hits = each.join(markers, "feature").groupBy("row").agg(F.count("*").alias("hits"))
+    rows = sample.select("row", "doc_id", "toxic", "n_words").join(hits, "row", "left").fillna(0, "hits").toArrow().sort_by([("doc_id", "ascending"), ("row", "ascending")])
+    names, toxic, n_words, n_hits = (rows[c].to_numpy() for c in ("row", "toxic", "n_words", "hits"))
+    grade = grades(n_hits, n_words, toxic)
+    # the features that tell the classes apart best, each on its own
+    apart = F.abs(F.log((F.col("in_toxic") + 0.5) / (n1 + 1)) - F.log((F.col("in_clean") + 0.5) / (n0 + 1))) * F.sqrt(F.col("in_toxic") + F.col("in_clean"))
+    kept = [r["feature"] for r in seen.orderBy(apart.desc(), "feature").limit(fit.features).select("feature").collect()]
+    numbers = sample.sparkSession.createDataFrame([*zip(kept, range(len(kept)))], "feature string, number int")
+    met = each.join(F.broadcast(numbers), "feature").select("row", "number", "counts").toArrow()
+    place = np.argsort(names)
+    row, column = place[np.searchsorted(names, met["row"].to_numpy(), sorter=place)], met["number"].to_numpy()
+    order = np.lexsort((column, row))
+    return _fitted(grade, toxic, kept, row[order], column[order], met["counts"].to_numpy().astype(float)[order], counts, fit)
+
+
+def fit_model(rows: list[tuple[str, int]], counts: dict[int, int], fit: Fit = Fit()) -> Model | None:
+    """``fit_sample`` for (text, toxic) rows at hand."""
     toxic = np.array([t for _, t in rows], int)
     if not len(rows) or not toxic.any() or toxic.all():
         return None
-    bags = [words(own) if isinstance(own, str) else own for own, _ in rows]
-    grade = grades(bags, toxic, fit.least_rows)
-    # the features that tell the classes apart best, each on its own
-    seen = [Counter(f for w in bag for f in features(w)) for bag in bags]
+    sizes, seen = zip(*[_counted(text) for text, _ in rows], strict=True)
     in_toxic, in_clean = Counter(), Counter()
     for own, t in zip(seen, toxic, strict=True):
         (in_toxic if t else in_clean).update(own.keys())
     n1, n0 = int(toxic.sum()), int(len(toxic) - toxic.sum())
+    markers = {f for f, n in in_toxic.items() if n >= fit.least_rows and f not in in_clean and not f.endswith("*")}
+    grade = grades(np.array([len(own.keys() & markers) for own in seen]), np.array(sizes), toxic)
 
     def apart(f: str) -> float:
         return abs(np.log((in_toxic[f] + 0.5) / (n1 + 1)) - np.log((in_clean[f] + 0.5) / (n0 + 1))) * np.sqrt(in_toxic[f] + in_clean[f])
 
     kept = sorted((f for f, n in in_toxic.items() if n >= fit.least_rows), key=lambda f: (-apart(f), f))[: fit.features]
     number = {f: i for i, f in enumerate(kept)}
-    row = np.array([i for i, own in enumerate(seen) for f in own if f in number], np.int64)
-    column = np.array([number[f] for own in seen for f in own if f in number], np.int64)
-    value = np.array([n for own in seen for f, n in own.items() if f in number], float)
+    met = np.array([(i, number[f], n) for i, own in enumerate(seen) for f, n in own.items() if f in number], np.int64).reshape(-1, 3)
+    return _fitted(grade, toxic, kept, met[:, 0], met[:, 1], met[:, 2].astype(float), counts, fit)
+
+
+def _fitted(grade: np.ndarray, toxic: np.ndarray, kept: list[str], row: np.ndarray, column: np.ndarray, value: np.ndarray, counts: dict[int, int], fit: Fit) -> Model:
+    """The model of the ``kept`` features, of which ``row`` has ``value`` times the one numbered ``column``."""
+    n1, n0, n = int(toxic.sum()), int(len(toxic) - toxic.sum()), len(toxic)
     weight = np.where(toxic == 1, counts.get(1, n1) / n1, counts.get(0, n0) / n0)
     weight = weight / weight.sum()
 
@@ -132,10 +168,10 @@ def fit_model(rows: list[tuple[str | set[str], int]], counts: dict[int, int], fi
             w[~support] = 0
             moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (w, cut)]
         thresholds = np.r_[cut[0], cut[0] + np.cumsum(np.exp(cut[1:]))]
-        z = np.bincount(row, value * w[column], len(rows))[:, None] - thresholds
-        above = np.c_[np.ones(len(rows)), _logistic(z), np.zeros(len(rows))]  # P(grade >= k)
-        slope = np.c_[np.zeros(len(rows)), above[:, 1:-1] * (1 - above[:, 1:-1]), np.zeros(len(rows))]
-        at = np.arange(len(rows))
+        z = np.bincount(row, value * w[column], n)[:, None] - thresholds
+        above = np.c_[np.ones(n), _logistic(z), np.zeros(n)]  # P(grade >= k)
+        slope = np.c_[np.zeros(n), above[:, 1:-1] * (1 - above[:, 1:-1]), np.zeros(n)]
+        at = np.arange(n)
         p = np.maximum(above[at, grade] - above[at, grade + 1], 1e-12)
         by_low, by_high = weight * slope[at, grade] / p, -weight * slope[at, grade + 1] / p
         by_z = by_low + by_high
@@ -202,4 +238,4 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def toxicity(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> DataFrame:
     """Fit on the labelled sample and score all documents."""
-    return score(docs, fit_model(*labelled_sample(docs, labels, fit), fit))
+    return score(docs, fit_sample(*labelled_sample(docs, labels, fit), fit))

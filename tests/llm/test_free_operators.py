@@ -274,6 +274,20 @@ def test_toxicity_held_out():
     assert expected[hits == 0].mean() < expected[hits == 1].mean() < expected[hits == 6].mean() <= 3
 
 
+def test_toxicity_counts_features_on_spark(spark):
+    rng = random.Random(13)
+    texts = toxic_rows(rng, 400, [f"zq{k}rude" for k in range(10)])
+    docs = spark.createDataFrame([(i, t) for i, (t, *_) in enumerate(texts)] + [(7, texts[7][0]), (500, None), (501, "")], "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame([(i, t) for i, (_, t, _) in enumerate(texts)] + [(500, 1), (501, 0), (900, 0)], "doc_id bigint, toxic int")
+    sample, counts = toxicity.labelled_sample(docs, labels, toxicity.Fit())
+    assert sample.count() == 402 and sample.select("row").distinct().count() == 402  # a written table, no texts on the driver
+    got = toxicity.fit_sample(sample, counts)
+    rows = [texts[i][:2] for i in sorted([*range(400), 7])] + [("", 0)]
+    want = toxicity.fit_model(rows, counts)
+    assert got.weights.keys() == want.weights.keys() and len(got.weights) > 5
+    assert np.allclose([got.weights[f] for f in want.weights], [*want.weights.values()]) and np.allclose(got.thresholds, want.thresholds)
+
+
 def test_toxicity_scores_all_rows(spark, docs, corpus, empty):
     labels = spark.createDataFrame([(i, i % 2, int(i < 25 and i % 5 == 0)) for i in range(60)] + [(None, 1, 1), (3, None, None)], "doc_id bigint, quality int, toxic int")
     got = toxicity.toxicity(docs, labels).collect()
