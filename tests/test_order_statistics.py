@@ -5,6 +5,8 @@ import statistics
 
 import pytest
 
+from __spark_entry__ import queries
+from catalog import fundamental_queries
 from pitframe.operators import cross_section as cs
 
 
@@ -74,6 +76,20 @@ def test_leave_one_out_among_eligible_peers(spark):
         assert r["peer_median"] == (pytest.approx(statistics.median(others)) if others else None)
 
 
+def test_sector_peers_are_all_companies_of_the_sector(spark, monkeypatch):
+    rng = random.Random(4)
+    data = [(c, y, c % 7 > 0, c % 3, rng.choice([None, round(rng.random() * 20, 3)])) for c in range(40) for y in (1, 2)] + [(90, 1, False, 8, 5.0), (91, 1, True, 8, 6.0)]
+    df = spark.createDataFrame(data, "company int, fy_no int, eligible boolean, sector int, own double")
+    monkeypatch.setattr(fundamental_queries, "multiples", lambda *_: df)
+    got = {(r["company"], r["fy_no"]): r for r in queries()["J12"](spark, "").collect()}
+    assert len(got) == len(data)
+    for company, year, _, sector, _ in data:
+        others = [(own, ok) for c, y, ok, s, own in data if (y, s) == (year, sector) and c != company and own is not None]
+        for peers, median, values in (("peers", "peer_median", [v for v, _ in others]), ("eligible_peers", "eligible_median", [v for v, ok in others if ok])):
+            assert got[company, year][peers] == len(values)
+            assert got[company, year][median] == (pytest.approx(statistics.median(values), abs=1e-6) if values else None)
+
+
 def anchored(rows, tol=1e-9):
     order = sorted(rows, key=lambda r: (-r[1], -r[2], r[0]))
     out, i = [], 0
